@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, time
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,4 +64,15 @@ def signal_score(signal_type: Column, strength: Column) -> Column:
 
 
 def two_places_or_na(x: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", x), F.lit("N/A"))
+    return F.coalesce(F.format_number(x, 2), F.lit("N/A"))
+
+
+def ts_literal(at: datetime) -> Column:
+    """A timestamp literal; a naive datetime is UTC, whatever the zones of the driver and the session."""
+    at = at.replace(tzinfo=ZoneInfo("UTC")) if at.tzinfo is None else at.astimezone(ZoneInfo("UTC"))
+    return F.lit(at.strftime("%Y-%m-%dT%H:%M:%S.%fZ")).cast("timestamp")
+
+
+def clock_on(day: date, clock: str, tz: str) -> datetime:
+    """The instant of a wall-clock time on a day in a zone."""
+    return datetime.combine(day, time.fromisoformat(clock), ZoneInfo(tz))

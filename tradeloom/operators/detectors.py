@@ -55,7 +55,7 @@ def _span_secs() -> Column:
 
 
 def prior_mean_volume() -> Column:
-    return (F.col("w_volume") - F.col("v")) / (F.col("w_count") - 1)
+    return F.try_divide(F.col("w_volume") - F.col("v"), F.col("w_count") - 1)
 
 
 def is_volume_spike(cfg: Settings) -> Column:

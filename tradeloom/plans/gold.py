@@ -56,17 +56,17 @@ def gold_sector(snapshots: DataFrame, processed_at: Column) -> DataFrame:
 
 
 def _finish(rows: DataFrame, table: str, processed_at: Column) -> DataFrame:
-    ddl, key_time = GOLD_TABLES[table]
+    ddl, _, report_time = GOLD_TABLES[table]
     return (
         rows.withColumn("processed_at", processed_at)
         .select(*column_names(ddl))
-        .withColumn("date", F.to_date(key_time))
+        .withColumn("date", F.to_date(report_time))
     )
 
 
 def laid_out(gold: DataFrame, table: str) -> DataFrame:
     """Rows of a day together and ordered by symbol and time, so files prune by date and by symbol."""
-    return gold.repartition("date").sortWithinPartitions("date", "symbol", GOLD_TABLES[table][1])
+    return gold.repartition("date").sortWithinPartitions("date", "symbol", GOLD_TABLES[table][2])
 
 
 class Pipeline:

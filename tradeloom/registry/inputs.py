@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.config import Settings
+from tradeloom.functions.columns import ts_literal
 from tradeloom.plans.gold import Pipeline
 
 CFG = Settings(symbols=("click", "error", "purchase", "signup", "view")).scaled(100)
@@ -56,7 +57,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _pipelines:
         _pipelines[key] = Pipeline(
-            spark, trades(spark, sf_dir), f"events:{sf_dir}", CFG, stand_in_score, F.lit(AS_OF).cast("timestamp")
+            spark, trades(spark, sf_dir), f"events:{sf_dir}", CFG, stand_in_score, ts_literal(AS_OF)
         )
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return _pipelines[key]

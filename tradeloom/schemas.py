@@ -71,12 +71,13 @@ GOLD_SECTOR = (
     "pct_change double, trade_count int, total_volume double, last_trade_ts timestamp, is_stale boolean"
 )
 
-# table -> (schema, time column of the key, which with `symbol` identifies a row)
+# table -> (schema, time column that with `symbol` is the key, time column that reports filter on).
+# The physical `date` partition column is the day of the latter.
 GOLD_TABLES = {
-    "volume_spikes": (GOLD_VOLUME, "detected_at"),
-    "momentum_signals": (GOLD_MOMENTUM, "window_end_ts"),
-    "volatility_spikes": (GOLD_VOLATILITY, "detected_at"),
-    "sector_snapshots": (GOLD_SECTOR, "snapshot_ts"),
+    "volume_spikes": (GOLD_VOLUME, "detected_at", "detected_at"),
+    "momentum_signals": (GOLD_MOMENTUM, "window_end_ts", "detected_at"),
+    "volatility_spikes": (GOLD_VOLATILITY, "detected_at", "detected_at"),
+    "sector_snapshots": (GOLD_SECTOR, "snapshot_ts", "snapshot_ts"),
 }
 
 SIGNAL_TABLE = {

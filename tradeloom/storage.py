@@ -39,3 +39,11 @@ class Stage:
             build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             self._done.add(name)
         return self.spark.read.parquet(path)
+
+    def folder(self, name: str, write) -> str:
+        """A folder in another format: ``write(path)`` runs once, then the path is handed out."""
+        path = f"{self.path}/{name}"
+        if name not in self._done:
+            write(path)
+            self._done.add(name)
+        return path
