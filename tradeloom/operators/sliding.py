@@ -39,26 +39,20 @@ def sliding_stats(
         raise ValueError("width must be a multiple of parts")
     moments = dict(moments or {})
     step = width // parts
-    carried = list(rows.columns)
-
-    valued = rows
-    for name, (_, value) in measures.items():
-        valued = valued.withColumn(f"_m_{name}", value)
-    for name, column in moments.items():
-        valued = (
-            valued.withColumn(f"_n_{name}", F.lit(1).cast("bigint"))
-            .withColumn(f"_mean_{name}", F.col(column).cast("double"))
-            .withColumn(f"_m2_{name}", F.lit(0.0))
-        )
-
     slice_of = bucket(pos, step)
-    events = (
-        valued.withColumn("_kind", F.explode(F.array(F.lit(1), F.lit(2))))
-        .withColumn("_slice", slice_of + (F.col("_kind") - 1) * parts)
-        .withColumn("_at", F.col(pos) + (F.col("_kind") - 1) * F.lit(width).cast("bigint"))
+
+    events = rows.withColumn("_kind", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
+        "_slice", slice_of + (F.col("_kind") - 1) * parts
     )
     if parts > 1:
-        events = events.unionByName(_whole_slices(valued, keys, slice_of, step, parts, measures, moments), True)
+        events = events.unionByName(_whole_slices(rows, keys, pos, slice_of, step, parts, measures, moments), True)
+    # Only the row itself is shuffled; what follows from it is worked out on the other side.
+    events = events.repartition(*keys, "_slice").withColumn(
+        "_at", F.when(F.col("_kind") == 2, F.col(pos) + width).otherwise(F.col(pos))
+    )
+
+    def part(name: str, value: Column) -> Column:
+        return F.when(F.col("_kind") == 0, F.col(f"_whole.{name}")).otherwise(value) if parts > 1 else value
 
     group = Window.partitionBy(*keys, "_slice")
     forward = group.orderBy("_at", "_kind", tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -67,15 +61,15 @@ def sliding_stats(
     )
     entered, staying = F.col("_kind") < 2, F.col("_kind") == 2
 
-    # Deviations are taken from a price of the same slice, which keeps the squares small.
-    for name in moments:
-        events = events.withColumn(f"_ref_{name}", F.first(f"_mean_{name}").over(forward))
-    sums: dict[str, tuple[str, Column]] = {n: (kind, F.col(f"_m_{n}")) for n, (kind, _) in measures.items()}
-    for name in moments:
-        n, off = F.col(f"_n_{name}"), F.col(f"_mean_{name}") - F.col(f"_ref_{name}")
-        sums[f"_n_{name}_"] = ("sum", n)
+    sums: dict[str, tuple[str, Column]] = {n: (kind, part(n, value)) for n, (kind, value) in measures.items()}
+    for name, column in moments.items():
+        # Deviations are taken from a value of the same slice, which keeps the squares small.
+        mean = part(f"{name}_mean", F.col(column).cast("double"))
+        events = events.withColumn(f"_ref_{name}", F.first(mean).over(forward))
+        n, off = part(f"{name}_n", F.lit(1).cast("bigint")), mean - F.col(f"_ref_{name}")
+        sums[f"_n_{name}"] = ("sum", n)
         sums[f"_d1_{name}"] = ("sum", n * off)
-        sums[f"_d2_{name}"] = ("sum", F.col(f"_m2_{name}") + n * off * off)
+        sums[f"_d2_{name}"] = ("sum", part(f"{name}_m2", F.lit(0.0)) + n * off * off)
 
     out = events.select(
         "*",
@@ -85,7 +79,7 @@ def sliding_stats(
         *[_COMBINE[k](F.when(staying, c)).over(backward).alias(f"_b{n}") for n, (k, c) in sums.items()],
     )
     both = {}
-    for n, (kind, column) in sums.items():
+    for n, (kind, _) in sums.items():
         ahead, behind = F.col(f"_f{n}"), F.col(f"_b{n}")
         if kind == "sum":
             both[n] = F.when(behind.isNull(), ahead).when(ahead.isNull(), behind).otherwise(ahead + behind)
@@ -94,29 +88,27 @@ def sliding_stats(
 
     result = [both[n].alias(n) for n in measures]
     for name in moments:
-        mean_off = both[f"_d1_{name}"] / both[f"_n_{name}_"]
-        spread = both[f"_d2_{name}"] / both[f"_n_{name}_"] - mean_off * mean_off
+        mean_off = both[f"_d1_{name}"] / both[f"_n_{name}"]
+        spread = both[f"_d2_{name}"] / both[f"_n_{name}"] - mean_off * mean_off
         result.append((F.col(f"_ref_{name}") + mean_off).alias(f"{name}_mean"))
         result.append(F.greatest(spread, F.lit(0.0)).alias(f"{name}_var"))
-    return out.filter(F.col("_kind") == 1).select(*carried, *result)
-
-
-def _whole_slices(valued, keys, slice_of, step, parts, measures, moments) -> DataFrame:
-    """One mergeable row per (key, slice), copied to the ``parts - 1`` slices that it lies whole inside."""
-    totals = valued.groupBy(*keys, slice_of.alias("_from")).agg(
-        *[_COMBINE[kind](f"_m_{n}").alias(f"_m_{n}") for n, (kind, _) in measures.items()],
-        *[F.count(f"_mean_{n}").alias(f"_n_{n}") for n in moments],
-        *[
-            # The mean of equal values is that value, without a rounding error of sum / count.
-            F.when(F.min(f"_mean_{n}") == F.max(f"_mean_{n}"), F.min(f"_mean_{n}"))
-            .otherwise(F.avg(f"_mean_{n}"))
-            .alias(f"_mean_{n}")
-            for n in moments
-        ],
-        *[(F.var_pop(f"_mean_{n}") * F.count(f"_mean_{n}")).alias(f"_m2_{n}") for n in moments],
-        F.lit(0).alias("_kind"),
-    )
+    return out.filter(F.col("_kind") == 1).select(*rows.columns, *result)
+
+
+def _whole_slices(rows, keys, pos, slice_of, step, parts, measures, moments) -> DataFrame:
+    """One mergeable row per (key, slice), copied to the ``parts - 1`` slices whose windows cover it whole."""
+    columns = [_COMBINE[kind](value).alias(n) for n, (kind, value) in measures.items()]
+    for name, column in moments.items():
+        x = F.col(column).cast("double")
+        # The mean of equal values is that value, without a rounding error of sum / count.
+        mean = F.when(F.min(x) == F.max(x), F.min(x)).otherwise(F.avg(x))
+        columns += [
+            F.count(x).alias(f"{name}_n"),
+            mean.alias(f"{name}_mean"),
+            (F.var_pop(x) * F.count(x)).alias(f"{name}_m2"),
+        ]
+    totals = rows.groupBy(*keys, slice_of.alias("_from")).agg(F.struct(*columns).alias("_whole"))
     spread = totals.withColumn("_slice", F.explode(F.sequence(F.col("_from") + 1, F.col("_from") + parts - 1)))
     # Sorts before every row of the target slice, the older slice first.
     before = F.col("_slice") * F.lit(step).cast("bigint") - (F.col("_slice") - F.col("_from"))
-    return spread.withColumn("_at", before).drop("_from")
+    return spread.select(*keys, "_slice", "_whole", F.lit(0).alias("_kind"), before.alias(pos))
