@@ -212,7 +212,7 @@ def silver_route(spark, sf_dir):
     again = (
         wire_signals(spark, sf_dir, 1.0).filter(F.col("seq") % 3 == 0).withColumn("arrival", F.col("seq") + 1_000_000_000)
     )
-    routed = medallion.route_silver(first.unionByName(again), "arrival")
+    routed = medallion.route_silver(ingest.validate_signals(first.unionByName(again)), "arrival")
     day = F.col("date").cast("string").alias("date")
     return routed.select("path", "signal_type", day, "arrival", _shown().alias("shown"))
 

@@ -95,9 +95,9 @@ def silver_path(kind: Column, symbol: Column, stamp: Column) -> Column:
     )
 
 
-def route_silver(records: DataFrame, arrival: str, raw: str = "body") -> DataFrame:
-    """The archive content after these records: one object per path, the last arrival wins."""
-    valid = validate_signals(records, raw).filter("is_valid")
+def route_silver(checked: DataFrame, arrival: str, raw: str = "body") -> DataFrame:
+    """The archive content after these validated records: one object per path, the last arrival wins."""
+    valid = checked.filter("is_valid")
     stamp = F.coalesce(F.col("values")["detected_at"], F.col("values")["snapshot_ts"])
     return (
         valid.withColumn("stamp", stamp)
