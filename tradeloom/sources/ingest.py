@@ -24,13 +24,24 @@ def frame_type_counts(frames: DataFrame, raw: str = "value") -> DataFrame:
     return frames.groupBy(frame_kind(raw).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def parse_once(records: DataFrame, raw: str | Column, schema: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The fields of a JSON column. As a generator, the parse is not repeated by every filter on a field."""
+    return records.select(*keep, F.inline(F.array(F.from_json(raw, schema))))
+
+
+def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that filters and later columns read instead of computing it again."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_frames(frames: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row ``(s, p, v, t)`` per trade of every trade frame; other and unreadable frames vanish.
 
     ``keep`` names frame columns to carry along, such as the time of receipt.
     """
-    parsed = frames.select(*keep, F.from_json(raw, FRAME).alias("f")).filter(F.col("f.type") == "trade")
-    return parsed.select(*keep, F.explode("f.data").alias("d")).select(*keep, "d.s", "d.p", "d.v", "d.t")
+    frame = parse_once(frames, raw, FRAME, keep)
+    exploded = frame.select(*keep, F.explode_outer(F.when(F.col("type") == "trade", F.col("data"))).alias("d"))
+    return exploded.filter(F.col("d").isNotNull()).select(*keep, "d.s", "d.p", "d.v", "d.t")
 
 
 def reject_reason(symbols: Sequence[str], received_ms: Column, staleness_ms: int) -> Column:
@@ -73,14 +84,14 @@ def in_session(t_ms: Column, tz: str = "America/New_York") -> Column:
 
 
 def decode_envelopes(records: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """Text inside base64 inside a JSON record, as column ``body``; records that are not that vanish."""
-    data = F.from_json(raw, ENVELOPE)["kinesis"]["data"]
-    body = F.try_to_binary(data, F.lit("base64")).cast("string")
-    return records.select(*keep, body.alias("body")).filter(F.json_object_keys("body").isNotNull())
+    """Text inside base64 inside a JSON record, as column ``body``; null for records that are not that."""
+    envelope = parse_once(records, raw, ENVELOPE, keep)
+    return envelope.select(*keep, F.try_to_binary(F.col("kinesis.data"), F.lit("base64")).cast("string").alias("body"))
 
 
 def parse_trades(records: DataFrame, raw: str = "body", keep: Sequence[str] = ()) -> DataFrame:
-    return records.select(*keep, F.from_json(raw, TRADE).alias("d")).select(*keep, "d.*").filter(F.col("s").isNotNull())
+    """Trades of JSON records; a record that is null, broken or without a symbol is skipped."""
+    return parse_once(records, raw, TRADE, keep).filter(F.col("s").isNotNull())
 
 
 def encode_trades(trades: DataFrame) -> DataFrame:
@@ -165,7 +176,7 @@ def validate_signals(records: DataFrame, raw: str = "body") -> DataFrame:
     The text is parsed once into a map; a nested list stays text. ``error`` is ``bad_json``,
     ``unknown_type`` or the first field that does not fit.
     """
-    parsed = records.withColumn("values", F.from_json(raw, "map<string,string>")).withColumn(
+    parsed = computed_once(records, "values", F.from_json(raw, "map<string,string>")).withColumn(
         "signal_type", F.col("values")["signal_type"]
     )
     values, kind = F.col("values"), F.col("signal_type")
@@ -175,10 +186,8 @@ def validate_signals(records: DataFrame, raw: str = "body") -> DataFrame:
     bad_symbols = F.when((kind == "sector_snapshot") & ~F.coalesce(entries_fit, F.lit(False)), "symbols")
     known = F.coalesce(kind.isin(*PAYLOADS), F.lit(False))
     error = F.when(~known, "unknown_type").otherwise(F.coalesce(_first_bad(values, specs[kind]), bad_symbols))
-    not_object = F.json_object_keys(raw).isNull() | values.isNull()
-    return parsed.withColumn("error", F.when(not_object, F.lit("bad_json")).otherwise(error)).withColumn(
-        "is_valid", F.col("error").isNull()
-    )
+    error = F.when(values.isNull(), "bad_json").otherwise(error)
+    return computed_once(parsed, "error", error).withColumn("is_valid", F.col("error").isNull())
 
 
 def typed_signals(valid: DataFrame, kind: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tradeloom.config import SIGNAL_PREFIX
 from tradeloom.functions.columns import iso_to_ts, ms_to_ts
 from tradeloom.operators.detectors import explode_snapshots
-from tradeloom.schemas import FEATURES, GOLD_TABLES, SIGNAL_TABLE, TRADE, column_names
-from tradeloom.sources.ingest import typed_signals, validate_signals
+from tradeloom.schemas import FEATURES, GOLD_TABLES, SIGNAL_TABLE, column_names
+from tradeloom.sources.ingest import parse_trades, typed_signals, validate_signals
 
 HOURLY = ("year", "month", "day", "hour")
 
@@ -60,7 +60,7 @@ def read_bronze(spark: SparkSession, path: str, since: datetime | None = None, u
         lines = lines.filter(_hour_folder() >= since.strftime("%Y-%m-%d-%H"))
     if until is not None:
         lines = lines.filter(_hour_folder() <= until.strftime("%Y-%m-%d-%H"))
-    trades = lines.select(F.from_json("value", TRADE).alias("d")).select("d.*").filter(F.col("s").isNotNull())
+    trades = parse_trades(lines, "value")
     if since is not None:
         trades = trades.filter(F.coalesce("t", F.lit(0)) >= _epoch_ms(since))
     return trades

@@ -57,8 +57,7 @@ def publish_trades(trades: DataFrame, path: str, checkpoint: str, once: bool = F
 def trades_from_values(values: DataFrame, seq: Column | None = None) -> DataFrame:
     """Trades of the raw stream, with an arrival number where the source has one (a broker's offset)."""
     seq = F.lit(0).cast("bigint") if seq is None else seq
-    parsed = values.select(F.from_json("value", TRADE).alias("d"), seq.alias("seq"))
-    return parsed.select("d.*", "seq").filter(F.col("s").isNotNull() & F.col("t").isNotNull())
+    return ingest.parse_trades(values.withColumn("seq", seq), "value", ("seq",)).filter(F.col("t").isNotNull())
 
 
 # ---- consumers of the raw stream ----------------------------------------------------------------
