@@ -6,6 +6,7 @@ import hashlib
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -31,19 +32,22 @@ class Stage:
         tag = hashlib.sha256(name.encode()).hexdigest()[:16]
         self.spark = spark
         self.path = f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{tag}"
-        self._done: set[str] = set()
+        self._schemas: dict[str, StructType] = {}
+        self._folders: set[str] = set()
 
     def table(self, name: str, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = f"{self.path}/{name}"
-        if name not in self._done:
-            build().write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-            self._done.add(name)
-        return self.spark.read.parquet(path)
+        if name not in self._schemas:
+            rows = build()
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+            self._schemas[name] = rows.schema
+        # The schema is given, since an empty table has no file to read it from.
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def folder(self, name: str, write) -> str:
         """A folder in another format: ``write(path)`` runs once, then the path is handed out."""
         path = f"{self.path}/{name}"
-        if name not in self._done:
+        if name not in self._folders:
             write(path)
-            self._done.add(name)
+            self._folders.add(name)
         return path

@@ -81,8 +81,8 @@ class SignalProcessor(StatefulProcessor):
         out = self._windows(symbol, t, p, v, last) + self._momentum(symbol, t, p, v, last)
         self.fired.update(tuple(None if x == _NEVER else x for x in last))
         if out:
-            out.sort(key=lambda r: (r["trade_ts"]))
-            yield pd.DataFrame(out).reindex(columns=self.columns)
+            # As objects, so that absent fields stay null instead of turning into NaN.
+            yield pd.DataFrame({c: pd.Series([r.get(c) for r in out], dtype=object) for c in self.columns})
 
     def _windows(self, symbol, t, p, v, last) -> list[dict]:
         cfg = self.cfg
@@ -220,72 +220,70 @@ class SignalProcessor(StatefulProcessor):
 
 
 class SnapshotProcessor(StatefulProcessor):
-    """Session state of one symbol, emitted at every tick; silent symbols are driven by timers."""
+    """Session state of one symbol at every tick.
+
+    Trades are folded per tick and a tick is emitted by a timer once the watermark has passed it. The watermark
+    is the same for all symbols, so a tick appears in one batch for all of them, silent ones included.
+    """
 
     def __init__(self, cfg: Settings):
         self.cfg = cfg
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState(
+        self.session = handle.getValueState(
             "session", "open double, last double, n bigint, volume double, last_t bigint, next_tick bigint"
         )
+        self.pending = handle.getMapState(
+            "pending", "tick bigint", "open double, last double, n bigint, volume double, first_t bigint, last_t bigint"
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         step = self.cfg.snapshot_ms
         new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "seq"], kind="stable")
         t, p, v = (new[c].to_numpy(dtype=d) for c, d in (("t", np.int64), ("p", float), ("v", float)))
-        if self.state.exists():
-            state = list(self.state.get())
-        else:
-            state = [float(p[0]), None, 0, 0.0, None, int(t[0]) // step + 1]
-            if t[0] % step == 0:
-                state[5] = int(t[0]) // step
-            self.handle.registerTimer(state[5] * step)
-        out, ticks = [], -(-t // step)
-        for tick, a in zip(*np.unique(ticks, return_index=True)):
-            b = int(np.searchsorted(ticks, tick, side="right"))
-            out += self._emit(key[0], state, int(tick))
-            newer = state[4] is None or t[b - 1] >= state[4]
-            state[1] = float(p[b - 1]) if newer else state[1]
-            state[2] += b - int(a)
-            state[3] += float(v[a:b].sum())
-            state[4] = max(int(t[b - 1]), state[4] or 0)
-        self.state.update(tuple(state))
-        if out:
-            yield pd.DataFrame(out)
+        ticks, starts = np.unique(-(-t // step), return_index=True)
+        if not self.session.exists():
+            self.session.update((None, None, 0, 0.0, None, int(ticks[0])))
+            self.handle.registerTimer(int(ticks[0]) * step)
+        for tick, a, b in zip(ticks, starts, [*starts[1:], len(t)]):
+            fold = (float(p[a]), float(p[b - 1]), int(b - a), float(v[a:b].sum()), int(t[a]), int(t[b - 1]))
+            if self.pending.containsKey((int(tick),)):
+                old = self.pending.getValue((int(tick),))
+                early = old if old[4] <= fold[4] else fold
+                newest = fold if fold[5] >= old[5] else old
+                fold = (early[0], newest[1], old[2] + fold[2], old[3] + fold[3], early[4], newest[5])
+            self.pending.updateValue((int(tick),), fold)
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        step, state = self.cfg.snapshot_ms, list(self.state.get())
-        due = expiredTimerInfo.getExpiryTimeInMs() // step
-        now = max(due, timerValues.getCurrentWatermarkInMs() // step)
-        out = self._emit(key[0], state, now + 1)
-        self.state.update(tuple(state))
-        self.handle.registerTimer((max(now + 1, state[5])) * step)
+        step, out = self.cfg.snapshot_ms, []
+        open_, last, n, volume, last_t, tick = self.session.get()
+        while tick * step < timerValues.getCurrentWatermarkInMs():
+            if self.pending.containsKey((tick,)):
+                fold = self.pending.getValue((tick,))
+                self.pending.removeKey((tick,))
+                open_ = fold[0] if open_ is None else open_
+                last, n, volume, last_t = fold[1], n + fold[2], volume + fold[3], fold[5]
+            at = tick * step
+            out.append(
+                {
+                    "snapshot_ms": at,
+                    "symbol": key[0],
+                    "last_price": last,
+                    "open_price": open_,
+                    "pct_change": stable_round((last - open_) / open_ * 100, 3),
+                    "trade_count": n,
+                    "total_volume": volume,
+                    "last_trade_ts": last_t,
+                    "is_stale": at - last_t > self.cfg.stale_ms,
+                }
+            )
+            tick += 1
+        self.session.update((open_, last, n, volume, last_t, tick))
+        self.handle.registerTimer(tick * step)
         if out:
             yield pd.DataFrame(out)
 
-    def _emit(self, symbol: str, state: list, before: int) -> list[dict]:
-        """Rows of the ticks below ``before`` that have not been emitted."""
-        out, step = [], self.cfg.snapshot_ms
-        for tick in range(state[5], before):
-            if state[2] > 0:
-                at = tick * step
-                out.append(
-                    {
-                        "snapshot_ms": at,
-                        "symbol": symbol,
-                        "last_price": state[1],
-                        "open_price": state[0],
-                        "pct_change": stable_round((state[1] - state[0]) / state[0] * 100, 3),
-                        "trade_count": int(state[2]),
-                        "total_volume": state[3],
-                        "last_trade_ts": state[4],
-                        "is_stale": at - state[4] > self.cfg.stale_ms,
-                    }
-                )
-        state[5] = max(state[5], before)
-        return out
-
     def close(self) -> None:
         pass
