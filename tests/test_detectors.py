@@ -194,3 +194,27 @@ def test_windows_of_different_length(spark):
     volume, volatility, _ = simulate(rows, cfg)
     assert pipe.volume().count() == len(volume)
     assert pipe.volatility().count() == len(volatility)
+
+
+def test_detectors_can_be_plugged_in(trades):
+    from pyspark.sql import functions as F
+
+    def large(rows, cfg):
+        return rows.filter("v >= 100").select(F.col("s").alias("symbol"), F.col("t").alias("trade_ts"), "seq")
+
+    mine = d.Detector("large_trade", large, lambda cfg: 10_000)
+    rows = [(V, 0, 5, 10), (V, 30, 5, 10), (V, 60, 5, 100), (V, 65, 5, 100), (V, 70, 5, 100)]
+    found = d.detect(trades(rows), CFG, (*d.DETECTORS, mine))
+    assert sorted((r.signal_type, r.trade_ts) for r in found.collect()) == [
+        ("large_trade", 60_000), ("large_trade", 70_000), ("volume_spike", 60_000),
+    ]
+
+
+def test_hot_slices_change_nothing(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), round(rng.gauss(100, 1), 2), round(rng.expovariate(0.1), 2), rng.randrange(3000) * 1000, i) for i in range(400)]
+    rows += [("a", 101.0 + i % 3, 5.0, 1_500_000, 1000 + i) for i in range(250)]
+    df = spark.createDataFrame(rows, "s string, p double, v double, t bigint, seq bigint")
+    columns = ["s", "seq", "w_count", "w_from", "w_low", "w_high"]
+    got = [d.rolling_stats(df, 300_000, 10, (), hot).select(*columns).collect() for hot in (None, 20)]
+    assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1]))

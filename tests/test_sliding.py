@@ -13,15 +13,15 @@ def made(spark, n=600, keys=3, span=4000, seed=1):
     return [(rng.choice("aaaab"[: keys + 2]), rng.randrange(span), i, float(rng.randrange(1, 50))) for i in range(n)]
 
 
-@pytest.mark.parametrize("parts", [1, 2, 10])
-def test_equals_brute_force(spark, parts):
-    rows = made(spark)
+@pytest.mark.parametrize("parts, hot_rows, span", [(1, None, 4000), (2, None, 4000), (10, None, 4000), (10, 7, 4000), (1, 20, 900), (2, 9, 40)])
+def test_equals_brute_force(spark, parts, hot_rows, span):
+    rows = made(spark, span=span)
     df = spark.createDataFrame(rows, "k string, t bigint, seq bigint, x double").repartition(5)
     out = sliding_stats(
         df, ["k"], "t", "seq", 300, parts,
         {"n": ("sum", F.lit(1).cast("bigint")), "total": ("sum", F.col("x")), "low": ("min", F.col("x")),
          "high": ("max", F.col("x")), "since": ("min", F.col("t"))},
-        {"m": "x"},
+        {"m": "x"}, hot_rows,
     ).collect()
     assert len(out) == len(rows)
     for r in out:
@@ -87,3 +87,27 @@ def test_next_value_crosses_blocks(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 950), ("b", 5)], "k string, t bigint")
     out = next_value(df.withColumn("b", F.expr("t div 100")), ["k"], "b", "t", F.col("t"), "nxt")
     assert sorted((r.k, r.t, r.nxt) for r in out.collect()) == [("a", 1, 2), ("a", 2, 950), ("a", 950, None), ("b", 5, None)]
+
+
+def test_one_time_holds_a_third_of_all_rows(spark):
+    rows = made(spark, 400) + [("a", 2000, 1000 + i, float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, t bigint, seq bigint, x double").repartition(5)
+    measures = {"n": ("sum", F.lit(1).cast("bigint")), "total": ("sum", F.col("x")), "high": ("max", F.col("x"))}
+    plain = sliding_stats(df, ["k"], "t", "seq", 300, 10, measures, {"m": "x"})
+    split = sliding_stats(df, ["k"], "t", "seq", 300, 10, measures, {"m": "x"}, hot_rows=50)
+    columns = ["k", "seq", "n", "total", "high", F.round("m_mean", 6), F.round("m_var", 6)]
+    assert sorted(map(tuple, plain.select(*columns).collect())) == sorted(map(tuple, split.select(*columns).collect()))
+
+
+def test_blocks_split_where_hot(spark):
+    from tradeloom.operators.skew import time_blocks
+
+    rows = made(spark, 300) + [("a", 2000, 1000 + i, 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, t bigint, seq bigint, x double")
+    assert time_blocks(df, ["k"], "t", "seq", 100).groupBy("_block").count().agg(F.max("count")).first()[0] >= 200
+    blocked = time_blocks(df, ["k"], "t", "seq", 100, hot_rows=40)
+    assert blocked.groupBy("k", "_block").count().agg(F.max("count")).first()[0] <= 40
+    ranked = numbered(blocked, ["k"], "_block", ["t", "seq"])
+    for key in {r[0] for r in rows}:
+        numbers = [r.rn for r in ranked.filter(F.col("k") == key).orderBy("t", "seq").collect()]
+        assert numbers == list(range(1, len(numbers) + 1))

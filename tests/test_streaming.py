@@ -194,3 +194,22 @@ def test_signals_to_silver_and_gold_twice(spark, rows, tmp_path):
     names = ("detected_at", "symbol", "spike_ratio", "window_trade_count")
     got = sorted(tuple(r) for r in a.volume_spikes.select(*names).collect())
     assert got == sorted(tuple(r) for r in pipe.volume_spikes.select(*names).collect())
+
+
+def test_scores_in_the_stream_equal_batch(spark, rows, tmp_path):
+    from tradeloom.operators import features, iforest
+
+    trades = spark.createDataFrame(rows, SCHEMA)
+    model = iforest.IsolationForest(key=("symbol", "bucket"), numTrees=10).fit(features.feature_windows(trades, 60_000))
+    feed, out = Feed(spark, tmp_path / "in"), str(tmp_path / "out")
+    for piece in cut(rows):
+        feed.drop(piece)
+    signals = jobs.detect_signals(feed.trades(), CFG)
+    wait(jobs.publish_signals(signals, out, str(tmp_path / "check"), once=True, model=model))
+    sent = [json.loads(r["value"]) for r in spark.read.parquet(out).collect()]
+    got = {(v["signal_type"], v["symbol"], v["detected_at"]): v["ml_anomaly_score"] for v in sent}
+    found = d.detect(trades, CFG)
+    scored = iforest.score_signals(found, features.feature_recent(trades, CFG.recent_trades, 300_000), model).collect()
+    want = {(r.signal_type, r.symbol, r.detected_at): r.ml_anomaly_score for r in scored}
+    assert want and None not in want.values()
+    assert got == pytest.approx(want)

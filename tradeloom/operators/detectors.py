@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,16 +17,19 @@ from tradeloom.config import DAY_MS, Settings
 from tradeloom.functions.columns import bucket, half_even, ms_to_iso, ms_to_ts
 from tradeloom.operators.blocks import next_value, numbered, running, with_preceding
 from tradeloom.operators.cooldown import cooldown_thin
+from tradeloom.operators.skew import HOT_ROWS, time_blocks
 from tradeloom.operators.sliding import sliding_stats
 
-SIGNAL_COLUMNS = ("symbol", "detected_at", "signal_type", "strength", "price", "trade_ts", "seq")
-
-
 # ---- rolling window (D1, D2) ----------------------------------------------------------------------
 
 
-def rolling_stats(trades: DataFrame, window_ms: int, parts: int, session: tuple[str, ...] = ()) -> DataFrame:
-    """Each trade with its trailing window, itself included: count, earliest time, volume sum, price moments."""
+def rolling_stats(
+    trades: DataFrame, window_ms: int, parts: int, session: tuple[str, ...] = (), hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Each trade with its trailing window, itself included: count, earliest time, volume sum, price moments.
+
+    Counts the trades per slice first, to split slices that are too large for a task; ``hot_rows=None`` skips it.
+    """
     return sliding_stats(
         trades,
         ["s", *session],
@@ -40,6 +45,7 @@ def rolling_stats(trades: DataFrame, window_ms: int, parts: int, session: tuple[
             "w_high": ("max", F.col("p")),
         },
         {"w_price": "p"},
+        hot_rows,
     )
 
 
@@ -242,18 +248,18 @@ def momentum_signals(candidates: DataFrame, cfg: Settings, session: tuple[str, .
 # ---- sector state and snapshots (D10-D14) ---------------------------------------------------------
 
 
-def sector_state(trades: DataFrame, block_ms: int) -> DataFrame:
+def sector_state(trades: DataFrame, block_ms: int, session: tuple[str, ...] = ()) -> DataFrame:
     """Each trade with its symbol's session so far: open, last, count, volume, last time, percent change."""
-    keyed = trades.withColumn("_block", bucket("t", block_ms))
+    keys = ["s", *session]
     state = running(
-        keyed,
-        ["s"],
+        time_blocks(trades, keys, "t", "seq", block_ms),
+        keys,
         "_block",
         ["t", "seq"],
         {"open_price": ("first", "p"), "trade_count": ("count", "p"), "total_volume": ("sum", "v")},
     )
     return state.select(
-        "s",
+        *keys,
         "t",
         "seq",
         "open_price",
@@ -410,6 +416,45 @@ def since(signals: DataFrame, start_ms: int) -> DataFrame:
     return signals.filter(F.col("trade_ts") >= start_ms)
 
 
+@dataclass(frozen=True)
+class Detector:
+    """A detector as data: what it calls its signals, how it finds candidates, how long it then rests.
+
+    ``candidates(trades, cfg)`` returns rows with at least ``symbol``, ``trade_ts`` and ``seq``. Any function
+    of that shape can be plugged in.
+    """
+
+    signal_type: str
+    candidates: Callable[[DataFrame, Settings], DataFrame]
+    cooldown_ms: Callable[[Settings], int]
+
+    def detect(self, trades: DataFrame, cfg: Settings) -> DataFrame:
+        found = self.candidates(trades, cfg)
+        return cooldown_thin(found, ["symbol"], "trade_ts", "seq", self.cooldown_ms(cfg)).withColumn(
+            "signal_type", F.lit(self.signal_type)
+        )
+
+
+DETECTORS = (
+    Detector("volume_spike", volume_candidates, lambda cfg: cfg.volume_cooldown_ms),
+    Detector(
+        "momentum_signal",
+        lambda trades, cfg: momentum_candidates(completed_candles(candles(trades, cfg.candle_ms)), cfg),
+        lambda cfg: cfg.momentum_cooldown_ms,
+    ),
+    Detector("volatility_spike", volatility_candidates, lambda cfg: cfg.volatility_cooldown_ms),
+)
+
+
+def detect(trades: DataFrame, cfg: Settings, detectors: Sequence[Detector] = DETECTORS) -> DataFrame:
+    """The signals of several detectors as one feed, keeping every field of each.
+
+    For history, ``plans.gold.Pipeline`` gives the same and writes the steps between once.
+    """
+    found = [x.detect(trades, cfg) for x in detectors]
+    return reduce(lambda a, b: a.unionByName(b, True), found).withColumn("detected_at", ms_to_iso(F.col("trade_ts")))
+
+
 def unify(volume: DataFrame, momentum: DataFrame, volatility: DataFrame) -> DataFrame:
     """The three signal kinds as one feed, keeping every field of each."""
     parts = [

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import bucket, ms_to_iso_seconds, pct_change, ts_literal
 from tradeloom.operators.blocks import numbered
+from tradeloom.operators.skew import time_blocks
 from tradeloom.operators.sliding import sliding_stats
 
 
@@ -52,7 +53,8 @@ def feature_recent(trades: DataFrame, recent: int, block_ms: int) -> DataFrame:
     Trades are numbered per symbol block by block; the numbers then serve as the axis of the sliding window,
     so a symbol is spread over many tasks although the window counts rows and not time.
     """
-    ranked = numbered(trades.withColumn("_block", bucket("t", block_ms)), ["s"], "_block", ["t", "seq"]).drop("_block")
+    blocked = time_blocks(trades, ["s"], "t", "seq", block_ms)
+    ranked = numbered(blocked, ["s"], "_block", ["t", "seq"]).drop("_block")
     place = F.struct("rn", "p")
     slid = sliding_stats(
         ranked,

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import bucket
+from tradeloom.operators.skew import hot_groups
 
-_COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
+_AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def sliding_stats(
@@ -21,6 +22,7 @@ def sliding_stats(
     parts: int,
     measures: Mapping[str, tuple[str, Column]],
     moments: Mapping[str, str] | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Aggregate, for every row, the earlier rows of its key with ``pos`` in ``[pos - width, pos]``.
 
@@ -34,29 +36,46 @@ def sliding_stats(
     pre-aggregated row each. One pass forward adds what entered, one pass backward what has not yet left.
     Values are only ever added, never subtracted, so sums carry no cancellation error. A task holds two
     slices of one key however large the key is, and one shuffle moves everything.
+
+    With ``hot_rows`` given, slices with more rows than that are looked for first, and those found are split
+    into pieces of one ``pos`` and at most ``hot_rows`` consecutive ``tie`` numbers. Pieces are worked on
+    separately and then offset by the totals of the pieces before and after them.
     """
     if width % parts:
         raise ValueError("width must be a multiple of parts")
     moments = dict(moments or {})
     step = width // parts
     slice_of = bucket(pos, step)
+    at = F.when(F.col("_kind") == 2, F.col(pos) + width).otherwise(F.col(pos))
 
     events = rows.withColumn("_kind", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn(
         "_slice", slice_of + (F.col("_kind") - 1) * parts
     )
     if parts > 1:
         events = events.unionByName(_whole_slices(rows, keys, pos, slice_of, step, parts, measures, moments), True)
+    group, hot = [*keys, "_slice"], None
+    if hot_rows is not None:
+        means = [F.avg(F.col(c).cast("double")).alias(f"_near_{n}") for n, c in moments.items()]
+        hot = hot_groups(rows, [*keys, slice_of.alias("_slice")], hot_rows, *means)
+    if hot is not None:
+        touched = (
+            hot.withColumn("_slice", F.explode(F.array(F.col("_slice"), F.col("_slice") + parts)))
+            .groupBy(*group)
+            .agg(F.lit(True).alias("_hot"), *[F.max(f"_near_{n}").alias(f"_near_{n}") for n in moments])
+        )
+        piece = F.struct(at.alias("at"), F.col("_kind").alias("kind"), bucket(tie, hot_rows).alias("tie"))
+        events = events.join(F.broadcast(touched), group, "left").withColumn("_piece", F.when(F.col("_hot"), piece))
+        group = [*group, "_piece"]
     # Only the row itself is shuffled; what follows from it is worked out on the other side.
-    events = events.repartition(*keys, "_slice").withColumn(
-        "_at", F.when(F.col("_kind") == 2, F.col(pos) + width).otherwise(F.col(pos))
-    )
+    apart = events
+    events = events.repartition(*group).withColumn("_at", at)
 
     def part(name: str, value: Column) -> Column:
         return F.when(F.col("_kind") == 0, F.col(f"_whole.{name}")).otherwise(value) if parts > 1 else value
 
-    group = Window.partitionBy(*keys, "_slice")
-    forward = group.orderBy("_at", "_kind", tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    backward = group.orderBy(F.desc("_at"), F.desc("_kind"), F.desc(tie)).rowsBetween(
+    together = Window.partitionBy(*group)
+    forward = together.orderBy("_at", "_kind", tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    backward = together.orderBy(F.desc("_at"), F.desc("_kind"), F.desc(tie)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     entered, staying = F.col("_kind") < 2, F.col("_kind") == 2
@@ -65,7 +84,8 @@ def sliding_stats(
     for name, column in moments.items():
         # Deviations are taken from a value of the same slice, which keeps the squares small.
         mean = part(f"{name}_mean", F.col(column).cast("double"))
-        events = events.withColumn(f"_ref_{name}", F.first(mean).over(forward))
+        near = F.first(mean).over(forward)
+        events = events.withColumn(f"_ref_{name}", near if hot is None else F.coalesce(f"_near_{name}", near))
         n, off = part(f"{name}_n", F.lit(1).cast("bigint")), mean - F.col(f"_ref_{name}")
         sums[f"_n_{name}"] = ("sum", n)
         sums[f"_d1_{name}"] = ("sum", n * off)
@@ -73,18 +93,20 @@ def sliding_stats(
 
     out = events.select(
         "*",
-        *[_COMBINE[k](F.when(entered, c)).over(forward).alias(f"_f{n}") for n, (k, c) in sums.items()],
+        *[_AGGREGATE[k](F.when(entered, c)).over(forward).alias(f"_f{n}") for n, (k, c) in sums.items()],
     ).select(
         "*",
-        *[_COMBINE[k](F.when(staying, c)).over(backward).alias(f"_b{n}") for n, (k, c) in sums.items()],
+        *[_AGGREGATE[k](F.when(staying, c)).over(backward).alias(f"_b{n}") for n, (k, c) in sums.items()],
     )
-    both = {}
-    for n, (kind, _) in sums.items():
-        ahead, behind = F.col(f"_f{n}"), F.col(f"_b{n}")
-        if kind == "sum":
-            both[n] = F.when(behind.isNull(), ahead).when(ahead.isNull(), behind).otherwise(ahead + behind)
-        else:
-            both[n] = (F.least if kind == "min" else F.greatest)(ahead, behind)
+    if hot is None:
+        both = {n: _merge(kind, F.col(f"_f{n}"), F.col(f"_b{n}")) for n, (kind, _) in sums.items()}
+    else:
+        apart = apart.filter("_hot").withColumns({f"_ref_{n}": F.col(f"_near_{n}") for n in moments})
+        out = out.join(_other_pieces(apart, group, sums, entered, staying), group, "left")
+        both = {
+            n: _merge(kind, *[F.col(f"_{tag}{n}") for tag in ("f", "b", "before_", "after_")])
+            for n, (kind, _) in sums.items()
+        }
 
     result = [both[n].alias(n) for n in measures]
     for name in moments:
@@ -95,9 +117,37 @@ def sliding_stats(
     return out.filter(F.col("_kind") == 1).select(*rows.columns, *result)
 
 
+def _merge(kind: str, *values: Column) -> Column:
+    """Combine partial aggregates, any of which may be null."""
+    if kind == "min":
+        return F.least(*values)
+    if kind == "max":
+        return F.greatest(*values)
+    total = values[0]
+    for v in values[1:]:
+        total = F.when(v.isNull(), total).when(total.isNull(), v).otherwise(total + v)
+    return total
+
+
+def _other_pieces(events, group, sums, entered, staying) -> DataFrame:
+    """What the pieces of a split slice take over: entered values before them, staying values after them."""
+    *slice_, piece = group
+    totals = events.groupBy(*group).agg(
+        *[_AGGREGATE[k](F.when(entered, c)).alias(f"_t{n}") for n, (k, c) in sums.items()],
+        *[_AGGREGATE[k](F.when(staying, c)).alias(f"_u{n}") for n, (k, c) in sums.items()],
+    )
+    ahead = Window.partitionBy(*slice_).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*slice_).orderBy(F.desc(piece)).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *group,
+        *[_AGGREGATE[k](f"_t{n}").over(ahead).alias(f"_before_{n}") for n, (k, _) in sums.items()],
+        *[_AGGREGATE[k](f"_u{n}").over(behind).alias(f"_after_{n}") for n, (k, _) in sums.items()],
+    )
+
+
 def _whole_slices(rows, keys, pos, slice_of, step, parts, measures, moments) -> DataFrame:
     """One mergeable row per (key, slice), copied to the ``parts - 1`` slices whose windows cover it whole."""
-    columns = [_COMBINE[kind](value).alias(n) for n, (kind, value) in measures.items()]
+    columns = [_AGGREGATE[kind](value).alias(n) for n, (kind, value) in measures.items()]
     for name, column in moments.items():
         x = F.col(column).cast("double")
         # The mean of equal values is that value, without a rounding error of sum / count.

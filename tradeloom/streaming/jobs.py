@@ -17,6 +17,7 @@ from tradeloom.config import Settings
 from tradeloom.functions.columns import ms_to_iso, ms_to_ts
 from tradeloom.operators.detectors import SNAPSHOT_FIELDS
 from tradeloom.operators.features import feature_batches
+from tradeloom.operators.iforest import IsolationForestModel
 from tradeloom.schemas import FEATURE_COLS, SIGNAL_TABLE, SNAPSHOT_ENTRY, TRADE, UNIFIED_SIGNAL
 from tradeloom.sources import ingest, medallion
 from tradeloom.streaming.processors import SignalProcessor, SnapshotProcessor
@@ -125,8 +126,8 @@ def store_features(trades: DataFrame, path: str, checkpoint: str, once: bool = F
 
 
 def detect_signals(trades: DataFrame, cfg: Settings) -> DataFrame:
-    """Signals of the three trade-driven detectors, with state per symbol."""
-    schema = StructType.fromDDL(UNIFIED_SIGNAL)
+    """Signals of the three trade-driven detectors with the features to score them by, with state per symbol."""
+    schema = StructType.fromDDL(f"{UNIFIED_SIGNAL}, " + ", ".join(f"{c} double" for c in FEATURE_COLS))
     trades.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return trades.groupBy("s").transformWithStateInPandas(
         statefulProcessor=SignalProcessor(cfg, schema.names), outputStructType=schema, outputMode="Append", timeMode="None"
@@ -165,13 +166,14 @@ def publish_signals(
     path: str,
     checkpoint: str,
     once: bool = False,
-    score: Callable[[DataFrame], DataFrame] | None = None,
+    model: IsolationForestModel | None = None,
 ) -> StreamingQuery:
-    """Signals as key and JSON value; ``score`` may attach a model's score to each batch."""
+    """Signals as key and JSON value, scored where there is a model; without one the score stays null."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = batch if score is None else score(batch)
-        encoded = ingest.encode_signals(rows)
+        if model is not None:
+            batch = model.transform(batch).withColumn("ml_anomaly_score", F.col("score"))
+        encoded = ingest.encode_signals(batch)
         replacing(path, (), batch_id)(encoded)
 
     return _start(signals.writeStream.foreachBatch(load), checkpoint, once, every="5 seconds")

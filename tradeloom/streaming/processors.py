@@ -16,6 +16,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tradeloom.config import Settings
 from tradeloom.operators.cooldown import kept_positions
+from tradeloom.schemas import FEATURE_COLS
 
 _NEVER = -(2**62)
 
@@ -53,8 +54,18 @@ def trailing(t: np.ndarray, p: np.ndarray, v: np.ndarray, width: int) -> dict[st
     }
 
 
+def describe(p: np.ndarray, v: np.ndarray) -> dict[str, float]:
+    """The features of some trades in time order, as ``operators.features``."""
+    n, first = len(p), p[0]
+    numbers = (
+        n, p.mean(), p.std() if p.min() < p.max() else 0.0, p.min(), p.max(), v.sum(), v.mean(), v.max(),
+        (p[-1] - first) / first * 100 if first != 0 else 0.0,
+    )
+    return dict(zip(FEATURE_COLS, map(float, numbers)))
+
+
 class SignalProcessor(StatefulProcessor):
-    """Volume, volatility and momentum signals of one symbol."""
+    """Volume, volatility and momentum signals of one symbol, each with the features of the latest trades."""
 
     def __init__(self, cfg: Settings, columns: list[str]):
         self.cfg, self.columns = cfg, columns
@@ -64,6 +75,7 @@ class SignalProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         # The tail is kept in slices, so that a batch rewrites only the slices it adds to.
         self.tail = handle.getMapState("tail", "slice bigint", "t binary, p binary, v binary")
+        self.recent = handle.getValueState("recent", "p binary, v binary")
         self.fired = handle.getValueState("fired", "volume bigint, volatility bigint, momentum bigint")
         self.bars = handle.getValueState(
             "bars",
@@ -80,10 +92,24 @@ class SignalProcessor(StatefulProcessor):
 
         out = self._windows(symbol, t, p, v, last) + self._momentum(symbol, t, p, v, last)
         self.fired.update(tuple(None if x == _NEVER else x for x in last))
+        self._describe(out, p, v)
         if out:
             # As objects, so that absent fields stay null instead of turning into NaN.
             yield pd.DataFrame({c: pd.Series([r.get(c) for r in out], dtype=object) for c in self.columns})
 
+    def _describe(self, signals: list[dict], p: np.ndarray, v: np.ndarray) -> None:
+        """Add the features of the last trades up to each signal, and keep the last trades of the batch."""
+        size = self.cfg.recent_trades
+        if self.recent.exists():
+            old_p, old_v = (np.frombuffer(b) for b in self.recent.get())
+        else:
+            old_p = old_v = np.array([])
+        p, v = np.concatenate([old_p, p]), np.concatenate([old_v, v])
+        for signal in signals:
+            end = len(old_p) + signal.pop("_row") + 1
+            signal.update(describe(p[max(0, end - size) : end], v[max(0, end - size) : end]))
+        self.recent.update((p[-size:].tobytes(), v[-size:].tobytes()))
+
     def _windows(self, symbol, t, p, v, last) -> list[dict]:
         cfg = self.cfg
         old = [(s[0], *(np.frombuffer(b, d) for b, d in zip(x, (np.int64, float, float)))) for s, x in self.tail.iterator()]
@@ -94,6 +120,7 @@ class SignalProcessor(StatefulProcessor):
         )
         order = np.argsort(all_t, kind="stable")
         is_new = order >= size
+        row = order - size
         all_t, all_p, all_v = all_t[order], all_p[order], all_v[order]
         self._store_tail(old, all_t, all_p, all_v, t)
 
@@ -106,6 +133,7 @@ class SignalProcessor(StatefulProcessor):
             out.append(
                 self._spike(symbol, "volume_spike", all_t, all_p, w, i)
                 | {
+                    "_row": int(row[i]),
                     "trade_volume": float(all_v[i]),
                     "avg_volume": stable_round(mean[i], 2),
                     "spike_ratio": stable_round(all_v[i] / mean[i], 2),
@@ -121,6 +149,7 @@ class SignalProcessor(StatefulProcessor):
             out.append(
                 self._spike(symbol, "volatility_spike", all_t, all_p, w, i)
                 | {
+                    "_row": int(row[i]),
                     "mean_price": stable_round(w["mean"][i], 4),
                     "std_dev": stable_round(std[i], 4),
                     "z_score": stable_round(z[i], 3),
@@ -168,10 +197,10 @@ class SignalProcessor(StatefulProcessor):
         if self.bars.exists():
             minute, o, h, low, c, vol, minutes, opens, closes = self.bars.get()
             current, done = [minute, o, h, low, c, vol], list(zip(minutes, opens, closes))
-        minute = t // cfg.candle_ms
+        minute, row = t // cfg.candle_ms, np.arange(len(t))
         if current is not None:
             on_time = minute >= current[0]
-            t, p, v, minute = t[on_time], p[on_time], v[on_time], minute[on_time]
+            t, p, v, minute, row = t[on_time], p[on_time], v[on_time], minute[on_time], row[on_time]
         out = []
         numbers, starts = np.unique(minute, return_index=True)
         for number, a, b in zip(numbers, starts, [*starts[1:], len(t)]):
@@ -181,7 +210,7 @@ class SignalProcessor(StatefulProcessor):
                 continue
             if current is not None:
                 done = [*done, (current[0], current[1], current[4])][-n:]
-                out += self._direction(symbol, done, int(t[a]), last)
+                out += [s | {"_row": int(row[a])} for s in self._direction(symbol, done, int(t[a]), last)]
             current = bar
         if current is not None:
             minutes, opens, closes = (list(x) for x in zip(*done)) if done else ([], [], [])
