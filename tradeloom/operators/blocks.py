@@ -15,15 +15,17 @@ def running(
     order: Sequence[str],
     values: Mapping[str, tuple[str, str]],
     include_current: bool = True,
+    place: Column | None = None,
 ) -> DataFrame:
     """Add running aggregates in ``order`` over each key.
 
     ``values`` maps an output name to ``(kind, column)``, kind one of ``count sum min max first last``
     (nulls ignored). ``block`` must grow with ``order``: every row of a block comes before every row of
     the next. Blocks are pre-aggregated to one row each, those few rows are accumulated per key, and each
-    block then continues from the value it inherits.
+    block then continues from the value it inherits. ``place`` may give the order inside a block as one
+    number, which ``first`` and ``last`` aggregate faster by.
     """
-    place = F.struct(*order)
+    place = F.struct(*order) if place is None else place
     totals, inherit, local, merged = [], [], [], []
     before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*keys, block).orderBy(*order)

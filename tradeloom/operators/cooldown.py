@@ -15,32 +15,39 @@ _NEVER = -(2**62)
 
 
 def cooldown_thin(
-    candidates: DataFrame, keys: Sequence[str], t: str, tie: str, cooldown_ms: int, cooldowns_per_block: int = 32
+    candidates: DataFrame, keys: Sequence[str], t: str, tie: str, cooldown_ms: int, cooldowns_per_block: int = 16
 ) -> DataFrame:
     """Thin candidates per key in ``(t, tie)`` order. The first one always passes; a gap of exactly the
-    cooldown passes too.
+    cooldown passes too. ``tie`` is unique among the candidates of a key with an equal ``t``.
 
     The rule is sequential, but a block of time only depends on the past through one number: the earliest
     time at which it may fire. Each block therefore works out, independently, when it would next be free
     for every candidate it could start from, reduced to the points where the answer changes. A light pass
     over those points walks from block to block; blocks after a quiet gap of a whole cooldown start afresh
     and are walked in parallel. With its starting time known, each block marks what it keeps.
+
+    Of candidates with an equal time only the first can pass, so times are made distinct before they are
+    gathered: a block has at most one row per millisecond, whatever the data. Only times and ties go through
+    Python; the candidates themselves are matched to the kept ones at the end.
     """
     block_ms = cooldown_ms * cooldowns_per_block
-    keyed = candidates.withColumn("_block", bucket(t, block_ms))
+    times = (
+        candidates.groupBy(*keys, F.col(t).alias("_t"))
+        .agg(F.min(tie).alias("_tie"))
+        .withColumn("_block", bucket("_t", block_ms))
+    )
     by_block = [*keys, "_block"]
-    schema_keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.select(*by_block).schema)
+    types = {f.name: f.dataType.simpleString() for f in times.schema}
+    block_schema = ", ".join(f"{c} {types[c]}" for c in by_block)
 
     def outcomes(group: pd.DataFrame) -> pd.DataFrame:
-        starts, free_at = block_outcomes(np.sort(group[t].to_numpy()), cooldown_ms, block_ms)
+        starts, free_at = block_outcomes(np.sort(group["_t"].to_numpy()), cooldown_ms, block_ms)
         out = group[by_block].iloc[[0] * len(starts)].reset_index(drop=True)
         return out.assign(_start=starts, _free=free_at)
 
-    points = keyed.select(*by_block, t).groupBy(*by_block).applyInPandas(
-        outcomes, f"{schema_keys}, _start bigint, _free bigint"
-    )
+    points = times.groupBy(*by_block).applyInPandas(outcomes, f"{block_schema}, _start bigint, _free bigint")
 
-    spans = keyed.groupBy(*by_block).agg(F.min(t).alias("_first"), F.max(t).alias("_last"))
+    spans = times.groupBy(*by_block).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     in_order = Window.partitionBy(*keys).orderBy("_block")
     fresh = F.coalesce(F.col("_first") - F.lag("_last").over(in_order) >= cooldown_ms, F.lit(True))
     chains = (
@@ -49,11 +56,14 @@ def cooldown_thin(
         .select(*by_block, "_chain")
     )
 
-    walk_order = [*keys, "_chain", "_block", "_start"]
+    chain_keys = [*keys, "_chain"]
+    walk_order = [*chain_keys, "_block", "_start"]
     ordered = (
-        points.join(chains, by_block).repartition(*keys, "_chain").sortWithinPartitions(*walk_order).select(*walk_order, "_free")
+        points.join(chains, by_block)
+        .repartition(*chain_keys)
+        .sortWithinPartitions(*walk_order)
+        .select(*walk_order, "_free")
     )
-    chain_keys = [*keys, "_chain"]
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chain, block, may_fire, settled = None, None, _NEVER, False
@@ -71,16 +81,22 @@ def cooldown_thin(
             if rows:
                 yield pd.DataFrame(rows, columns=[*by_block, "_may_fire"])
 
-    entries = ordered.mapInPandas(walk, f"{schema_keys}, _may_fire bigint")
+    entries = ordered.mapInPandas(walk, f"{block_schema}, _may_fire bigint")
 
-    out_columns = candidates.columns
-    out_schema = candidates.schema
+    kept_columns = [*keys, "_t", "_tie"]
 
     def keep(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([t, tie], kind="stable")
-        return group.iloc[kept_positions(group[t].to_numpy(), cooldown_ms, group["_may_fire"].iloc[0])][out_columns]
-
-    return keyed.join(entries, by_block).groupBy(*by_block).applyInPandas(keep, out_schema)
+        group = group.sort_values("_t")
+        at = kept_positions(group["_t"].to_numpy(), cooldown_ms, group["_may_fire"].iloc[0])
+        return group.iloc[at][kept_columns]
+
+    kept = (
+        times.join(entries, by_block)
+        .groupBy(*by_block)
+        .applyInPandas(keep, ", ".join(f"{c} {types[c]}" for c in kept_columns))
+        .withColumnsRenamed({"_t": t, "_tie": tie})
+    )
+    return candidates.join(kept, [*keys, t, tie], "left_semi")
 
 
 def block_outcomes(times: np.ndarray, cooldown_ms: int, block_ms: int) -> tuple[np.ndarray, np.ndarray]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.config import DAY_MS, Settings
-from tradeloom.functions.columns import bucket, half_even, ms_to_iso, ms_to_ts
+from tradeloom.functions.columns import arrival_order, bucket, half_even, ms_to_iso, ms_to_ts
 from tradeloom.operators.blocks import next_value, numbered, running, with_preceding
 from tradeloom.operators.cooldown import cooldown_thin
 from tradeloom.operators.skew import HOT_ROWS, time_blocks
@@ -156,20 +156,15 @@ def spike_rows(trades: DataFrame, cfg: Settings) -> DataFrame:
 
 def candles(trades: DataFrame, candle_ms: int, session: tuple[str, ...] = ()) -> DataFrame:
     """One row per (symbol, minute with trades); partial aggregation keeps the shuffle at candle size."""
-    arrival = F.struct("t", "seq")
-    return (
-        trades.groupBy("s", *session, bucket("t", candle_ms).alias("minute"))
-        .agg(
-            F.min_by("p", arrival).alias("open"),
-            F.max("p").alias("high"),
-            F.min("p").alias("low"),
-            F.max_by("p", arrival).alias("close"),
-            F.sum("v").alias("volume"),
-            F.min(arrival).alias("_first"),
-        )
-        .withColumn("first_t", F.col("_first.t"))
-        .withColumn("first_seq", F.col("_first.seq"))
-        .drop("_first")
+    arrival = arrival_order(F.pmod("t", F.lit(candle_ms)), F.col("seq"), candle_ms)
+    return trades.groupBy("s", *session, bucket("t", candle_ms).alias("minute")).agg(
+        F.min_by("p", arrival).alias("open"),
+        F.max("p").alias("high"),
+        F.min("p").alias("low"),
+        F.max_by("p", arrival).alias("close"),
+        F.sum("v").alias("volume"),
+        F.min("t").alias("first_t"),
+        F.min_by("seq", arrival).alias("first_seq"),
     )
 
 
@@ -257,6 +252,7 @@ def sector_state(trades: DataFrame, block_ms: int, session: tuple[str, ...] = ()
         "_block",
         ["t", "seq"],
         {"open_price": ("first", "p"), "trade_count": ("count", "p"), "total_volume": ("sum", "v")},
+        place=arrival_order(F.pmod("t", F.lit(block_ms)), F.col("seq"), block_ms),
     )
     return state.select(
         *keys,
@@ -272,7 +268,7 @@ def sector_state(trades: DataFrame, block_ms: int, session: tuple[str, ...] = ()
 
 def tick_states(trades: DataFrame, snapshot_ms: int) -> DataFrame:
     """Trades folded to one row per (symbol, snapshot tick that first sees them)."""
-    arrival = F.struct("t", "seq")
+    arrival = arrival_order(F.pmod(F.col("t") - 1, F.lit(snapshot_ms)), F.col("seq"), snapshot_ms)
     tick = F.expr(f"(t + {snapshot_ms - 1}L) div {snapshot_ms}L")
     return trades.groupBy("s", tick.alias("tick")).agg(
         F.min_by("p", arrival).alias("open"),

@@ -31,14 +31,11 @@ def report(scored: DataFrame, score: str = "score") -> DataFrame:
     symbols = rates_by_symbol(scored, score).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("symbol", "anomaly_rate")))).alias("symbol_anomaly_rates")
     )
-    one = F.lit(1).alias("_one")
-    joined = whole.select("*", one).join(spread.select("*", one), "_one").join(symbols.select("*", one), "_one")
-    return joined.select(
-        "anomaly_rate",
-        *[half_even(F.col(c), 4).alias(c) for c in ("score_p50", "score_p90", "score_p99")],
-        "symbol_anomaly_rates",
-        "n_records",
-    )
+    # Three one-row results side by side.
+    stacked = whole.unionByName(spread, True).unionByName(symbols, True)
+    columns = ("anomaly_rate", "score_p50", "score_p90", "score_p99", "symbol_anomaly_rates", "n_records")
+    row = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
+    return row.withColumns({c: half_even(F.col(c), 4) for c in columns if c.startswith("score_")})
 
 
 def gate(report_row: DataFrame) -> DataFrame:

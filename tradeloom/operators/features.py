@@ -8,15 +8,18 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.columns import bucket, ms_to_iso_seconds, pct_change, ts_literal
+from tradeloom.functions.columns import arrival_order, bucket, ms_to_iso_seconds, pct_change, ts_literal
 from tradeloom.operators.blocks import numbered
 from tradeloom.operators.skew import time_blocks
 from tradeloom.operators.sliding import sliding_stats
 
 
-def feature_vector(trades: DataFrame, by: Sequence[str | Column]) -> DataFrame:
-    """Features per group; partial aggregation reduces a group of any size before the shuffle."""
-    arrival = F.struct("t", "seq")
+def feature_vector(trades: DataFrame, by: Sequence[str | Column], arrival: Column | None = None) -> DataFrame:
+    """Features per group; partial aggregation reduces a group of any size before the shuffle.
+
+    ``arrival`` orders the trades of a group and is ``(t, seq)`` unless given.
+    """
+    arrival = F.struct("t", "seq") if arrival is None else arrival
     grouped = trades.groupBy(*by).agg(
         F.max("t").alias("max_t"),
         F.count(F.lit(1)).cast("double").alias("batch_trade_count"),
@@ -39,7 +42,8 @@ def feature_vector(trades: DataFrame, by: Sequence[str | Column]) -> DataFrame:
 
 def feature_windows(trades: DataFrame, bucket_ms: int) -> DataFrame:
     """Features per (symbol, time bucket)."""
-    return feature_vector(trades, [F.col("s").alias("symbol"), bucket("t", bucket_ms).alias("bucket")])
+    arrival = arrival_order(F.pmod("t", F.lit(bucket_ms)), F.col("seq"), bucket_ms)
+    return feature_vector(trades, [F.col("s").alias("symbol"), bucket("t", bucket_ms).alias("bucket")], arrival)
 
 
 def feature_batches(trades: DataFrame, batch: str) -> DataFrame:

@@ -28,8 +28,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price() -> Column:
-    k = F.get_json_object("props", "$.k").cast("int").cast("double")
-    return F.lit(100.0) + k * k * k * k / F.lit(1e6)
+    return F.lit(100.0) + F.pow(F.get_json_object("props", "$.k").cast("int"), F.lit(4)) / F.lit(1e6)
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
