@@ -61,13 +61,13 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> l
 
 def _tree_draws(key: Column, seed: int, trees: int, rate: float) -> Column:
     """The trees that draw a row, each with its lot. A row's lots depend on its key and the seed only."""
-    top = float(2**31)
+    bits = 2**53
 
     def lot(tree):
-        return F.pmod(F.xxhash64(key, F.lit(seed), tree), F.lit(2**31)).cast("double") / top
+        return F.xxhash64(key, F.lit(seed), tree).bitwiseAND(F.lit(bits - 1)) / F.lit(float(bits))
 
-    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: lot(tree) < rate)
-    return F.transform(drawn, lambda tree: F.struct(tree.alias("tree"), lot(tree).alias("lot")))
+    lots = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.struct(tree.alias("tree"), lot(tree).alias("lot")))
+    return F.filter(lots, lambda x: x["lot"] < rate)
 
 
 class _ForestParams(Params):
@@ -94,33 +94,39 @@ class IsolationForest(Estimator, _ForestParams):
 
     def _fit(self, dataset: DataFrame) -> IsolationForestModel:
         trees, wanted, seed = (self.getOrDefault(p) for p in (self.numTrees, self.sampleSize, self.seed))
-        rows = dataset.select(F.struct(*self.key).alias("_key"), *[F.col(c).cast("double") for c in FEATURE_COLS])
-        total = rows.count()
-        if total == 0:
-            raise ValueError("no rows to train on")
-        sample = min(wanted, total)
-        # Each tree is offered a few standard deviations more rows than it takes.
-        rate = min(1.0, (sample + 8.0 * math.sqrt(sample)) / total)
-        draws = rows.withColumn("_draw", F.explode(_tree_draws(F.col("_key"), seed, trees, rate))).select(
-            F.col("_draw.tree").alias("tree"), F.col("_draw.lot").alias("lot"), "_key", *FEATURE_COLS
-        )
-        max_depth = math.ceil(math.log2(max(sample, 2)))
-
-        def build(group: pd.DataFrame) -> pd.DataFrame:
-            tree = int(group["tree"].iloc[0])
-            chosen = group.assign(_k=group["_key"].astype(str)).sort_values(["lot", "_k"]).head(sample)
-            points = chosen[list(FEATURE_COLS)].to_numpy(dtype=float)
-            nodes = grow_tree(points, np.random.default_rng([seed, tree]), max_depth)
-            columns = ["node", "feature", "threshold", "left_node", "right_node", "depth", "size"]
-            return pd.DataFrame(nodes, columns=columns).assign(tree=tree, sample_size=len(points))[
-                ["tree", *columns, "sample_size"]
-            ]
-
-        # A group is one tree's offer of a few hundred rows. The nodes are collected: their number is bounded
-        # by trees and sample size, and scoring sends them to every executor anyway.
-        nodes = draws.groupBy("tree").applyInPandas(build, NODES).orderBy("tree", "node").toPandas()
-        model = IsolationForestModel(nodes, 0.0, 1.0, orientation=self.getOrDefault(self.orientation))
-        ends = model.raw(dataset).agg(F.min("raw").alias("low"), F.max("raw").alias("high")).first()
+        columns = list(FEATURE_COLS)
+        rows = dataset.select(F.struct(*self.key).alias("_key"), *[F.col(c).cast("double") for c in columns]).persist()
+        try:
+            total = rows.count()
+            if total == 0:
+                raise ValueError("no rows to train on")
+            sample = min(wanted, total)
+            # Each tree is offered a few standard deviations more rows than it takes.
+            rate = min(1.0, (sample + 8.0 * math.sqrt(sample)) / total)
+            draws = rows.withColumn("_draw", F.explode(_tree_draws(F.col("_key"), seed, trees, rate))).select(
+                F.col("_draw.tree").alias("tree"), F.col("_draw.lot").alias("lot"), *columns
+            )
+            max_depth = math.ceil(math.log2(max(sample, 2)))
+
+            def build(group: pd.DataFrame) -> pd.DataFrame:
+                tree = int(group["tree"].iloc[0])
+                values = group[["lot", *columns]].to_numpy(dtype=float)
+                points = values[np.lexsort(values.T[::-1])][:sample, 1:]
+                nodes = grow_tree(points, np.random.default_rng([seed, tree]), max_depth)
+                names = ["node", "feature", "threshold", "left_node", "right_node", "depth", "size"]
+                out = pd.DataFrame(nodes, columns=names)
+                out.insert(0, "tree", tree)
+                return out.assign(sample_size=len(points))
+
+            # A group is one tree's offer of a few hundred rows. The nodes are collected: their number is
+            # bounded by trees and sample size, and scoring sends them to every executor anyway.
+            tasks = min(trees, dataset.sparkSession.sparkContext.defaultParallelism)
+            grown = draws.repartition(tasks, "tree").groupBy("tree").applyInPandas(build, NODES)
+            nodes = grown.toPandas().sort_values(["tree", "node"], ignore_index=True)
+            model = IsolationForestModel(nodes, 0.0, 1.0, orientation=self.getOrDefault(self.orientation))
+            ends = model.raw(rows).agg(F.min("raw").alias("low"), F.max("raw").alias("high")).first()
+        finally:
+            rows.unpersist()
         model.low, model.high = float(ends["low"]), float(ends["high"])
         return model
 

@@ -551,6 +551,11 @@ def _features(spark, sf_dir) -> DataFrame:
     return features.feature_windows(trades(spark, sf_dir), CFG.feature_bucket_ms)
 
 
+def _stored_features(spark, sf_dir) -> DataFrame:
+    """The feature table as the feature job leaves it for training and evaluation."""
+    return pipeline(spark, sf_dir).stage.table("features", lambda: _features(spark, sf_dir))
+
+
 @query
 def feature_windows(spark, sf_dir):
     """M1 A11"""
@@ -582,7 +587,7 @@ def feature_split(spark, sf_dir):
 def _scored(spark, sf_dir) -> DataFrame:
     """Feature rows with a made-up decision value, scaled; the same in ``oracle.py``."""
     raw = F.bround(F.col("price_change_pct") / 100 - F.col("volume_max") / 1000, 6)
-    decided = _features(spark, sf_dir).select("symbol", "bucket", raw.alias("raw"))
+    decided = _stored_features(spark, sf_dir).select("symbol", "bucket", raw.alias("raw"))
     return iforest.minmax_scores(decided, "raw").withColumn("score", F.bround("score", 6))
 
 
@@ -621,7 +626,7 @@ _models: dict[tuple[str, str], iforest.IsolationForestModel] = {}
 def _model(spark: SparkSession, sf_dir: str) -> iforest.IsolationForestModel:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        train = features.split_by_time(_features(spark, sf_dir), AS_OF, 2).filter("split = 'train'")
+        train = features.split_by_time(_stored_features(spark, sf_dir), AS_OF, 2).filter("split = 'train'")
         _models[key] = iforest.IsolationForest(key=("symbol", "bucket")).fit(train)
     return _models[key]
 
@@ -638,7 +643,7 @@ def iforest_fit(spark, sf_dir):
 @query
 def iforest_score(spark, sf_dir):
     """M7: every feature row with its score."""
-    scored = _model(spark, sf_dir).transform(_features(spark, sf_dir))
+    scored = _model(spark, sf_dir).transform(_stored_features(spark, sf_dir))
     return scored.select("symbol", "event_time", F.round("score", 6).alias("score"))
 
 
@@ -648,7 +653,7 @@ def iforest_roundtrip(spark, sf_dir):
     model = _model(spark, sf_dir)
     path = pipeline(spark, sf_dir).stage.folder("model", lambda path: model.save(spark, path))
     loaded = iforest.IsolationForestModel.load(spark, path)
-    both = loaded.transform(model.transform(_features(spark, sf_dir)).withColumnRenamed("score", "fitted"))
+    both = loaded.transform(model.transform(_stored_features(spark, sf_dir)).withColumnRenamed("score", "fitted"))
     return both.select("symbol", "event_time", "fitted", "score", (F.col("fitted") == F.col("score")).alias("equal"))
 
 
@@ -668,7 +673,7 @@ def model_registry(spark, sf_dir):
 
     def write(path: str) -> None:
         registry = evaluation.ModelRegistry(spark, path)
-        validation = features.split_by_time(_features(spark, sf_dir), AS_OF, 2).filter("split = 'validation'")
+        validation = features.split_by_time(_stored_features(spark, sf_dir), AS_OF, 2).filter("split = 'validation'")
         rate = evaluation.report(_model(spark, sf_dir).transform(validation)).first()["anomaly_rate"]
         version = registry.register(f"{p.stage.path}/model", rate, AS_OF)
         if version is not None:
