@@ -173,3 +173,33 @@ def test_retention(spark):
     got = [tuple(r) for r in medallion.expired_partitions(df, "bronze", date(2024, 4, 2)).orderBy("date").collect()]
     assert got == [("bronze", date(2024, 1, 1), 1), ("bronze", date(2024, 1, 2), 2)]
     assert medallion.expired_partitions(df, "features", date(2024, 3, 31)).count() == 2
+
+
+def test_stage_folder_comes_from_the_session():
+    from types import SimpleNamespace
+
+    from tradeloom.storage import shared_root
+
+    def session(master, **conf):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=conf.get), sparkContext=context)
+
+    assert shared_root(session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
+    with pytest.raises(ValueError):
+        shared_root(session("yarn"))
+    local = session("local[2]")
+    assert shared_root(local) == shared_root(local)
+
+
+def test_stage_table_is_built_once(spark):
+    from tradeloom.storage import Stage
+
+    stage, built = Stage(spark, "stage-test"), []
+
+    def build():
+        built.append(1)
+        return spark.range(3).filter("id > 5")
+
+    assert stage.table("empty", build).count() == 0
+    assert stage.table("empty", build).columns == ["id"]
+    assert built == [1]

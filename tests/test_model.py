@@ -44,6 +44,20 @@ def test_recent_features(spark, recent):
         assert [r[c] for c in FEATURE_COLS] == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("block_ms", [500, 20_000, 10_000_000])
+def test_recent_features_of_some_trades(spark, block_ms):
+    rng = random.Random(block_ms)
+    rows = [(rng.choice("aaab"), float(rng.randrange(1, 90)), 1.0, rng.randrange(90) * 700, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "s string, p double, v double, t bigint, seq bigint").repartition(4)
+    some = df.filter("seq % 37 = 0").selectExpr("s as symbol", "t as trade_ts", "seq")
+    got = features.feature_recent(df, 20, block_ms, some)
+    want = features.feature_recent(df, 20, block_ms).filter("seq % 37 = 0")
+    rounded = ["symbol", "seq", *[F.round(c, 6) for c in FEATURE_COLS]]
+    assert sorted(map(tuple, got.select(*rounded).collect())) == sorted(map(tuple, want.select(*rounded).collect()))
+    kept = features._looked_back_on(df, some.selectExpr("symbol as s", "trade_ts as t", "seq"), 20, 10_000_000)
+    assert kept.count() < len(rows)
+
+
 def test_split_and_csv(spark, tmp_path):
     now = datetime(2024, 1, 10)
     cutoff = int((now - timedelta(days=2) - datetime(1970, 1, 1)).total_seconds() * 1000)
@@ -126,7 +140,7 @@ def test_minmax(spark):
 def test_scores_of_signals(spark, trades, cloud):
     df = trades([("a", t, 10 + t % 3, 1) for t in range(50)])
     signals = spark.createDataFrame([("a", 49_000, 49, "x"), ("zz", 1, 1, "y")], "symbol string, trade_ts bigint, seq bigint, tag string")
-    recent = features.feature_recent(df, 100, 10_000)
+    recent = features.feature_recent(df, 100, 10_000, signals)
     assert {r.ml_anomaly_score for r in iforest.score_signals(signals, recent, None).collect()} == {None}
     got = {r.tag: r.ml_anomaly_score for r in iforest.score_signals(signals, recent, iforest.IsolationForest(numTrees=5).fit(cloud)).collect()}
     assert got["y"] is None

@@ -209,7 +209,7 @@ def test_scores_in_the_stream_equal_batch(spark, rows, tmp_path):
     sent = [json.loads(r["value"]) for r in spark.read.parquet(out).collect()]
     got = {(v["signal_type"], v["symbol"], v["detected_at"]): v["ml_anomaly_score"] for v in sent}
     found = d.detect(trades, CFG)
-    scored = iforest.score_signals(found, features.feature_recent(trades, CFG.recent_trades, 300_000), model).collect()
+    scored = iforest.score_signals(found, features.feature_recent(trades, CFG.recent_trades, 300_000, found), model).collect()
     want = {(r.signal_type, r.symbol, r.detected_at): r.ml_anomaly_score for r in scored}
     assert want and None not in want.values()
     assert got == pytest.approx(want)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import arrival_order, bucket, ms_to_iso_seconds, pct_change, ts_literal
-from tradeloom.operators.blocks import numbered
+from tradeloom.operators.blocks import numbered, running
 from tradeloom.operators.skew import time_blocks
 from tradeloom.operators.sliding import sliding_stats
 
@@ -51,14 +51,20 @@ def feature_batches(trades: DataFrame, batch: str) -> DataFrame:
     return feature_vector(trades, [F.col("s").alias("symbol"), batch])
 
 
-def feature_recent(trades: DataFrame, recent: int, block_ms: int) -> DataFrame:
-    """Features of the latest ``recent`` trades of its symbol, for every trade.
+def feature_recent(trades: DataFrame, recent: int, block_ms: int, at: DataFrame | None = None) -> DataFrame:
+    """Features of the latest ``recent`` trades of its symbol, for every trade or for those listed in ``at``.
 
     Trades are numbered per symbol block by block; the numbers then serve as the axis of the sliding window,
-    so a symbol is spread over many tasks although the window counts rows and not time.
+    so a symbol is spread over many tasks although the window counts rows and not time. ``at`` has the columns
+    ``symbol, trade_ts, seq``; with it, trades that no listed one looks back on are dropped right after the
+    numbering.
     """
-    blocked = time_blocks(trades, ["s"], "t", "seq", block_ms)
-    ranked = numbered(blocked, ["s"], "_block", ["t", "seq"]).drop("_block")
+    if at is None:
+        blocked = time_blocks(trades, ["s"], "t", "seq", block_ms)
+        ranked = numbered(blocked, ["s"], "_block", ["t", "seq"]).drop("_block")
+    else:
+        at = at.select(F.col("symbol").alias("s"), F.col("trade_ts").alias("t"), "seq").distinct()
+        ranked = _looked_back_on(trades, at, recent, block_ms)
     place = F.struct("rn", "p")
     slid = sliding_stats(
         ranked,
@@ -77,6 +83,8 @@ def feature_recent(trades: DataFrame, recent: int, block_ms: int) -> DataFrame:
         },
         {"price": "p"},
     )
+    if at is not None:
+        slid = slid.join(at, ["s", "t", "seq"], "left_semi")
     return slid.select(
         F.col("s").alias("symbol"),
         "t",
@@ -93,6 +101,27 @@ def feature_recent(trades: DataFrame, recent: int, block_ms: int) -> DataFrame:
     )
 
 
+def _looked_back_on(trades: DataFrame, at: DataFrame, recent: int, block_ms: int) -> DataFrame:
+    """Numbered trades that are among the latest ``recent`` of some trade in ``at``, and a few more.
+
+    The listed trades enter as marks right behind themselves. A trade stays if the next mark of its block is
+    near enough, or if it is so late in its block that a mark of a later block may look back on it.
+    """
+    order = ["t", "seq", "_mark"]
+    marked = trades.withColumn("_mark", F.lit(0)).unionByName(at.withColumn("_mark", F.lit(1)), True)
+    blocked = time_blocks(marked, ["s"], "t", "seq", block_ms)
+    ranked = running(blocked, ["s"], "_block", order, {"rn": ("count", "p")})
+    from_end = (
+        Window.partitionBy("s", "_block")
+        .orderBy(*[F.desc(c) for c in order])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    next_mark = F.last(F.when(F.col("_mark") == 1, F.col("rn")), ignorenulls=True).over(from_end)
+    seen = ranked.withColumn("_next", next_mark).withColumn("_left", F.count("p").over(from_end))
+    needed = (F.col("_next") - F.col("rn") < recent) | (F.col("_left") < recent)
+    return seen.filter((F.col("_mark") == 0) & needed).drop("_mark", "_block", "_next", "_left")
+
+
 def split_by_time(features: DataFrame, now: datetime, validation_days: int = 2) -> DataFrame:
     """Rows whose last trade lies in the final days validate, the rest train."""
     cutoff = ts_literal(now - timedelta(days=validation_days))

@@ -224,14 +224,14 @@ def minmax_scores(rows: DataFrame, raw: str, orientation: str = "anomaly") -> Da
     return rows.withColumn("score", scaled_score(F.col(raw), ends["low"], ends["high"], orientation))
 
 
-def score_signals(signals: DataFrame, recent_features: DataFrame, model: IsolationForestModel | None) -> DataFrame:
+def score_signals(signals: DataFrame, features: DataFrame, model: IsolationForestModel | None) -> DataFrame:
     """Attach the score of the latest trades at each signal; no model or no features leave it null.
 
-    Features are joined to the signals first, so only signal rows reach the forest.
+    ``features`` comes from ``feature_recent`` with these signals, so only their rows reach the forest.
     """
     if model is None:
         return signals.withColumn("ml_anomaly_score", F.lit(None).cast("double"))
-    at_signal = signals.select("symbol", "trade_ts", "seq").distinct()
-    features = recent_features.withColumnRenamed("t", "trade_ts").join(at_signal, ["symbol", "trade_ts", "seq"], "left_semi")
-    scored = model.transform(features).select("symbol", "trade_ts", "seq", F.col("score").alias("ml_anomaly_score"))
+    scored = model.transform(features).select(
+        "symbol", F.col("t").alias("trade_ts"), "seq", F.col("score").alias("ml_anomaly_score")
+    )
     return signals.drop("ml_anomaly_score").join(scored, ["symbol", "trade_ts", "seq"], "left")

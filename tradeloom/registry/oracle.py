@@ -172,6 +172,13 @@ CTES: dict[str, str] = {
                (last(p ORDER BY t, seq) - first(p ORDER BY t, seq)) / first(p ORDER BY t, seq) * 100 AS price_change_pct,
                strftime({ts("max(t)")}, '%Y-%m-%dT%H:%M:%SZ') AS event_time
         FROM trades GROUP BY 1, 2""",
+    "last_hundred": """
+        SELECT s AS symbol, t, seq, count(*) OVER w::DOUBLE AS batch_trade_count, avg(p) OVER w AS price_mean,
+               CASE WHEN min(p) OVER w < max(p) OVER w THEN stddev_pop(p) OVER w ELSE 0 END AS price_std,
+               min(p) OVER w AS price_min, max(p) OVER w AS price_max, sum(v) OVER w AS volume_sum,
+               avg(v) OVER w AS volume_mean, max(v) OVER w AS volume_max,
+               (p - first_value(p) OVER w) / first_value(p) OVER w * 100 AS price_change_pct
+        FROM trades WINDOW w AS (PARTITION BY s ORDER BY t, seq ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)""",
     # A made-up decision value per feature row, so that scaling and evaluation can be compared.
     "decided": """
         SELECT symbol, bucket, round_even(price_change_pct / 100 - volume_max / 1000, 6) AS raw FROM features""",
@@ -484,14 +491,11 @@ SQL: dict[str, str] = {
         SELECT signal_type, least(20, floor(ml_anomaly_score * 20)::BIGINT + 1) AS bin, count(*) AS n FROM scores GROUP BY 1, 2""",
     # features and evaluation
     "feature_windows": f"SELECT {_feature_out('event_time')} FROM features",
-    "feature_last100": f"""
-        SELECT {_feature_out("t, seq")} FROM (
-            SELECT s AS symbol, t, seq, count(*) OVER w::DOUBLE AS batch_trade_count, avg(p) OVER w AS price_mean,
-                   CASE WHEN min(p) OVER w < max(p) OVER w THEN stddev_pop(p) OVER w ELSE 0 END AS price_std,
-                   min(p) OVER w AS price_min, max(p) OVER w AS price_max, sum(v) OVER w AS volume_sum,
-                   avg(v) OVER w AS volume_mean, max(v) OVER w AS volume_max,
-                   (p - first_value(p) OVER w) / first_value(p) OVER w * 100 AS price_change_pct
-            FROM trades WINDOW w AS (PARTITION BY s ORDER BY t, seq ROWS BETWEEN 99 PRECEDING AND CURRENT ROW))""",
+    "feature_last100": f"SELECT {_feature_out('t, seq')} FROM last_hundred",
+    "feature_at_signals": f"""
+        SELECT {_feature_out('t, seq')} FROM last_hundred JOIN (
+            SELECT symbol, trade_ts AS t, seq FROM volume_kept UNION SELECT symbol, trade_ts, seq FROM momentum_kept
+            UNION SELECT symbol, trade_ts, seq FROM volatility_kept) USING (symbol, t, seq)""",
     "feature_batch": f"""
         SELECT {_feature_out("batch_id, event_time")} FROM (
             SELECT s AS symbol, seq // 100 AS batch_id, count(*)::DOUBLE AS batch_trade_count,
@@ -514,6 +518,11 @@ SQL: dict[str, str] = {
         SELECT anomaly_rate, anomaly_rate BETWEEN 0.03 AND 0.20 AS passed,
                CASE WHEN anomaly_rate BETWEEN 0.03 AND 0.20 THEN 'PendingManualApproval' ELSE 'Rejected' END AS status
         FROM ({_REPORT})""",
+    "iforest_fit": f"""
+        SELECT tree::INT AS tree, least(256, n) AS sample_size, least(256, n) AS leaf_rows, true AS is_full, true AS within_depth
+        FROM range(200) r(tree) CROSS JOIN (
+            SELECT count(*) AS n FROM features WHERE max_t < {ms(NOW)} - 2 * 86400000)""",
+    "iforest_roundtrip": "SELECT symbol, event_time, true AS equal FROM features",
 }
 
 _SCORE = """CASE signal_type WHEN 'volume_spike' THEN greatest(1, least(10, trunc(strength / 0.5::DOUBLE)::INT))

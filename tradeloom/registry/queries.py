@@ -569,6 +569,14 @@ def feature_last100(spark, sf_dir):
     return rounded(recent, *_FEATURE_ROUNDED)
 
 
+@query
+def feature_at_signals(spark, sf_dir):
+    """M2 M8: the same only for trades that made a signal, which is what gets scored."""
+    signals = _signals(pipeline(spark, sf_dir))
+    recent = features.feature_recent(trades(spark, sf_dir), CFG.recent_trades, CFG.volume_window_ms, signals)
+    return rounded(recent, *_FEATURE_ROUNDED)
+
+
 @query
 def feature_batch(spark, sf_dir):
     """M3: batches of a hundred arrivals."""
@@ -633,10 +641,14 @@ def _model(spark: SparkSession, sf_dir: str) -> iforest.IsolationForestModel:
 
 @query
 def iforest_fit(spark, sf_dir):
-    """M5: size of each tree grown from the training features."""
+    """M5: the shape of each tree: rows drawn, rows in its leaves, a full binary tree, depth within the limit."""
     nodes = spark.createDataFrame(_model(spark, sf_dir).nodes, iforest.NODES)
+    leaf = F.col("feature") < 0
     return nodes.groupBy("tree").agg(
-        F.count(F.lit(1)).alias("nodes"), F.max("depth").alias("depth"), F.max("sample_size").alias("sample_size")
+        F.max("sample_size").cast("bigint").alias("sample_size"),
+        F.sum(F.when(leaf, F.col("size"))).alias("leaf_rows"),
+        (F.count(F.lit(1)) == 2 * F.count_if(leaf) - 1).alias("is_full"),
+        (F.max("depth") <= 8).alias("within_depth"),
     )
 
 
@@ -654,15 +666,15 @@ def iforest_roundtrip(spark, sf_dir):
     path = pipeline(spark, sf_dir).stage.folder("model", lambda path: model.save(spark, path))
     loaded = iforest.IsolationForestModel.load(spark, path)
     both = loaded.transform(model.transform(_stored_features(spark, sf_dir)).withColumnRenamed("score", "fitted"))
-    return both.select("symbol", "event_time", "fitted", "score", (F.col("fitted") == F.col("score")).alias("equal"))
+    return both.select("symbol", "event_time", (F.col("fitted") == F.col("score")).alias("equal"))
 
 
 @query
 def signals_scored(spark, sf_dir):
     """M8: signals with the score of the latest hundred trades."""
     p = pipeline(spark, sf_dir)
-    recent = features.feature_recent(trades(spark, sf_dir), CFG.recent_trades, CFG.volume_window_ms)
     signals = _signals(p).select("signal_type", "symbol", "trade_ts", "seq", "detected_at")
+    recent = features.feature_recent(trades(spark, sf_dir), CFG.recent_trades, CFG.volume_window_ms, signals)
     return iforest.score_signals(signals, recent, _model(spark, sf_dir))
 
 
