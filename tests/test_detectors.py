@@ -210,11 +210,22 @@ def test_detectors_can_be_plugged_in(trades):
     ]
 
 
+def test_dense_feeds_get_finer_slices(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(rng.choice("ab"), round(rng.gauss(100, 1), 2), 1.0, rng.randrange(700_000), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "s string, p double, v double, t bigint, seq bigint")
+    coarse = d.rolling_stats(df, 300_000).drop("w_price_mean", "w_price_var")
+    monkeypatch.setattr(d, "DENSE_ROWS", 1)
+    fine = d.rolling_stats(df, 300_000).drop("w_price_mean", "w_price_var")
+    assert sorted(map(tuple, coarse.collect())) == sorted(map(tuple, fine.collect()))
+    assert "5000" in fine._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hot_slices_change_nothing(spark):
     rng = random.Random(4)
     rows = [(rng.choice("ab"), round(rng.gauss(100, 1), 2), round(rng.expovariate(0.1), 2), rng.randrange(3000) * 1000, i) for i in range(400)]
     rows += [("a", 101.0 + i % 3, 5.0, 1_500_000, 1000 + i) for i in range(250)]
     df = spark.createDataFrame(rows, "s string, p double, v double, t bigint, seq bigint")
     columns = ["s", "seq", "w_count", "w_from", "w_low", "w_high"]
-    got = [d.rolling_stats(df, 300_000, 10, (), hot).select(*columns).collect() for hot in (None, 20)]
+    got = [d.rolling_stats(df, 300_000, 10, (), hot).select(*columns).collect() for hot in (1_000_000, 20)]
     assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1]))

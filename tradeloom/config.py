@@ -62,7 +62,7 @@ class Settings:
     recent_trades: int = 100
     min_cluster_symbols: int = 3
     ml_confirmed: float = 0.75
-    window_parts: int = 10
+    window_parts: int = 0  # slices per sliding window; 0 chooses by the density of the feed
 
     def scaled(self, factor: int) -> Settings:
         """The same settings with every market duration multiplied, for sparse feeds."""

@@ -17,19 +17,30 @@ from tradeloom.config import DAY_MS, Settings
 from tradeloom.functions.columns import arrival_order, bucket, half_even, ms_to_iso, ms_to_ts
 from tradeloom.operators.blocks import next_value, numbered, running, with_preceding
 from tradeloom.operators.cooldown import cooldown_thin
-from tradeloom.operators.skew import HOT_ROWS, time_blocks
+from tradeloom.operators.skew import HOT_ROWS, load, time_blocks
 from tradeloom.operators.sliding import sliding_stats
 
+# Slices per window, and the mean rows of a coarse slice from which fine ones pay.
+COARSE, FINE, DENSE_ROWS = 10, 60, 3000
+
+# A sum of doubles may miss a threshold that the exact sum meets by this much.
+NOISE = 5e-10
+
 # ---- rolling window (D1, D2) ----------------------------------------------------------------------
 
 
 def rolling_stats(
-    trades: DataFrame, window_ms: int, parts: int, session: tuple[str, ...] = (), hot_rows: int | None = HOT_ROWS
+    trades: DataFrame, window_ms: int, parts: int = 0, session: tuple[str, ...] = (), hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Each trade with its trailing window, itself included: count, earliest time, volume sum, price moments.
 
-    Counts the trades per slice first, to split slices that are too large for a task; ``hot_rows=None`` skips it.
+    Counts the trades per slice first. A dense feed gets finer slices, which a window then holds in memory; a
+    sparse one coarser slices, since each is copied ``parts - 1`` times. Too large slices are split.
     """
+    mean, most = load(trades, ["s", *session, bucket("t", max(window_ms // COARSE, 1)).alias("slice")])
+    if not parts:
+        wanted = FINE if mean >= DENSE_ROWS else COARSE
+        parts = next(n for n in (wanted, COARSE, 6, 5, 4, 3, 2, 1) if window_ms % n == 0)
     return sliding_stats(
         trades,
         ["s", *session],
@@ -45,7 +56,7 @@ def rolling_stats(
             "w_high": ("max", F.col("p")),
         },
         {"w_price": "p"},
-        hot_rows,
+        hot_rows if most > hot_rows else None,
     )
 
 
@@ -66,7 +77,7 @@ def prior_mean_volume() -> Column:
 
 def is_volume_spike(cfg: Settings) -> Column:
     mean = F.when(_open_long_enough(cfg.volume_min_span_ms), prior_mean_volume())
-    return F.coalesce((mean > 0) & (F.col("v") >= F.bround(mean * cfg.volume_multiplier, 9)), F.lit(False))
+    return F.coalesce((mean > 0) & (F.col("v") >= mean * cfg.volume_multiplier - NOISE), F.lit(False))
 
 
 def volume_fields(rolled: DataFrame, *extra: str) -> DataFrame:
@@ -107,7 +118,7 @@ def z_score() -> Column:
 
 def is_volatility_spike(cfg: Settings) -> Column:
     z = F.when(_open_long_enough(cfg.volatility_min_span_ms), z_score())
-    return F.coalesce(F.bround(z, 9) >= cfg.volatility_z, F.lit(False))
+    return F.coalesce(z >= cfg.volatility_z - NOISE, F.lit(False))
 
 
 def volatility_fields(rolled: DataFrame, *extra: str) -> DataFrame:

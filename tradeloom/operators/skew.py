@@ -27,6 +27,13 @@ def hot_groups(rows: DataFrame, by: Sequence[str | Column], more_than: int, *agg
     return rows.sparkSession.createDataFrame(found, largest.schema) if found else None
 
 
+def load(rows: DataFrame, by: Sequence[str | Column]) -> tuple[float, int]:
+    """Mean and greatest number of rows per group, from one counting job reduced before its shuffle."""
+    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(F.avg("n").alias("mean"), F.max("n").alias("most")).first()
+    return found["mean"] or 0.0, found["most"] or 0
+
+
 def time_blocks(
     rows: DataFrame, keys: Sequence[str], t: str, tie: str, block_ms: int, hot_rows: int = HOT_ROWS, name: str = "_block"
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ def sliding_stats(
 
     Rows with an equal ``pos`` count when their ``tie`` is not larger, so a row sees what arrived before
     it. ``measures`` maps an output name to ``(sum | min | max, value)``; ``moments`` maps an output
-    prefix to a column and adds ``<prefix>_mean`` and ``<prefix>_var`` (population).
+    prefix to a column without nulls and adds ``<prefix>_mean`` and ``<prefix>_var`` (population).
 
     The axis is cut into slices of ``width / parts``. A window that ends in slice ``c`` covers the head of
     ``c``, all of ``c-parts+1 .. c-1`` and the tail of ``c-parts``. Each row is therefore sent to its own
@@ -81,60 +82,69 @@ def sliding_stats(
     entered, staying = F.col("_kind") < 2, F.col("_kind") == 2
 
     sums: dict[str, tuple[str, Column]] = {n: (kind, part(n, value)) for n, (kind, value) in measures.items()}
+    count = part("_rows", F.lit(1).cast("bigint"))
+    if moments:
+        sums["_rows"] = ("sum", count)
     for name, column in moments.items():
         # Deviations are taken from a value of the same slice, which keeps the squares small.
         mean = part(f"{name}_mean", F.col(column).cast("double"))
         near = F.first(mean).over(forward)
         events = events.withColumn(f"_ref_{name}", near if hot is None else F.coalesce(f"_near_{name}", near))
-        n, off = part(f"{name}_n", F.lit(1).cast("bigint")), mean - F.col(f"_ref_{name}")
-        sums[f"_n_{name}"] = ("sum", n)
-        sums[f"_d1_{name}"] = ("sum", n * off)
-        sums[f"_d2_{name}"] = ("sum", part(f"{name}_m2", F.lit(0.0)) + n * off * off)
+        off = mean - F.col(f"_ref_{name}")
+        sums[f"_d1_{name}"] = ("sum", count * off)
+        sums[f"_d2_{name}"] = ("sum", part(f"{name}_m2", F.lit(0.0)) + count * off * off)
 
     out = events.select(
-        "*",
-        *[_AGGREGATE[k](F.when(entered, c)).over(forward).alias(f"_f{n}") for n, (k, c) in sums.items()],
-    ).select(
-        "*",
-        *[_AGGREGATE[k](F.when(staying, c)).over(backward).alias(f"_b{n}") for n, (k, c) in sums.items()],
-    )
+        "*", *[_over_part(k, c, entered).over(forward).alias(f"_f{n}") for n, (k, c) in sums.items()]
+    ).select("*", *[_over_part(k, c, staying).over(backward).alias(f"_b{n}") for n, (k, c) in sums.items()])
     if hot is None:
         both = {n: _merge(kind, F.col(f"_f{n}"), F.col(f"_b{n}")) for n, (kind, _) in sums.items()}
     else:
         apart = apart.filter("_hot").withColumns({f"_ref_{n}": F.col(f"_near_{n}") for n in moments})
         out = out.join(_other_pieces(apart, group, sums, entered, staying), group, "left")
         both = {
-            n: _merge(kind, *[F.col(f"_{tag}{n}") for tag in ("f", "b", "before_", "after_")])
+            n: _merge(
+                kind,
+                F.col(f"_f{n}"),
+                F.col(f"_b{n}"),
+                *[F.coalesce(c, F.lit(0)) if kind == "sum" else c for c in (F.col(f"_before_{n}"), F.col(f"_after_{n}"))],
+            )
             for n, (kind, _) in sums.items()
         }
 
     result = [both[n].alias(n) for n in measures]
     for name in moments:
-        mean_off = both[f"_d1_{name}"] / both[f"_n_{name}"]
-        spread = both[f"_d2_{name}"] / both[f"_n_{name}"] - mean_off * mean_off
+        mean_off = both[f"_d1_{name}"] / both["_rows"]
+        spread = both[f"_d2_{name}"] / both["_rows"] - mean_off * mean_off
         result.append((F.col(f"_ref_{name}") + mean_off).alias(f"{name}_mean"))
         result.append(F.greatest(spread, F.lit(0.0)).alias(f"{name}_var"))
     return out.filter(F.col("_kind") == 1).select(*rows.columns, *result)
 
 
+def _over_part(kind: str, value: Column, included: Column) -> Column:
+    """Aggregate the included rows; a sum over none of them is 0, so that sums can simply be added.
+
+    What follows stays one short expression. Long ones make generated methods that the JVM will not compile.
+    """
+    picked = F.when(included, value)
+    return F.sum(picked.otherwise(F.lit(0))) if kind == "sum" else _AGGREGATE[kind](picked)
+
+
 def _merge(kind: str, *values: Column) -> Column:
-    """Combine partial aggregates, any of which may be null."""
+    """Combine partial aggregates; least and greatest pass over nulls."""
     if kind == "min":
         return F.least(*values)
     if kind == "max":
         return F.greatest(*values)
-    total = values[0]
-    for v in values[1:]:
-        total = F.when(v.isNull(), total).when(total.isNull(), v).otherwise(total + v)
-    return total
+    return reduce(Column.__add__, values)
 
 
 def _other_pieces(events, group, sums, entered, staying) -> DataFrame:
     """What the pieces of a split slice take over: entered values before them, staying values after them."""
     *slice_, piece = group
     totals = events.groupBy(*group).agg(
-        *[_AGGREGATE[k](F.when(entered, c)).alias(f"_t{n}") for n, (k, c) in sums.items()],
-        *[_AGGREGATE[k](F.when(staying, c)).alias(f"_u{n}") for n, (k, c) in sums.items()],
+        *[_over_part(k, c, entered).alias(f"_t{n}") for n, (k, c) in sums.items()],
+        *[_over_part(k, c, staying).alias(f"_u{n}") for n, (k, c) in sums.items()],
     )
     ahead = Window.partitionBy(*slice_).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy(*slice_).orderBy(F.desc(piece)).rowsBetween(Window.unboundedPreceding, -1)
@@ -148,12 +158,13 @@ def _other_pieces(events, group, sums, entered, staying) -> DataFrame:
 def _whole_slices(rows, keys, pos, slice_of, step, parts, measures, moments) -> DataFrame:
     """One mergeable row per (key, slice), copied to the ``parts - 1`` slices whose windows cover it whole."""
     columns = [_AGGREGATE[kind](value).alias(n) for n, (kind, value) in measures.items()]
+    if moments:
+        columns.append(F.count(F.lit(1)).alias("_rows"))
     for name, column in moments.items():
         x = F.col(column).cast("double")
         # The mean of equal values is that value, without a rounding error of sum / count.
         mean = F.when(F.min(x) == F.max(x), F.min(x)).otherwise(F.avg(x))
         columns += [
-            F.count(x).alias(f"{name}_n"),
             mean.alias(f"{name}_mean"),
             (F.var_pop(x) * F.count(x)).alias(f"{name}_m2"),
         ]

@@ -61,14 +61,14 @@ CTES: dict[str, str] = {
                w_count::INT AS window_trade_count, {he("(t - w_from)::DOUBLE / 1000", 1)} AS window_span_secs,
                t AS trade_ts, seq
         FROM (SELECT *, (w_volume - v) / (w_count - 1) AS m FROM rolled WHERE w_count >= 2)
-        WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= round_even(m * {C.volume_multiplier}::DOUBLE, 9)""",
+        WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= m * {C.volume_multiplier}::DOUBLE - 5e-10""",
     "volatility_cands": f"""
         SELECT s AS symbol, p AS price, {he("w_mean", 4)} AS mean_price, {he("sqrt(w_var)", 4)} AS std_dev,
                {he("z", 3)} AS z_score, w_count::INT AS window_trade_count,
                {he("(t - w_from)::DOUBLE / 1000", 1)} AS window_span_secs, t AS trade_ts, seq
         FROM (SELECT *, abs(p - w_mean) / sqrt(w_var) AS z FROM rolled
               WHERE w_count >= 2 AND w_low < w_high AND w_var > 0)
-        WHERE t - w_from >= {C.volatility_min_span_ms} AND round_even(z, 9) >= {C.volatility_z}::DOUBLE""",
+        WHERE t - w_from >= {C.volatility_min_span_ms} AND z >= {C.volatility_z}::DOUBLE - 5e-10""",
     "bars": f"""
         SELECT s, t // {C.candle_ms} AS minute, first(p ORDER BY t, seq) AS open, max(p) AS high, min(p) AS low,
                last(p ORDER BY t, seq) AS close, sum(v) AS volume, min(t) AS first_t,
@@ -389,7 +389,7 @@ SQL: dict[str, str] = {
         SELECT s AS symbol, sid::BIGINT AS session_id, t AS trade_ts, {he("v / m", 2)} AS spike_ratio,
                w_count::INT AS window_trade_count
         FROM (SELECT *, (w_volume - v) / (w_count - 1) AS m FROM windowed WHERE w_count >= 2)
-        WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= round_even(m * 2.0::DOUBLE, 9)""",
+        WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= m * 2.0::DOUBLE - 5e-10""",
     "warm_start_replay": "SELECT symbol, trade_ts, seq, spike_ratio FROM replay_kept",
     "all_signals": f"""
         SELECT symbol, {ts("trade_ts")} AS detected_at, 'volume_spike' AS signal_type, spike_ratio AS strength, price, trade_ts, seq
@@ -545,7 +545,7 @@ CTES["replay_cands"] = f"""
             FROM (SELECT * FROM trades WHERE t >= {_START} - {C.warm_start_ms})
             WINDOW w AS (PARTITION BY s ORDER BY t RANGE BETWEEN {C.volume_window_ms} PRECEDING AND CURRENT ROW))
           WHERE w_count >= 2)
-    WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= round_even(m * {C.volume_multiplier}::DOUBLE, 9)"""
+    WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= m * {C.volume_multiplier}::DOUBLE - 5e-10"""
 _ranked, _chain, _kept = _cooldown("replay_cands", C.volume_cooldown_ms)
 CTES["replay_cands_ranked"], CTES["replay_cands_chain"] = _ranked, _chain
 CTES["replay_kept"] = f"SELECT * FROM ({_kept}) WHERE trade_ts >= {_START}"

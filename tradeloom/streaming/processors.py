@@ -16,6 +16,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tradeloom.config import Settings
 from tradeloom.operators.cooldown import kept_positions
+from tradeloom.operators.detectors import NOISE
 from tradeloom.schemas import FEATURE_COLS
 
 _NEVER = -(2**62)
@@ -70,7 +71,7 @@ class SignalProcessor(StatefulProcessor):
     def __init__(self, cfg: Settings, columns: list[str]):
         self.cfg, self.columns = cfg, columns
         self.width = max(cfg.volume_window_ms, cfg.volatility_window_ms)
-        self.slice_ms = max(self.width // cfg.window_parts, 1)
+        self.slice_ms = max(self.width // 10, 1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         # The tail is kept in slices, so that a batch rewrites only the slices it adds to.
@@ -128,7 +129,7 @@ class SignalProcessor(StatefulProcessor):
         w = trailing(all_t, all_p, all_v, cfg.volume_window_ms)
         open_ = is_new & (w["n"] >= 2) & (all_t - w["from"] >= cfg.volume_min_span_ms)
         mean = w["prior_volume"] / np.maximum(w["n"] - 1, 1)
-        hits = np.flatnonzero(open_ & (mean > 0) & (all_v >= np.round(mean * cfg.volume_multiplier, 9)))
+        hits = np.flatnonzero(open_ & (mean > 0) & (all_v >= mean * cfg.volume_multiplier - NOISE))
         for i in self._cool(hits, all_t, cfg.volume_cooldown_ms, last, 0):
             out.append(
                 self._spike(symbol, "volume_spike", all_t, all_p, w, i)
@@ -144,7 +145,7 @@ class SignalProcessor(StatefulProcessor):
         open_ = is_new & (w["n"] >= 2) & (all_t - w["from"] >= cfg.volatility_min_span_ms) & (w["var"] > 0)
         std = np.sqrt(w["var"])
         z = np.divide(np.abs(all_p - w["mean"]), std, out=np.zeros_like(std), where=std > 0)
-        hits = np.flatnonzero(open_ & (np.round(z, 9) >= cfg.volatility_z))
+        hits = np.flatnonzero(open_ & (z >= cfg.volatility_z - NOISE))
         for i in self._cool(hits, all_t, cfg.volatility_cooldown_ms, last, 1):
             out.append(
                 self._spike(symbol, "volatility_spike", all_t, all_p, w, i)
