@@ -102,15 +102,15 @@ def sliding_stats(
     else:
         apart = apart.filter("_hot").withColumns({f"_ref_{n}": F.col(f"_near_{n}") for n in moments})
         out = out.join(_other_pieces(apart, group, sums, entered, staying), group, "left")
-        both = {
-            n: _merge(
-                kind,
-                F.col(f"_f{n}"),
-                F.col(f"_b{n}"),
-                *[F.coalesce(c, F.lit(0)) if kind == "sum" else c for c in (F.col(f"_before_{n}"), F.col(f"_after_{n}"))],
-            )
-            for n, (kind, _) in sums.items()
-        }
+        merged = {}
+        for n, (kind, _) in sums.items():
+            others = [F.col(f"_before_{n}"), F.col(f"_after_{n}")]
+            if kind == "sum":
+                others = [F.coalesce(c, F.lit(0)) for c in others]
+            merged[n] = _merge(kind, F.col(f"_f{n}"), F.col(f"_b{n}"), *others)
+        # As a generator, this is not copied into every expression that follows.
+        out = out.select("*", F.inline(F.array(F.struct(*[c.alias(f"_all_{n}") for n, c in merged.items()]))))
+        both = {n: F.col(f"_all_{n}") for n in sums}
 
     result = [both[n].alias(n) for n in measures]
     for name in moments:
