@@ -176,3 +176,36 @@ def test_versions(spark, tmp_path):
     registry.approve(2, at + timedelta(days=4))
     assert registry.approved().first().path == "m2"
     assert registry.current().count() == 2
+
+
+def test_training_from_the_archive(spark, tmp_path):
+    from tradeloom.config import Settings
+    from tradeloom.plans import training
+
+    rng, now = random.Random(1), datetime(2024, 1, 20)
+    end = int((now - datetime(1970, 1, 1)).total_seconds() * 1000)
+    lines = []
+    for i in range(4000):
+        t = end - 1000 - (i * 431) % (16 * 86_400) * 1000
+        lines.append((json.dumps({"s": rng.choice("ab"), "p": round(rng.gauss(100, 1), 2), "v": rng.randrange(1, 9), "t": t}), t))
+    df = spark.createDataFrame(lines, "value string, t bigint")
+    bronze = str(tmp_path / "bronze")
+    medallion.write_bronze(df, F.to_date(F.timestamp_millis("t")).cast("timestamp"), bronze)
+
+    registry = evaluation.ModelRegistry(spark, str(tmp_path / "versions"))
+    version = training.run(spark, bronze, str(tmp_path / "work"), registry, now, Settings(), numTrees=20)
+    rows = medallion.read_feature_csv(spark, str(tmp_path / "work" / "features"))
+    oldest = rows.agg(F.min("event_time")).first()[0]
+    assert oldest >= "2024-01-06T00:00:00Z"
+    assert {r.split for r in rows.select("split").distinct().collect()} == {"train", "validation"}
+    (text,) = [x for f in (tmp_path / "work" / "report").glob("*.json") for x in f.read_text().splitlines()]
+    result = json.loads(text)
+    assert result["n_records"] == rows.filter("split = 'validation'").count()
+    assert (version is not None) == (0.03 <= result["anomaly_rate"] <= 0.2)
+
+
+def test_arrival_numbers_of_archived_trades(spark, tmp_path):
+    df = spark.createDataFrame([("a", 2.0, 1.0, 5), ("a", 1.0, 1.0, 5), ("a", 1.0, 1.0, 6), ("a", 2.0, 1.0, 5)], "s string, p double, v double, t bigint")
+    medallion.store_trades(df, str(tmp_path / "t"))
+    got = spark.read.parquet(str(tmp_path / "t")).orderBy("t", "seq")
+    assert [(r.t, r.seq, r.p) for r in got.collect()] == [(5, 0, 1.0), (5, 1, 2.0), (5, 2, 2.0), (6, 0, 1.0)]

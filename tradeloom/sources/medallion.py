@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.config import SIGNAL_PREFIX
@@ -76,6 +76,24 @@ def lookback_bronze(spark: SparkSession, path: str, now: datetime, days: int = 1
     return read_bronze(spark, path, now - timedelta(days=days))
 
 
+def with_arrival(trades: DataFrame) -> DataFrame:
+    """Add ``seq`` to archived trades, whose arrival order is lost: trades of a symbol with an equal time are
+    numbered by price and volume, so a re-read gives the same numbers."""
+    same_time = Window.partitionBy("s", "t").orderBy("p", "v")
+    return trades.withColumn("seq", F.row_number().over(same_time).cast("bigint") - 1)
+
+
+def store_trades(trades: DataFrame, path: str) -> None:
+    """Archived trades as Parquet by day, the form that the batch pipeline reads several times."""
+    (
+        with_arrival(trades)
+        .withColumn("date", F.to_date(ms_to_ts(F.col("t"))))
+        .write.mode("overwrite")
+        .partitionBy("date")
+        .parquet(path)
+    )
+
+
 def _epoch_ms(at: datetime) -> int:
     at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at
     return int(at.timestamp() * 1000)
