@@ -22,6 +22,7 @@ DAY_MS = 86_400_000
 class Settings:
     symbols: tuple[str, ...] = SYMBOLS
 
+    # The defaults of the detectors, features and reports.
     volume_window_ms: int = 300_000
     volume_min_span_ms: int = 60_000
     volume_multiplier: float = 4.0

@@ -66,7 +66,8 @@ def pct_change(first: Column, last: Column) -> Column:
 
 
 def signal_score(signal_type: Column, strength: Column) -> Column:
-    """1..10 from the strength; 0.5, 0.3 and 0.15 strength units are worth one point."""
+    """1..10 from the strength; a kind's unit of strength is worth one point, other kinds score 5."""
+    # The units.
     unit = (
         F.when(signal_type == "volume_spike", F.lit(0.5))
         .when(signal_type == "volatility_spike", F.lit(0.3))

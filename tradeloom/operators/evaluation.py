@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.columns import half_even
 from tradeloom.functions.percentiles import exact_percentiles
 
+# The score from which a row counts as anomalous, and the accepted anomaly rates.
 ANOMALOUS = 0.5
 ACCEPT = (0.03, 0.20)
 VERSIONS = "version bigint, path string, anomaly_rate double, status string, created_at timestamp"

@@ -56,8 +56,8 @@ def feature_recent(trades: DataFrame, recent: int, block_ms: int, at: DataFrame
 
     Trades are numbered per symbol block by block; the numbers then serve as the axis of the sliding window,
     so a symbol is spread over many tasks although the window counts rows and not time. ``at`` has the columns
-    ``symbol, trade_ts, seq``; with it, trades that no listed one looks back on are dropped right after the
-    numbering.
+    ``symbol, trade_ts, seq`` and should be a stored table, as it is read several times; with it, trades that
+    no listed one looks back on are dropped right after the numbering.
     """
     if at is None:
         blocked = time_blocks(trades, ["s"], "t", "seq", block_ms)

@@ -72,9 +72,9 @@ def laid_out(gold: DataFrame, table: str) -> DataFrame:
 class Pipeline:
     """Lazily built stage tables of one trade set.
 
-    The trades are scanned three times in all: for the sliding windows, the candles and the ticks. Each of
-    those results is far smaller than the trades and is written to the shared folder; everything after it,
-    cooldowns, snapshots and gold included, reads that.
+    The trades are read for the sliding windows, the candles and the ticks. Each of those results is far smaller
+    than the trades and is written to the shared folder; everything after it, cooldowns, snapshots and gold
+    included, reads that.
     """
 
     def __init__(

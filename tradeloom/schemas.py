@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Field names and types of every record.
 TRADE = "s string, p double, v double, t bigint"
 FRAME = "type string, data array<struct<s:string,p:double,v:double,t:bigint,c:array<string>>>"
 ENVELOPE = "kinesis struct<data:string>"

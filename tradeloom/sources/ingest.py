@@ -114,6 +114,7 @@ def encode_signals(signals: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 # Fields of a snapshot entry that must be present but may be null, as `ml_anomaly_score` of a signal may.
 _NULLABLE = ("last_price", "open_price", "pct_change", "last_trade_ts")
+# The directions of a momentum signal.
 _DIRECTIONS = ("UP", "DOWN")
 
 
