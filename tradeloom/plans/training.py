@@ -37,8 +37,12 @@ def score(spark: SparkSession, model_path: str, rows: DataFrame) -> DataFrame:
 
 def evaluate(spark: SparkSession, model_path: str, features: str, report_path: str) -> Row:
     """Score the validation rows and write the report as JSON."""
-    row = report(score(spark, model_path, read_feature_csv(spark, features, "validation")))
-    row.coalesce(1).write.mode("overwrite").json(report_path)
+    scored = score(spark, model_path, read_feature_csv(spark, features, "validation")).select("symbol", "score").persist()
+    try:
+        row = report(scored)
+        row.coalesce(1).write.mode("overwrite").json(report_path)
+    finally:
+        scored.unpersist()
     return spark.read.schema(row.schema).json(report_path).first()
 
 

@@ -134,14 +134,13 @@ CTES: dict[str, str] = {
         SELECT * FROM feed WHERE detected_at >= {NOW} - INTERVAL {C.live_lookback_ms} MILLISECOND
           AND detected_at::DATE = {TODAY}""",
     "opening": f"""
-        SELECT vs.symbol, vs.detected_at, vs.price, vs.spike_ratio, o.orb_high, o.orb_low,
-               CASE WHEN vs.price > o.orb_high THEN 'BREAKOUT_UP' WHEN vs.price < o.orb_low THEN 'BREAKOUT_DOWN'
-                    ELSE 'IN_RANGE' END AS orb_status
-        FROM volume_spikes vs JOIN (
-            SELECT symbol, min(last_price) AS orb_low, max(last_price) AS orb_high FROM sector_snapshots
-            WHERE snapshot_ts::DATE = {THAT_DAY} AND snapshot_ts <= {THAT_DAY} + INTERVAL 10 HOUR GROUP BY 1) o
-          USING (symbol)
-        WHERE vs.detected_at::DATE = {THAT_DAY} AND vs.detected_at > {THAT_DAY} + INTERVAL 10 HOUR""",
+        SELECT symbol, detected_at, price, spike_ratio, orb_high, orb_low,
+               CASE WHEN price > orb_high THEN 'BREAKOUT_UP' WHEN price < orb_low THEN 'BREAKOUT_DOWN' ELSE 'IN_RANGE' END
+                   AS orb_status
+        FROM volume_spikes JOIN (
+            SELECT symbol, max(last_price) AS orb_high, min(last_price) AS orb_low FROM sector_snapshots
+            WHERE snapshot_ts BETWEEN {THAT_DAY} AND {THAT_DAY} + INTERVAL 10 HOUR GROUP BY 1) USING (symbol)
+        WHERE detected_at::DATE = {THAT_DAY} AND detected_at > {THAT_DAY} + INTERVAL 10 HOUR""",
     "rvol": f"""
         SELECT t.hour, t.today_count, coalesce(h.avg_n, 0) AS hist_avg,
                CASE WHEN coalesce(h.avg_n, 0) > 0 THEN t.today_count / h.avg_n END AS rvol
@@ -157,12 +156,16 @@ CTES: dict[str, str] = {
          AND abs({secs("b.detected_at")} - {secs("a.detected_at")}) <= {C.pair_ms // 1000}
         WHERE a.detected_at >= {TODAY} - INTERVAL 30 DAY
         GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20""",
-    "returns": f"""
-        SELECT vs.symbol, vs.detected_at, vs.price, avg(ss.last_price) AS exit_price
-        FROM volume_spikes vs LEFT JOIN sector_snapshots ss
-          ON ss.symbol = vs.symbol AND ss.snapshot_ts BETWEEN vs.detected_at + INTERVAL {C.exit_from_ms} MILLISECOND
-                                                          AND vs.detected_at + INTERVAL {C.exit_to_ms} MILLISECOND
-        WHERE vs.detected_at >= {TODAY} - INTERVAL 30 DAY AND vs.spike_ratio >= 4.0 GROUP BY ALL""",
+    # Recent spikes with every snapshot of their symbol in the exit band; spikes without one appear once.
+    "banded": f"""
+        SELECT spike.symbol, spike.detected_at, spike.price, spike.spike_ratio, later.last_price, later.pct_change
+        FROM volume_spikes spike LEFT JOIN snapshots later
+          ON later.symbol = spike.symbol
+         AND later.snapshot_ms - spike.trade_ts BETWEEN {C.exit_from_ms} AND {C.exit_to_ms}
+        WHERE spike.detected_at >= {TODAY} - INTERVAL 30 DAY""",
+    "returns": """
+        SELECT symbol, detected_at, price, avg(last_price) AS exit_price FROM banded
+        WHERE spike_ratio >= 4.0 GROUP BY ALL""",
     "scores": f"""
         SELECT * FROM feed WHERE detected_at::DATE = {THAT_DAY} AND ml_anomaly_score IS NOT NULL""",
     "features": f"""
@@ -265,9 +268,8 @@ _SILVER_PATH = (
 
 def _pnl(low: int, high: int) -> str:
     return (
-        "(SELECT arg_min(ss.last_price, ss.snapshot_ts) FROM sector_snapshots ss WHERE ss.symbol = vs.symbol "
-        f"AND ss.snapshot_ts BETWEEN vs.detected_at + INTERVAL {low} MILLISECOND "
-        f"AND vs.detected_at + INTERVAL {high} MILLISECOND)"
+        "(SELECT arg_min(later.last_price, later.snapshot_ms) FROM snapshots later WHERE later.symbol = spike.symbol "
+        f"AND later.snapshot_ms - spike.trade_ts BETWEEN {low} AND {high})"
     )
 
 
@@ -418,11 +420,8 @@ SQL: dict[str, str] = {
     "q_signal_strength": f"""
         SELECT CASE WHEN spike_ratio < 5 THEN 'Mild (4-5x)' WHEN spike_ratio < 8 THEN 'Moderate (5-8x)'
                     WHEN spike_ratio < 12 THEN 'Strong (8-12x)' ELSE 'Extreme (12x+)' END AS bucket,
-               count(*) AS signal_count, {r4("avg(abs(ss.pct_change))")} AS avg_abs_move
-        FROM volume_spikes vs LEFT JOIN sector_snapshots ss
-          ON ss.symbol = vs.symbol AND ss.snapshot_ts BETWEEN vs.detected_at + INTERVAL {C.exit_from_ms} MILLISECOND
-                                                          AND vs.detected_at + INTERVAL {C.exit_to_ms} MILLISECOND
-        WHERE vs.detected_at >= {TODAY} - INTERVAL 30 DAY GROUP BY 1""",
+               count(*) AS signal_count, {r4("avg(abs(pct_change))")} AS avg_abs_move
+        FROM banded GROUP BY 1""",
     "q_multi_signal_confirmation": f"""
         SELECT vs.symbol, vs.detected_at AS vol_time, m.detected_at AS mom_time,
                {secs("m.detected_at")} - {secs("vs.detected_at")} AS seconds_apart, vs.spike_ratio, m.direction
@@ -447,18 +446,14 @@ SQL: dict[str, str] = {
         FROM returns WHERE exit_price IS NOT NULL""",
     "q_symbol_win_rates": f"""
         SELECT symbol, count(*) AS total, {_WIN_COLS} FROM (
-            SELECT vs.symbol, vs.price, avg(ss.last_price) AS exit_price
-            FROM volume_spikes vs LEFT JOIN sector_snapshots ss
-              ON ss.symbol = vs.symbol AND ss.snapshot_ts BETWEEN vs.detected_at + INTERVAL {C.exit_from_ms} MILLISECOND
-                                                              AND vs.detected_at + INTERVAL {C.exit_to_ms} MILLISECOND
-            WHERE vs.detected_at >= {TODAY} - INTERVAL 30 DAY AND vs.spike_ratio >= 4.0 GROUP BY ALL)
+            SELECT symbol, price, avg(last_price) AS exit_price FROM banded WHERE spike_ratio >= 4.0 GROUP BY ALL)
         WHERE exit_price IS NOT NULL GROUP BY 1 HAVING count(*) >= 3""",
     "q_per_signal_pnl": f"""
-        SELECT vs.symbol, vs.detected_at, vs.price AS entry_price, vs.spike_ratio,
+        SELECT symbol, detected_at, price AS entry_price, spike_ratio,
                {_pnl(C.pnl_5_from_ms, C.pnl_5_to_ms)} AS exit_5min, {_pnl(C.pnl_15_from_ms, C.pnl_15_to_ms)} AS exit_15min,
-               {_pnl(C.pnl_30_from_ms, C.pnl_30_to_ms)} AS exit_30min, vs.ml_anomaly_score
-        FROM volume_spikes vs WHERE vs.detected_at >= {TODAY} - INTERVAL 30 DAY
-        ORDER BY vs.detected_at DESC, vs.symbol LIMIT 200""",
+               {_pnl(C.pnl_30_from_ms, C.pnl_30_to_ms)} AS exit_30min, ml_anomaly_score
+        FROM volume_spikes spike WHERE detected_at >= {TODAY} - INTERVAL 30 DAY
+        ORDER BY detected_at DESC, symbol LIMIT 200""",
     "q_ml_score_distribution": "SELECT ml_anomaly_score, signal_type FROM scores",
     "q_ml_score_vs_strength": """
         SELECT symbol, strength, ml_anomaly_score, signal_type FROM scores WHERE signal_type <> 'momentum_signal'""",
