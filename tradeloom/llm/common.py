@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +48,67 @@ def words_of(text: Column) -> Column:
 def let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` worked out once, as a lambda's argument is, and not once per mention."""
     return F.transform(F.array(value), use)[0]
+
+
+class WordHash(dict):
+    """word -> 64-bit hash; forgets what it knows when it grows too large."""
+
+    KEPT = 1_000_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.KEPT:
+            self.clear()
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def sequences(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every ``size`` consecutive words, from the words' hashes."""
+    n = len(hashes) - size + 1
+    if n < 1:
+        return hashes[:0]
+    out = hashes[:n].copy()
+    for i in range(1, size):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += hashes[i : i + n]
+    return mixed(out)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows that are sorted by ``keys`` (whole numbers), one by one; holds one group and one batch."""
+    held: list[pa.RecordBatch] = []
+
+    def key(batch, i):
+        return tuple(batch.column(k)[i].as_py() for k in keys)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows - 1, bool)
+        for k in keys:
+            column = batch.column(k).to_numpy(zero_copy_only=False)
+            change |= column[1:] != column[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        if held and key(held[0], 0) != key(batch, 0):
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            held.append(batch.slice(a, b - a))
+            if b < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)

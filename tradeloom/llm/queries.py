@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe
+from tradeloom.llm import bpe, brown, minhash, packing
 from tradeloom.llm.common import documents
 
 
@@ -14,8 +14,21 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), digest_only=True)
+
+
+def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe}
+    found = (op2_bpe, op7_minhash, op9_packing, op10_brown)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -40,15 +40,15 @@ class Numbers(dict):
         return n
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, byte plane by byte plane, compressed."""
-    planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+def pack(values: np.ndarray, width: int = 4) -> bytes:
+    """Unsigned numbers of ``width`` bytes, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(values.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T
     return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+def unpack(data: bytes, width: int = 4) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel()
 
 
 def pack_words(words: list[bytes]) -> bytes:
