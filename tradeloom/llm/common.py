@@ -75,16 +75,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def sequences(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of every ``size`` consecutive words, from the words' hashes."""
+def sequences(hashes: np.ndarray, size: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """A 64-bit hash of every ``size`` consecutive words, from the words' hashes.
+
+    The polynomial in ``base``, put together from the sequences of 1, 2, 4, ... words, and mixed.
+    """
     n = len(hashes) - size + 1
     if n < 1:
         return hashes[:0]
-    out = hashes[:n].copy()
-    for i in range(1, size):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out += hashes[i : i + n]
-    return mixed(out)
+    with np.errstate(over="ignore"):
+        power, length, part = np.uint64(base), 1, hashes
+        out, have = None, 0  # the hash of the first ``have`` words
+        while True:
+            if size & length:
+                if out is None:
+                    out = part[:n] if size == length else part.copy()
+                else:
+                    out = out[: len(hashes) - have - length + 1] * power + part[have : have + len(out)][: len(hashes) - have - length + 1]
+                have += length
+                if have == size:
+                    return mixed(out[:n])
+            part = part[:-length] * power + part[length:]
+            power, length = power * power, length * 2
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, minhash, packing
+from tradeloom.llm import bpe, brown, minhash, packing, recompress
 from tradeloom.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.remove_repeats(documents(spark, sf_dir)).drop("text_hash", "kept_text")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), digest_only=True)
 
@@ -27,7 +31,7 @@ def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_bpe, op7_minhash, op9_packing, op10_brown)
+    found = (op2_bpe, op7_minhash, op8_recompression, op9_packing, op10_brown)
     return {f.__name__: f for f in found}
 
 
