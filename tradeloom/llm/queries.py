@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, minhash, packing, recompress
+from tradeloom.llm import bpe, brown, minhash, packing, quality, recompress
 from tradeloom.llm.common import documents
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
@@ -31,7 +35,7 @@ def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_bpe, op7_minhash, op8_recompression, op9_packing, op10_brown)
+    found = (op1_quality, op2_bpe, op7_minhash, op8_recompression, op9_packing, op10_brown)
     return {f.__name__: f for f in found}
 
 
