@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, minhash, packing, quality, recompress
+from tradeloom.llm import bpe, brown, minhash, packing, pii, quality, recompress
 from tradeloom.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -35,7 +39,7 @@ def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality, op2_bpe, op7_minhash, op8_recompression, op9_packing, op10_brown)
+    found = (op1_quality, op2_bpe, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown)
     return {f.__name__: f for f in found}
 
 
