@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, minhash, packing, pii, quality, recompress, toxicity
+from tradeloom.llm import bpe, brown, minhash, packing, pii, quality, recompress, toxicity, warc
 from tradeloom.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.Model.fit(docs, toxicity.grades(spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -45,7 +49,7 @@ def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality, op2_bpe, op4_toxicity, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown)
+    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown)
     return {f.__name__: f for f in found}
 
 
