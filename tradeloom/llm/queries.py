@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, minhash, packing, pii, quality, recompress, toxicity, warc
+from tradeloom.llm import bpe, brown, imi, minhash, packing, pii, quality, recompress, toxicity, warc
 from tradeloom.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imi.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
@@ -49,7 +53,7 @@ def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown)
+    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op5_multi_index, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown)
     return {f.__name__: f for f in found}
 
 
