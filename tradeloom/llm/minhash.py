@@ -271,7 +271,8 @@ def _verified(texts: DataFrame, n: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (the least doc_id reachable over links) and kept, one row per document."""
+    """doc_id, text_hash (xxhash64 of the text), n_shingles, component_id (the least doc_id reachable over links) and
+    kept, one row per document."""
     n = partitions(docs.sparkSession)
     rows = keyed(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     sets = stage(_sets(rows), "shingle-sets")
@@ -294,10 +295,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     moved = found.join(least, "root").select("v", "component_id")
     of = classes.select("v", "least").join(moved, "v", "left")
     of = of.select("v", F.coalesce("component_id", "least").alias("component_id"))
-    out = sets.select("doc_id", "n_shingles", "v").join(of, "v", "left")
+    out = sets.select("doc_id", "text_hash", "n_shingles", "v").join(of, "v", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(
         F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
+        "text_hash",
         "n_shingles",
         F.when(component != NO_ID, component).alias("component_id"),
         (F.col("doc_id") == component).alias("kept"),

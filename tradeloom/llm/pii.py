@@ -210,7 +210,7 @@ def candidates(docs: DataFrame, keep: list[str]) -> DataFrame:
     near = _matches(text, LOCAL_PHONE, PHONE)
     local = F.when(text.rlike("[0-9]{3}[\\x20.-][0-9]{4}"), near)  # no plus is needed here
     none = F.array().cast("array<struct<kind:int,start:int,finish:int,value:string,before:string,after:string>>")
-    found = docs.select(F.struct(*keep).alias("row"), F.concat(*spans, F.coalesce(local, none)).alias("found"))
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.concat(*spans, F.coalesce(local, none)).alias("found"))
 
     def judged(span: Column) -> Column:
         return let(

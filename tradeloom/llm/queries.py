@@ -37,7 +37,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(documents(spark, sf_dir))
+    return minhash.near_duplicates(documents(spark, sf_dir)).drop("text_hash")
 
 
 def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
