@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STEPS, ENOUGH = 25, 1e-4
-#: Votes added to each rule, class and kind of vote, as a start and to keep chances off 0.
-SMOOTHING = 1.0
+#: Rows that the first estimate of each rule and class weighs: it rules where there are few rows, and keeps chances off 0.
+PRIOR_ROWS = 10.0
 VOTES = (-1, 0, 1)
 
 
@@ -27,6 +27,7 @@ class LabelModel:
         self.chances = {
             r: {1: {-1: (1 - t) / 2, 0: 0.5, 1: t / 2}, 0: {-1: t / 2, 0: 0.5, 1: (1 - t) / 2}} for r, t in trust.items()
         }
+        self.first = self.chances
 
     def weights(self) -> dict[str, dict[int, float]]:
         """The log-odds that each vote adds."""
@@ -53,12 +54,13 @@ class LabelModel:
                 break
             before = self.share
             self.share = min(0.999, max(0.001, found["good"] / found["n"]))
+            self.chances = {r: {} for r in self.rules}
             for i, rule in enumerate(self.rules):
                 for c in (1, 0):
                     counts = {}
                     for v in VOTES:
                         good, n = found[f"good_{i}_{v + 1}"], found[f"n_{i}_{v + 1}"]
-                        counts[v] = (good if c else n - good) + SMOOTHING
+                        counts[v] = (good if c else n - good) + PRIOR_ROWS * self.first[rule][c][v]
                     total = sum(counts.values())
                     self.chances[rule][c] = {v: x / total for v, x in counts.items()}
             if abs(self.share - before) < ENOUGH:
