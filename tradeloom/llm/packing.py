@@ -13,7 +13,7 @@ a document or a sentence:
 a cut point costs constant time. Where a window would be as long as a power of two, it needs no padding; the tail of
 a range is therefore left as one padded window or cut into powers of two, whichever costs less.
 
-A task works through its range in batches and holds one stretch of about ``STRETCH`` tokens. The last window of
+A task works through its range in stretches of about ``STRETCH`` bytes of text. The last window of
 a stretch isn't closed but opens the next stretch, so only the tail of a range is padded for want of text.
 
 A null text is empty: its document is its end alone. Repeated rows are packed one by one. Null ids come first.
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.bpe import WordIds, vocabulary_path
+from tradeloom.llm.bpe import WordEncoder, joined, vocabulary_path
 from tradeloom.llm.common import keyed, partitions
 from tradeloom.llm.wordblocks import arrow, texts_of
 
@@ -41,8 +41,10 @@ WINDOW = 2048
 END = 1
 #: Padding tokens that a cut inside a document, or inside a sentence, is worth avoiding.
 IN_DOCUMENT, IN_SENTENCE = 2, 12
-STRIDE = 16
-STRETCH = 1 << 18
+STRIDE = 32
+STRETCH = 1 << 20
+#: Words whose ids a task holds; beyond that it starts over.
+KEPT_WORDS = 1_000_000
 #: Characters of text for a range; fewer ranges mean fewer tails.
 RANGE_CHARS = 32 << 20
 
@@ -52,6 +54,7 @@ PIECES = (
 )
 
 # After a word that ends a sentence, and any closing quotes or brackets.
+_LAST = frozenset(b".!?\"')]")
 _SENTENCE = re.compile(rb"[.!?]+[\"')\]]*\Z")
 
 
@@ -85,75 +88,116 @@ def tail(n: int, window: int) -> list[int]:
     return powers if (len(powers) - 1) * IN_SENTENCE < window - n else [n]
 
 
+class _Words(dict):
+    """Numbers words in order of first sight, and holds the ids of each in one long array."""
+
+    def __init__(self, encoder: WordEncoder):
+        super().__init__()
+        self.encoder = encoder
+        self.fresh: list[bytes] = []
+        # word 0 stands for the end of a document
+        self.starts, self.lengths, self.stops = np.array([0]), np.array([1]), np.array([False])
+        self.ids = np.array([END], np.uint32)
+        self.count = 1
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = self.count
+        self.count += 1
+        self.fresh.append(word)
+        return n
+
+    def learn(self) -> None:
+        """Encode what came up since the last time."""
+        lengths, ids = joined(self.encoder.encode(self.fresh))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
+        ends = [w[-1] in _LAST and _SENTENCE.search(w) is not None for w in self.fresh]
+        self.stops = np.concatenate([self.stops, np.array(ends, bool)])
+        self.fresh = []
+
+
 class _Stream:
     """The tokens of a range that aren't packed yet."""
 
-    def __init__(self, first: int, window: int):
+    def __init__(self, first: int, window: int, path: str):
         self.sequence, self.window = first, window
-        self.ids: list[np.ndarray] = []
+        self.encoder = WordEncoder(path)
+        self.words = _Words(self.encoder)
         self.docs: list[list] = []  # doc_id, tokens of the document, tokens of it that are packed
-        self.cuts: list[np.ndarray] = []
-        self.penalties: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, doc_id: int | None, ids: np.ndarray, sentence_ends: np.ndarray) -> None:
-        n = len(ids)
-        fine = np.arange(STRIDE, n, STRIDE)
-        gaps = np.diff(np.concatenate([[0], sentence_ends, [n]]))
-        if (gaps > STRIDE).any():
-            starts = np.concatenate([[0], sentence_ends])
-            fine = np.concatenate([np.arange(s + STRIDE, s + g, STRIDE) for s, g in zip(starts, gaps, strict=True) if g > STRIDE])
-        else:
-            fine = fine[:0]
-        at = np.concatenate([sentence_ends, fine, [n]])
-        worth = np.concatenate([np.full(len(sentence_ends), IN_DOCUMENT), np.full(len(fine), IN_SENTENCE), [0]])
-        at, first = np.unique(at[::-1], return_index=True)  # the document's end wins over a sentence's
-        self.cuts.append(at + self.size)
-        self.penalties.append(worth[::-1][first])
-        self.ids.append(ids)
-        self.docs.append([doc_id, n, 0])
-        self.size += n
+        self.ids = np.zeros(0, np.uint32)
+        self.at, self.penalty = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, doc_ids: list[int | None], texts: list[bytes]) -> None:
+        """Append documents: their ids, and where they may be cut at what penalty."""
+        words = self.words = self.words if len(self.words) < KEPT_WORDS else _Words(self.encoder)
+        numbers, sizes = [], []
+        for text in texts:
+            own = text.split()
+            numbers.extend(map(words.__getitem__, own))
+            numbers.append(0)
+            sizes.append(len(own) + 1)
+        words.learn()
+        of = np.array(numbers, np.int64)
+        lengths = words.lengths[of]
+        ends = np.cumsum(lengths)  # of the words, in tokens
+        begins = ends - lengths
+        ids = words.ids[np.repeat(words.starts[of] - begins, lengths) + np.arange(ends[-1])]
+        last = np.cumsum(sizes) - 1  # the documents' ends, as words
+        stops = words.stops[of]
+        stops[last[last > 0] - 1] = False  # the end of a document stays with its last sentence
+        soft = np.flatnonzero(stops)
+        cut = np.unique(np.concatenate([soft, last]))
+        at = ends[cut]
+        at, first = np.unique(at, return_index=True)
+        worth = np.where(np.isin(cut[first], last), 0, IN_DOCUMENT)
+        # within long sentences, every STRIDE tokens
+        starts = np.concatenate([[0], at[:-1]])
+        more = (at - starts - 1) // STRIDE
+        fine = np.repeat(starts - (np.cumsum(more) - more) * STRIDE, more) + (np.arange(more.sum()) + 1) * STRIDE
+        at, worth = np.concatenate([at, fine]), np.concatenate([worth, np.full(len(fine), IN_SENTENCE)])
+        order = np.argsort(at, kind="stable")
+        self.at = np.concatenate([self.at, at[order] + len(self.ids)])
+        self.penalty = np.concatenate([self.penalty, worth[order]])
+        self.ids = np.concatenate([self.ids, ids])
+        tokens = np.diff(np.concatenate([[0], ends[last]])).tolist()
+        self.docs += [[d, n, 0] for d, n in zip(doc_ids, tokens, strict=True)]
 
     def pack(self, last: bool) -> Iterator[tuple]:
         """Pieces of the windows that can be closed; all of them, if this is the end of the range."""
-        if not self.size:
+        size = len(self.ids)
+        if not size:
             return
-        ids = np.concatenate(self.ids)
-        at, penalty = np.concatenate([[0], *self.cuts]), np.concatenate([[0], *self.penalties])
+        at, penalty = np.concatenate([[0], self.at]), np.concatenate([[0], self.penalty])
         ends = at[windows(at, penalty, self.window)].tolist()
         begin = ends[-2] if len(ends) > 1 else 0
-        lengths = np.diff([0, *ends[:-1]]).tolist() + (tail(self.size - begin, self.window) if last else [])
-        done, doc, left = 0, 0, self.docs
+        lengths = np.diff([0, *ends[:-1]]).tolist() + (tail(size - begin, self.window) if last else [])
+        done, doc = 0, 0
         for length in lengths:
             offset = 0
             while offset < length:
-                doc_id, n, packed = left[doc]
+                own = self.docs[doc]
+                doc_id, n, packed = own
                 take = min(n - packed, length - offset)
-                own = ids[done : done + take]
-                yield doc_id, packed, take, own, n, self.sequence, offset
-                left[doc][2] += take
-                doc += left[doc][2] == n
+                yield doc_id, packed, take, self.ids[done : done + take], n, self.sequence, offset
+                own[2] += take
+                doc += own[2] == n
                 done += take
                 offset += take
             self.sequence += 1
-        self.docs, self.ids, self.size = left[doc:], [ids[done:]], self.size - done
-        keep = at > done
-        self.cuts, self.penalties = [at[keep] - done], [penalty[keep]]
-
-
-def tokens(ids: WordIds, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """A document's ids with its end, and where its sentences end."""
-    words = text.split()
-    if not words:
-        return np.array([END], np.uint32), np.zeros(0, np.int64)
-    try:
-        found = [ids[w] for w in words]
-    except KeyError:
-        ids.learn(dict.fromkeys(words))
-        found = [ids[w] for w in words]
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-    stops = [i for i, w in enumerate(words[:-1]) if w[-1] in b".!?\"')]" and _SENTENCE.search(w)]
-    return np.concatenate([*found, np.array([END], np.uint32)]), np.unique(ends[stops])
+        self.docs, self.ids = self.docs[doc:], self.ids[done:]
+        keep = self.at > done
+        self.at, self.penalty = self.at[keep] - done, self.penalty[keep]
+
+
+def stretches(doc_ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
+    """Documents in runs of about ``STRETCH`` bytes."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= STRETCH or i + 1 == len(texts):
+            yield doc_ids[first : i + 1], texts[first : i + 1]
+            first, size = i + 1, 0
 
 
 def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, digest_only: bool = False) -> DataFrame:
@@ -170,23 +214,24 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, digest_
         ranges = -(-size // RANGE_CHARS)
 
     def run(batches):
-        ids = WordIds(path)
-        stream = _Stream(TaskContext.get().partitionId() << 40, window)
+        stream = _Stream(TaskContext.get().partitionId() << 40, window, path)
 
         def rows_of(pieces) -> pa.RecordBatch:
             out: dict[str, list] = {k: [] for k in names}
             for doc_id, start, length, own, n, sequence, offset in pieces:
                 crc = zlib.crc32(own.astype("<u4").tobytes())
-                row = (doc_id, start, length, crc, n, sequence, offset, [] if digest_only else own.tolist())
+                row = (doc_id, start, length, crc, n, sequence, offset, own[:0] if digest_only else own.astype(np.int32))
                 for k, v in zip(names, row, strict=True):
                     out[k].append(v)
+            flat = np.concatenate([np.zeros(0, np.int32), *out["ids"]])
+            ends = np.cumsum([0, *map(len, out["ids"])]).astype(np.int32)
+            out["ids"] = pa.ListArray.from_arrays(ends, pa.array(flat.astype(np.int32)))
             return pa.RecordBatch.from_pydict(out, schema=arrow(PIECES))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                stream.add(doc_id, *tokens(ids, text))
-                if stream.size >= STRETCH:
-                    yield rows_of(stream.pack(False))
+            for doc_ids, texts in stretches(batch.column("doc_id").to_pylist(), texts_of(batch)):
+                stream.add(doc_ids, texts)
+                yield rows_of(stream.pack(False))
         yield rows_of(stream.pack(True))
 
     dealt = rows.withColumn("_tie", F.xxhash64("text")).repartitionByRange(ranges, "doc_id", "_tie")
