@@ -38,7 +38,7 @@ def simulate(rows, cfg, keep_candidates=False):
         window = [x for x in seen[s] if x[0] >= t - cfg.volume_window_ms]
         if len(window) >= 2 and t - window[0][0] >= cfg.volume_min_span_ms:
             mean = sum(x[2] for x in window[:-1]) / (len(window) - 1)
-            if mean > 0 and v >= mean * cfg.volume_multiplier - 5e-10 and may_fire(("v", s), t, cfg.volume_cooldown_ms):
+            if mean > 0 and v >= mean * cfg.volume_multiplier * (1 - 1e-11) and may_fire(("v", s), t, cfg.volume_cooldown_ms):
                 volume.append((s, t, seq, half_even(mean, 2), half_even(v / mean, 2), len(window)))
         window = [x for x in seen[s] if x[0] >= t - cfg.volatility_window_ms]
         if len(window) >= 2 and t - window[0][0] >= cfg.volatility_min_span_ms:
@@ -47,7 +47,7 @@ def simulate(rows, cfg, keep_candidates=False):
                 mean = sum(prices) / len(prices)
                 std = math.sqrt(sum((x - mean) ** 2 for x in prices) / len(prices))
                 z = abs(p - mean) / std
-                if z >= cfg.volatility_z - 5e-10 and may_fire(("z", s), t, cfg.volatility_cooldown_ms):
+                if z >= cfg.volatility_z * (1 - 1e-9) and may_fire(("z", s), t, cfg.volatility_cooldown_ms):
                     volatility.append((s, t, seq, half_even(std, 4), half_even(z, 3), len(window)))
         minute = t // cfg.candle_ms
         if s not in current:

@@ -229,3 +229,45 @@ def test_hot_slices_change_nothing(spark):
     columns = ["s", "seq", "w_count", "w_from", "w_low", "w_high"]
     got = [d.rolling_stats(df, 300_000, 10, (), hot).select(*columns).collect() for hot in (1_000_000, 20)]
     assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1]))
+
+
+def test_sessions_start_every_detector_anew(trades):
+    """Each session alone gives what the feed gives in sessions."""
+    import random
+
+    rng, rows, t = random.Random(3), [], 1_000.0
+    for i in range(1200):
+        t += 20_000 if i in (400, 800) else rng.choice([0.5, 2, 5])
+        rows.append((rng.choice("ab"), t, round(100 + rng.gauss(0, 1) + 15 * (rng.random() < 0.02), 2), round(rng.expovariate(0.1), 2)))
+    feed = trades(rows)
+    got = d.detect_in_sessions(feed, CFG, 10_000_000)
+    names = ("signal_type", "symbol", "trade_ts", "seq")
+    want = []
+    for k, (lo, hi) in enumerate(((0, 400), (400, 800), (800, 1200))):
+        part = feed.filter(f"seq >= {lo} and seq < {hi}")
+        want += [(*r, k) for r in map(tuple, d.detect(part, CFG).select(*names).collect())]
+    found = sorted(map(tuple, got.select(*names, "session_id").collect()))
+    assert found == sorted(want) and {r[0] for r in found} == {"volume_spike", "momentum_signal", "volatility_spike"}
+
+
+@pytest.mark.parametrize("scale", [1, 10**9])
+def test_threshold_trades_fire_alike_in_every_layout(trades, scale):
+    """Trades just at the threshold, at small and at very large volumes, however the windows are cut."""
+    from dataclasses import replace
+
+    rows = [("a", 10.0 * i, 10.0, 0.1 * scale) for i in range(60)]
+    rows += [("a", 600.0 + 10 * i, 10.0, 0.4 * scale if i % 10 == 9 else 0.1 * scale) for i in range(60)]
+    feed, found = trades(rows), []
+    for parts in (1, 10, 60):
+        cfg = replace(CFG, window_parts=parts)
+        found.append(sorted(r.seq for r in d.volume_candidates(feed, cfg).collect()))
+    rolled = d.rolling_stats(feed, CFG.volume_window_ms, 10, hot_rows=3)
+    found.append(sorted(r.seq for r in rolled.filter(d.is_volume_spike(CFG)).collect()))
+    assert found[0] and all(f == found[0] for f in found)
+
+
+def test_zero_volumes_stay_in_windows(trades):
+    rows = [("a", 10.0 * i, 10.0, 0.0) for i in range(20)] + [("a", 300.0, 10.0, 5.0)]
+    feed = trades(rows)
+    last = d.rolling_stats(feed, CFG.volume_window_ms).filter("seq = 20").first()
+    assert last.w_count == 21 and d.volume_candidates(feed, CFG).count() == 0

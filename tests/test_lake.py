@@ -203,3 +203,33 @@ def test_stage_table_is_built_once(spark):
     assert stage.table("empty", build).count() == 0
     assert stage.table("empty", build).columns == ["id"]
     assert built == [1]
+
+
+def test_expired_folders_are_dropped_by_name(spark, tmp_path):
+    from datetime import date
+
+    days = [("2024-01-01",), ("2024-03-20",), ("2024-04-01",)]
+    path = str(tmp_path / "features")
+    spark.createDataFrame(days, "date string").selectExpr("1 AS x", "date").write.partitionBy("date").parquet(path)
+    listed = medallion.drop_expired(spark, path, "features", date(2024, 4, 10))
+    assert [p.rsplit("/", 1)[1] for p in listed] == ["date=2024-01-01"]
+    assert spark.read.parquet(path).count() == 3
+    assert medallion.drop_expired(spark, path, "features", date(2024, 4, 20), dry_run=False)
+    assert spark.read.parquet(path).count() == 1
+    assert medallion.drop_expired(spark, str(tmp_path / "nothing"), "bronze", date(2024, 4, 10)) == []
+
+
+def test_recent_bronze_looks_for_its_hours_only(spark, tmp_path):
+    from datetime import datetime
+
+    rows = [("2024-01-01 10:59:00",), ("2024-01-01 11:30:00",), ("2024-01-01 12:01:00",)]
+    lines = spark.createDataFrame(rows, "at string").selectExpr(
+        "to_json(named_struct('s', 'a', 'p', 1.0, 'v', 2.0, 't', unix_millis(cast(at as timestamp)))) AS value",
+        "cast(at as timestamp) AS at",
+    )
+    path = str(tmp_path / "bronze")
+    medallion.write_bronze(lines, F.col("at"), path)
+    got = medallion.recent_bronze(spark, path, datetime(2024, 1, 1, 12, 5), 3_600_000)
+    assert got.count() == 2
+    assert len({f for f in got.inputFiles()}) == 2
+    assert medallion.recent_bronze(spark, path, datetime(2023, 1, 1), 3_600_000).count() == 0

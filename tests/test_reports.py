@@ -66,7 +66,7 @@ def rows(df):
 
 def test_breadth(spark, gold):
     g = gold(sector=[snap("10:00:00", "a", pct=9.0), snap("10:01:00", "b", pct=-1.0), snap("10:01:00", "a", pct=1.0)])
-    assert [(r.symbol, r.pct_change) for r in q.market_breadth(spark, g).collect()] == [("a", 1.0), ("b", -1.0)]
+    assert [(r.symbol, r.pct_change) for r in q.market_breadth(g).collect()] == [("a", 1.0), ("b", -1.0)]
 
 
 @pytest.mark.parametrize(
@@ -138,7 +138,7 @@ def test_rvol(gold):
 
 
 def test_best_hours(spark, gold):
-    out = q.best_hours(spark, gold(volume=[spike("10:00:00", ratio=4.0), spike("10:59:00", ratio=6.0)]), DAY)
+    out = q.best_hours(gold(volume=[spike("10:00:00", ratio=4.0), spike("10:59:00", ratio=6.0)]), DAY)
     assert rows(out) == [(10, 2, 5.0, 6.0)]
 
 
@@ -165,7 +165,7 @@ def test_pairs(gold):
 def test_regime_and_rotation(spark, gold):
     vol = [dict(symbol="a", detected_at=t, price=1.0, z_score=z) for t, z in (("10:00:00", 3.0), ("11:00:00", 5.0), ("2024-03-08 00:00:00", 4.0), ("2024-03-07 23:59:59", 9.0))]
     g = gold(volume=[spike("10:30:00")], momentum=[move("10:31:00")], volatility=vol)
-    assert rows(q.volatility_regime(spark, g, AS_OF)) == [(datetime(2024, 3, 8), 1, 4.0, 4.0), (datetime(2024, 3, 15), 2, 4.0, 5.0)]
+    assert rows(q.volatility_regime(g, AS_OF)) == [(datetime(2024, 3, 8), 1, 4.0, 4.0), (datetime(2024, 3, 15), 2, 4.0, 5.0)]
     assert rows(q.sector_rotation(g, DAY)) == [(10, "momentum", 1), (10, "volatility", 1), (10, "volume", 1), (11, "volatility", 1)]
 
 
@@ -226,3 +226,13 @@ def test_filters_reach_the_partitions(spark, tmp_path, gold):
     partition = plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
     assert "date" in partition and "2024-03-15" in partition
     assert "GreaterThanOrEqual(detected_at" in plan
+
+
+@pytest.mark.parametrize("report", [q.signal_strength, q.signal_accuracy, q.symbol_win_rates, q.per_signal_pnl])
+def test_snapshots_are_pruned_by_day(spark, gold, tmp_path, report):
+    g = gold(volume=[spike("10:00:00")], sector=[snap("10:10:00", pct=1.0), snap("2023-01-01 10:10:00", pct=1.0)])
+    g.sector_snapshots.write.partitionBy("date").parquet(str(tmp_path / "s"))
+    g.sector_snapshots = spark.read.parquet(str(tmp_path / "s"))
+    plan = report(g, AS_OF, CFG)._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("FileScan") :]
+    assert "PartitionFilters: [isnotnull(date" in scan and ">=" in scan.split("PartitionFilters:")[1].split("]")[0]

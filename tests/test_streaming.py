@@ -90,7 +90,7 @@ def test_snapshots_equal_batch(spark, rows, tmp_path):
     feed, out, check = Feed(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
     for piece in cut(rows):
         feed.drop(piece)
-    snapshots = jobs.detect_snapshots(feed.trades(), CFG)
+    snapshots = jobs.detect_snapshots(feed.trades(), CFG, "0 seconds")
     wait(jobs.publish_snapshots(snapshots, CFG.symbols, out, check, once=True))
     records = [json.loads(r["value"]) for r in spark.read.parquet(out).collect()]
     assert all([e["symbol"] for e in r["symbols"]] == sorted(CFG.symbols) for r in records)
@@ -150,8 +150,11 @@ def test_frames_to_raw_to_bronze(spark, tmp_path):
 
 
 def test_raw_values(spark):
-    rows = [('{"s":"a","p":1,"v":2,"t":3}',), ("junk",), ('{"p":1}',)]
-    assert jobs.trades_from_values(spark.createDataFrame(rows, "value string")).count() == 1
+    rows = [('{"s":"a","p":1,"v":2,"t":3}', 7), ("junk", 8), ('{"p":1}', 9)]
+    found = jobs.trades_from_values(spark.createDataFrame(rows, "value string, offset long"), F.col("offset")).collect()
+    assert [(r.s, r.t, r.seq) for r in found] == [("a", 3, 7)]
+    with pytest.raises(TypeError):
+        jobs.trades_from_values(spark.createDataFrame(rows, "value string, offset long"))
     assert TRADE.startswith("s string")
 
 
@@ -213,3 +216,132 @@ def test_scores_in_the_stream_equal_batch(spark, rows, tmp_path):
     want = {(r.signal_type, r.symbol, r.detected_at): r.ml_anomaly_score for r in scored}
     assert want and None not in want.values()
     assert got == pytest.approx(want)
+
+
+def _ticks(spark, out, upto):
+    names = ("last_price", "open_price", "pct_change", "trade_count", "total_volume", "last_trade_ts", "is_stale")
+    records = [json.loads(r["value"]) for r in spark.read.parquet(out).collect()]
+    found = {}
+    for r in records:
+        for e in r["symbols"]:
+            if r["snapshot_ts"] <= upto and e["trade_count"]:
+                key = (r["snapshot_ts"], e["symbol"])
+                assert key not in found
+                found[key] = tuple(round(e[n], 6) if isinstance(e[n], float) else e[n] for n in names)
+    return found, names
+
+
+def test_late_trades_count_in_snapshots(spark, rows, tmp_path):
+    """Trades up to a minute late and out of order, across batches: the stream gives what the batch gives."""
+    rng = random.Random(8)
+    arriving = sorted(rows, key=lambda r: r[3] + rng.randrange(0, 59_000))
+    arriving = [(*r[:4], i) for i, r in enumerate(arriving)]
+    feed, out = Feed(spark, tmp_path / "in"), str(tmp_path / "out")
+    for piece in cut(arriving):
+        feed.drop(piece)
+    end = max(r[3] for r in rows)
+    for k in (1, 2):
+        feed.drop([("z", 1.0, 1.0, end + k * 10_000_000, 10_000 + k)])
+    snapshots = jobs.detect_snapshots(feed.trades(), CFG)
+    wait(jobs.publish_snapshots(snapshots, CFG.symbols, out, str(tmp_path / "check"), once=True))
+    batch = d.sector_snapshots(
+        d.tick_states(spark.createDataFrame(arriving, SCHEMA), CFG.snapshot_ms), d.symbol_table(spark, CFG.symbols), CFG
+    )
+    got, names = _ticks(spark, out, spark.range(1).select(ms_to_iso(F.lit(end).cast("bigint"))).first()[0])
+    got = {k: v for k, v in got.items() if k[1] != "z"}
+    rows_ = batch.filter("trade_count > 0").select(ms_to_iso(F.col("snapshot_ms")).alias("at"), "symbol", *names).collect()
+    want = {(r.at, r.symbol): tuple(round(x, 6) if isinstance(x, float) else x for x in tuple(r)[2:]) for r in rows_}
+    assert got == want
+
+
+def test_snapshots_by_the_clock_of_a_silent_feed(spark, tmp_path):
+    import time
+    from dataclasses import replace
+
+    feed = Feed(spark, tmp_path / "in")
+    now = int(time.time() * 1000)
+    feed.drop([("a", 10.0, 1.0, now - 5000, 0), ("a", 11.0, 2.0, now - 4000, 1)])
+    stream = jobs.detect_timed_snapshots(feed.trades(), replace(CFG, snapshot_ms=1000))
+    query = (
+        stream.writeStream.format("memory").queryName("timed").option("checkpointLocation", str(tmp_path / "c"))
+        .trigger(processingTime="500 milliseconds").start()
+    )
+    try:
+        limit = time.time() + 90
+        while time.time() < limit and spark.table("timed").count() < 3:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    found = spark.table("timed").orderBy("snapshot_ms").collect()
+    spark.catalog.dropTempView("timed")
+    assert len(found) >= 3 and len({r.snapshot_ms for r in found}) == len(found)
+    assert all(r.snapshot_ms % 1000 == 0 for r in found)
+    assert {(r.symbol, r.open_price, r.last_price, r.pct_change, r.trade_count, r.total_volume) for r in found} == {
+        ("a", 10.0, 11.0, 10.0, 2, 3.0)
+    }
+
+
+def test_warm_start_of_the_stream_equals_replay(spark, rows, tmp_path):
+    start = rows[450][3]
+    before = [r for r in rows if start - CFG.warm_start_ms <= r[3] < start]
+    feed, out = Feed(spark, tmp_path / "in"), str(tmp_path / "out")
+    feed.drop([r for r in rows if r[3] >= start])
+    stream = jobs.detect_signals(feed.trades(), CFG, warm=spark.createDataFrame(before, SCHEMA))
+    wait(jobs.publish_signals(stream, out, str(tmp_path / "check"), once=True))
+    got = sorted(_fields(json.loads(r["value"])) for r in spark.read.parquet(out).collect())
+    batch = d.warm_start(spark.createDataFrame(rows, SCHEMA), CFG, start)
+    assert got == sorted(_fields(r.asDict()) for r in batch.collect())
+    cold = d.detect(spark.createDataFrame([r for r in rows if r[3] >= start], SCHEMA), CFG)
+    assert got != sorted(_fields(r.asDict()) for r in cold.collect())
+
+
+def test_detectors_plugged_into_the_stream(spark, rows, tmp_path):
+    def every_tenth(symbol, t, p, v, state):
+        """A detector of one's own: each tenth trade of a symbol."""
+        seen = state.get("seen", 0)
+        state["seen"] = seen + len(t)
+        return [{"row": i, "price": float(p[i])} for i in range(len(t)) if (seen + i + 1) % 10 == 0]
+
+    feed, out = Feed(spark, tmp_path / "in"), str(tmp_path / "out")
+    for piece in cut(rows):
+        feed.drop(piece)
+    stream = jobs.detect_signals(feed.trades(), CFG, plugins={"tenth": every_tenth})
+    wait(jobs._start(stream.writeStream.format("parquet"), str(tmp_path / "check"), True, path=out))
+    got = spark.read.parquet(out).filter("signal_type = 'tenth'").select("symbol", "trade_ts", "price").collect()
+    want = []
+    for s in "abc":
+        own = [r for r in rows if r[0] == s]
+        want += [(s, r[3], r[1]) for i, r in enumerate(own) if i % 10 == 9]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_a_failing_model_leaves_scores_null(spark, rows, tmp_path):
+    from tradeloom.operators import evaluation, features, iforest
+
+    class Broken(iforest.IsolationForestModel):
+        def _transform(self, dataset):
+            raise RuntimeError("no model today")
+
+    trades = spark.createDataFrame(rows, SCHEMA)
+    model = iforest.IsolationForest(key=("symbol", "bucket"), numTrees=5).fit(features.feature_windows(trades, 60_000))
+    registry = evaluation.ModelRegistry(spark, str(tmp_path / "versions"))
+    feed, sent = Feed(spark, tmp_path / "in"), {}
+    for piece in cut(rows):
+        feed.drop(piece)
+
+    def run(name, scorer):
+        signals = jobs.detect_signals(feed.trades(), CFG)
+        wait(jobs.publish_signals(signals, str(tmp_path / name), str(tmp_path / f"c{name}"), once=True, model=scorer))
+        values = [json.loads(r["value"]) for r in spark.read.parquet(str(tmp_path / name)).collect()]
+        return [v.get("ml_anomaly_score") for v in values]
+
+    broken = Broken(model.nodes, model.low, model.high)
+    assert set(run("broken", broken)) == {None}
+    assert set(run("none", registry)) == {None}
+    model.save(spark, str(tmp_path / "model"))
+    from datetime import datetime
+
+    version = registry.register(str(tmp_path / "model"), 0.1, datetime(2024, 1, 1))
+    registry.approve(version, datetime(2024, 1, 2))
+    scores = run("approved", registry)
+    assert scores and None not in scores

@@ -23,8 +23,9 @@ from tradeloom.operators.sliding import sliding_stats
 # Slices per window, and the mean rows of a coarse slice from which fine ones pay.
 COARSE, FINE, DENSE_ROWS = 10, 60, 3000
 
-# A sum of doubles may miss a threshold that the exact sum meets by this much.
-NOISE = 5e-10
+# A value worked out from sums of doubles may miss a threshold that the exact one meets by this share of it. The share
+# is far above the rounding errors of any order of addition, so a trade at the threshold fires whatever the layout.
+MEAN_NOISE, SPREAD_NOISE = 1e-11, 1e-9
 
 # ---- rolling window (D1, D2) ----------------------------------------------------------------------
 
@@ -77,7 +78,7 @@ def prior_mean_volume() -> Column:
 
 def is_volume_spike(cfg: Settings) -> Column:
     mean = F.when(_open_long_enough(cfg.volume_min_span_ms), prior_mean_volume())
-    return F.coalesce((mean > 0) & (F.col("v") >= mean * cfg.volume_multiplier - NOISE), F.lit(False))
+    return F.coalesce((mean > 0) & (F.col("v") >= mean * cfg.volume_multiplier * (1 - MEAN_NOISE)), F.lit(False))
 
 
 def volume_fields(rolled: DataFrame, *extra: str) -> DataFrame:
@@ -118,7 +119,7 @@ def z_score() -> Column:
 
 def is_volatility_spike(cfg: Settings) -> Column:
     z = F.when(_open_long_enough(cfg.volatility_min_span_ms), z_score())
-    return F.coalesce(z >= cfg.volatility_z - NOISE, F.lit(False))
+    return F.coalesce(z >= cfg.volatility_z * (1 - SPREAD_NOISE), F.lit(False))
 
 
 def volatility_fields(rolled: DataFrame, *extra: str) -> DataFrame:
@@ -423,6 +424,26 @@ def since(signals: DataFrame, start_ms: int) -> DataFrame:
     return signals.filter(F.col("trade_ts") >= start_ms)
 
 
+def detect_in_sessions(
+    trades: DataFrame, cfg: Settings, gap_ms: int, detectors: Sequence[Detector] | None = None
+) -> DataFrame:
+    """Signals of any detectors that start anew with each session, with ``session_id``.
+
+    A symbol's session stands in for the symbol, so no window, candle or cooldown reaches across a silence.
+    """
+    mark = "\x1f"
+    apart = with_sessions(trades, gap_ms).withColumn("s", F.concat_ws(mark, "s", "session_id")).drop("session_id")
+    found = detect(apart, cfg, DETECTORS if detectors is None else detectors)
+    session = F.substring_index("symbol", mark, -1).cast("bigint")
+    return found.withColumn("session_id", session).withColumn("symbol", F.substring_index("symbol", mark, 1))
+
+
+def warm_start(trades: DataFrame, cfg: Settings, start_ms: int, detectors: Sequence[Detector] | None = None) -> DataFrame:
+    """Signals of detectors restarted at ``start_ms``: the stretch before it sets their state, its signals are dropped."""
+    replayed = replay_from(trades, start_ms, cfg.warm_start_ms)
+    return since(detect(replayed, cfg, DETECTORS if detectors is None else detectors), start_ms)
+
+
 @dataclass(frozen=True)
 class Detector:
     """A detector as data: what it calls its signals, how it finds candidates, how long it then rests.

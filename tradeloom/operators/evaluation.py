@@ -73,9 +73,17 @@ class ModelRegistry:
         """A new version awaiting approval, or None when the rate is outside the accepted band."""
         if not ACCEPT[0] <= anomaly_rate <= ACCEPT[1]:
             return None
-        newest = self.versions().agg(F.max("version")).first()[0] or 0
-        self._append((newest + 1, path, anomaly_rate, "PendingManualApproval", at))
-        return newest + 1
+        version = (self.versions().agg(F.max("version")).first()[0] or 0) + 1
+        while not self._claim(version):
+            version += 1
+        self._append((version, path, anomaly_rate, "PendingManualApproval", at))
+        return version
+
+    def _claim(self, version: int) -> bool:
+        """Take a version number; a file that only one writer can create settles who gets it."""
+        jvm = self.spark.sparkContext._jvm
+        claim = jvm.org.apache.hadoop.fs.Path(f"{self.path}_claims/{version}")
+        return claim.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(claim)
 
     def approve(self, version: int, at: datetime) -> None:
         row = self.current().filter(F.col("version") == version).first()

@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import bucket
+from tradeloom.storage import shared_root
 
 # A group above this many rows is split.
 HOT_ROWS = 5_000_000
-# Only the largest groups are listed. Any group left out holds less than 1/MOST of all rows.
-MOST = 10_000
 
 
 def hot_groups(rows: DataFrame, by: Sequence[str | Column], more_than: int, *aggregates: Column) -> DataFrame | None:
     """The groups with more than ``more_than`` rows, with aggregates of each; None when there are none.
 
-    Runs one counting job, reduced before its shuffle. The list has at most ``MOST`` rows, so it may be
-    broadcast.
+    Runs one counting job, reduced before its shuffle. All of them are written to the shared folder, so the list may
+    be of any length; join it without a hint.
     """
     counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
-    largest = counts.filter(F.col("_rows") > more_than).orderBy(F.desc("_rows")).limit(MOST)
-    found = largest.collect()
-    return rows.sparkSession.createDataFrame(found, largest.schema) if found else None
+    hot = counts.filter(F.col("_rows") > more_than)
+    path = f"{shared_root(rows.sparkSession)}/hot-{uuid.uuid4().hex}"
+    hot.write.parquet(path)
+    found = rows.sparkSession.read.schema(hot.schema).parquet(path)
+    return None if found.isEmpty() else found
 
 
 def load(rows: DataFrame, by: Sequence[str | Column]) -> tuple[float, int]:
@@ -45,5 +47,5 @@ def time_blocks(
     if hot is None:
         return rows.withColumn(name, whole)
     fine = F.struct(F.col(t).alias("at"), bucket(tie, hot_rows).alias("part"))
-    marked = rows.withColumn("_start", start).join(F.broadcast(hot), [*keys, "_start"], "left")
+    marked = rows.withColumn("_start", start).join(hot, [*keys, "_start"], "left")
     return marked.withColumn(name, F.when(F.col("_rows").isNotNull(), fine).otherwise(whole)).drop("_start", "_rows")

@@ -65,7 +65,7 @@ def sliding_stats(
             .agg(F.lit(True).alias("_hot"), *[F.max(f"_near_{n}").alias(f"_near_{n}") for n in moments])
         )
         piece = F.struct(at.alias("at"), F.col("_kind").alias("kind"), bucket(tie, hot_rows).alias("tie"))
-        events = events.join(F.broadcast(touched), group, "left").withColumn("_piece", F.when(F.col("_hot"), piece))
+        events = events.join(touched, group, "left").withColumn("_piece", F.when(F.col("_hot"), piece))
         group = [*group, "_piece"]
     # Only the row itself is shuffled; what follows from it is worked out on the other side.
     apart = events

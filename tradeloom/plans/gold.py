@@ -65,8 +65,10 @@ def _finish(rows: DataFrame, table: str, processed_at: Column) -> DataFrame:
 
 
 def laid_out(gold: DataFrame, table: str) -> DataFrame:
-    """Rows of a day together and ordered by symbol and time, so files prune by date and by symbol."""
-    return gold.repartition("date").sortWithinPartitions("date", "symbol", GOLD_TABLES[table][2])
+    """Rows dealt into ranges of day, symbol and time and ordered by them, so files prune by each, and a day or a symbol
+    that holds most rows is spread over tasks."""
+    order = ("date", "symbol", GOLD_TABLES[table][2])
+    return gold.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 class Pipeline:
@@ -88,7 +90,7 @@ class Pipeline:
     ):
         self.spark, self.trades, self.cfg, self.score = spark, trades, cfg, score
         self.processed_at = F.current_timestamp() if processed_at is None else processed_at
-        self.stage = Stage(spark, name)
+        self.stage = Stage(spark, f"{name} {cfg!r} {trades.semanticHash()}")
 
     # stage tables
 

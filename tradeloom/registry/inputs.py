@@ -33,9 +33,7 @@ def price() -> Column:
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        events(spark, sf_dir)
-        .filter(F.col("value") > 0)
-        .select(
+        events(spark, sf_dir).select(
             F.col("event_type").alias("s"),
             price().alias("p"),
             F.col("value").alias("v"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tradeloom.config import SIGNAL_PREFIX
 from tradeloom.registry.inputs import AS_OF, CFG, DAY
 
@@ -49,8 +51,7 @@ CTES: dict[str, str] = {
     "trades": """
         SELECT event_type AS s, 100.0::DOUBLE + k * k * k * k / 1e6::DOUBLE AS p, value AS v,
                epoch_us(ts) // 1000 AS t, event_id AS seq
-        FROM (SELECT *, regexp_extract(props, '"k": *([0-9]+)', 1)::DOUBLE AS k FROM events)
-        WHERE value > 0""",
+        FROM (SELECT *, regexp_extract(props, '"k": *([0-9]+)', 1)::DOUBLE AS k FROM events)""",
     "rolled": f"""
         SELECT *, count(*) OVER w AS w_count, min(t) OVER w AS w_from, sum(v) OVER w AS w_volume,
                min(p) OVER w AS w_low, max(p) OVER w AS w_high, avg(p) OVER w AS w_mean, var_pop(p) OVER w AS w_var
@@ -61,14 +62,14 @@ CTES: dict[str, str] = {
                w_count::INT AS window_trade_count, {he("(t - w_from)::DOUBLE / 1000", 1)} AS window_span_secs,
                t AS trade_ts, seq
         FROM (SELECT *, (w_volume - v) / (w_count - 1) AS m FROM rolled WHERE w_count >= 2)
-        WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= m * {C.volume_multiplier}::DOUBLE - 5e-10""",
+        WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= m * {C.volume_multiplier}::DOUBLE * (1 - 1e-11::DOUBLE)""",
     "volatility_cands": f"""
         SELECT s AS symbol, p AS price, {he("w_mean", 4)} AS mean_price, {he("sqrt(w_var)", 4)} AS std_dev,
                {he("z", 3)} AS z_score, w_count::INT AS window_trade_count,
                {he("(t - w_from)::DOUBLE / 1000", 1)} AS window_span_secs, t AS trade_ts, seq
         FROM (SELECT *, abs(p - w_mean) / sqrt(w_var) AS z FROM rolled
               WHERE w_count >= 2 AND w_low < w_high AND w_var > 0)
-        WHERE t - w_from >= {C.volatility_min_span_ms} AND z >= {C.volatility_z}::DOUBLE - 5e-10""",
+        WHERE t - w_from >= {C.volatility_min_span_ms} AND z >= {C.volatility_z}::DOUBLE * (1 - 1e-9::DOUBLE)""",
     "bars": f"""
         SELECT s, t // {C.candle_ms} AS minute, first(p ORDER BY t, seq) AS open, max(p) AS high, min(p) AS low,
                last(p ORDER BY t, seq) AS close, sum(v) AS volume, min(t) AS first_t,
@@ -199,8 +200,6 @@ for _name, _cooldown_ms in (
 
 
 def _needs(text: str) -> list[str]:
-    import re
-
     words = set(re.findall(r"[a-z_]+", text))
     return [name for name in CTES if name in words]
 
@@ -392,7 +391,6 @@ SQL: dict[str, str] = {
                w_count::INT AS window_trade_count
         FROM (SELECT *, (w_volume - v) / (w_count - 1) AS m FROM windowed WHERE w_count >= 2)
         WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= m * 2.0::DOUBLE - 5e-10""",
-    "warm_start_replay": "SELECT symbol, trade_ts, seq, spike_ratio FROM replay_kept",
     "all_signals": f"""
         SELECT symbol, {ts("trade_ts")} AS detected_at, 'volume_spike' AS signal_type, spike_ratio AS strength, price, trade_ts, seq
         FROM volume_kept
@@ -517,6 +515,22 @@ SQL: dict[str, str] = {
         SELECT tree::INT AS tree, least(256, n) AS sample_size, least(256, n) AS leaf_rows, true AS is_full, true AS within_depth
         FROM range(200) r(tree) CROSS JOIN (
             SELECT count(*) AS n FROM features WHERE max_t < {ms(NOW)} - 2 * 86400000)""",
+    "iforest_score": """
+        SELECT symbol, event_time, true AS agrees, true AS on_top FROM features
+        UNION ALL SELECT DISTINCT symbol, 'planted', true, true FROM features""",
+    "signals_scored": """
+        SELECT 'volume_spike' AS signal_type, symbol, trade_ts, seq, true AS agrees FROM volume_kept
+        UNION ALL SELECT 'momentum_signal', symbol, trade_ts, seq, true FROM momentum_kept
+        UNION ALL SELECT 'volatility_spike', symbol, trade_ts, seq, true FROM volatility_kept""",
+    "model_registry": f"""
+        SELECT row_number() OVER (ORDER BY hours) AS version, anomaly_rate,
+               CASE WHEN hours = 2 THEN 'Approved' ELSE 'PendingManualApproval' END AS status,
+               CASE WHEN hours = 2 THEN {NOW} + INTERVAL 1 DAY ELSE {NOW} + to_hours(hours) END AS created_at
+        FROM (SELECT unnest(range(6))::INT AS hours,
+                     unnest([anomaly_rate, 0.03::DOUBLE, 0.1::DOUBLE, 0.2::DOUBLE, round(anomaly_rate + 0.2, 4), 0.0299::DOUBLE])
+                     AS anomaly_rate
+              FROM ({_REPORT}))
+        WHERE anomaly_rate BETWEEN 0.03 AND 0.20""",
     "iforest_roundtrip": "SELECT symbol, event_time, true AS equal FROM features",
 }
 
@@ -526,24 +540,42 @@ _SCORE = """CASE signal_type WHEN 'volume_spike' THEN greatest(1, least(10, trun
 for _key in ("q_signal_score", "q_top_active"):
     SQL[_key] = SQL[_key].format(score=_SCORE)
 
-# A denser candidate stream for the cooldown alone: every trade with a large volume.
-CTES["thin_cands"] = "SELECT s AS symbol, t AS trade_ts, seq FROM trades WHERE v >= 60"
+# A denser candidate stream for the cooldown alone: every trade.
+CTES["thin_cands"] = "SELECT s AS symbol, t AS trade_ts, seq FROM trades"
 _ranked, _chain, _kept = _cooldown("thin_cands", C.volume_cooldown_ms)
 CTES["thin_cands_ranked"], CTES["thin_cands_chain"], CTES["thin_cands_kept"] = _ranked, _chain, _kept
 
-# The volume detector restarted at the start of DAY with its lookback replayed.
+# The detectors on other trades: restarted at the start of DAY with their lookback replayed, and by session.
 _START = f"epoch_us({THAT_DAY}::TIMESTAMP) // 1000"
-CTES["replay_cands"] = f"""
-    SELECT s AS symbol, {he("v / m", 2)} AS spike_ratio, t AS trade_ts, seq
-    FROM (SELECT *, (w_volume - v) / (w_count - 1) AS m FROM (
-            SELECT *, count(*) OVER w AS w_count, min(t) OVER w AS w_from, sum(v) OVER w AS w_volume
-            FROM (SELECT * FROM trades WHERE t >= {_START} - {C.warm_start_ms})
-            WINDOW w AS (PARTITION BY s ORDER BY t RANGE BETWEEN {C.volume_window_ms} PRECEDING AND CURRENT ROW))
-          WHERE w_count >= 2)
-    WHERE t - w_from >= {C.volume_min_span_ms} AND m > 0 AND v >= m * {C.volume_multiplier}::DOUBLE - 5e-10"""
-_ranked, _chain, _kept = _cooldown("replay_cands", C.volume_cooldown_ms)
-CTES["replay_cands_ranked"], CTES["replay_cands_chain"] = _ranked, _chain
-CTES["replay_kept"] = f"SELECT * FROM ({_kept}) WHERE trade_ts >= {_START}"
+CTES["replay_trades"] = f"SELECT * FROM trades WHERE t >= {_START} - {C.warm_start_ms}"
+CTES["session_trades"] = """
+    SELECT s || '#' || sum(brk) OVER (PARTITION BY s ORDER BY t, seq ROWS UNBOUNDED PRECEDING) AS s, p, v, t, seq
+    FROM (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY s ORDER BY t, seq) > 6000000, false)::INT AS brk FROM trades)"""
+_STEPS = ("rolled", "volume_cands", "volatility_cands", "bars", "completed", "momentum_cands")
+for _kind in ("replay", "session"):
+    for _step in _STEPS:
+        CTES[f"{_kind}_{_step}"] = re.sub(rf"\b({'|'.join(('trades', *_STEPS))})\b", rf"{_kind}_\1", CTES[_step])
+    for _name, _cooldown_ms in (
+        ("volume", C.volume_cooldown_ms),
+        ("volatility", C.volatility_cooldown_ms),
+        ("momentum", C.momentum_cooldown_ms),
+    ):
+        _cands = f"{_kind}_{_name}_cands"
+        CTES[f"{_cands}_ranked"], CTES[f"{_cands}_chain"], CTES[f"{_kind}_{_name}_kept"] = _cooldown(_cands, _cooldown_ms)
+
+
+def _every_kind(kind: str, columns: str) -> str:
+    return f"""
+        SELECT 'volume_spike' AS signal_type, {columns}, spike_ratio, NULL::DOUBLE AS pct_change, NULL::DOUBLE AS z_score
+        FROM {kind}_volume_kept
+        UNION ALL SELECT 'momentum_signal', {columns}, NULL, pct_change, NULL FROM {kind}_momentum_kept
+        UNION ALL SELECT 'volatility_spike', {columns}, NULL, NULL, z_score FROM {kind}_volatility_kept"""
+
+
+SQL["warm_start_replay"] = f"SELECT * FROM ({_every_kind('replay', 'symbol, trade_ts, seq')}) WHERE trade_ts >= {_START}"
+SQL["session_signals"] = f"""
+    SELECT * REPLACE (split_part(symbol, '#', 1) AS symbol), split_part(symbol, '#', 2)::BIGINT AS session_id
+    FROM ({_every_kind('session', 'symbol, trade_ts, seq')})"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta
@@ -16,6 +17,7 @@ from tradeloom.operators.cooldown import cooldown_thin
 from tradeloom.plans import dashboard as q
 from tradeloom.plans import presentation as show
 from tradeloom.registry.inputs import AS_OF, CFG, DAY, events, pipeline, price, stand_in_score, trades
+from tradeloom.schemas import FEATURE_COLS
 from tradeloom.sources import ingest, medallion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -367,9 +369,8 @@ def momentum_signals(spark, sf_dir):
 
 @query
 def cooldown_thin_query(spark, sf_dir):
-    """D9 alone, on a dense stream of large trades."""
-    large = trades(spark, sf_dir).filter(F.col("v") >= 60)
-    rows = large.select(F.col("s").alias("symbol"), F.col("t").alias("trade_ts"), "seq")
+    """D9 alone, on the densest stream: every trade is a candidate."""
+    rows = trades(spark, sf_dir).select(F.col("s").alias("symbol"), F.col("t").alias("trade_ts"), "seq")
     return cooldown_thin(rows, ["symbol"], "trade_ts", "seq", CFG.volume_cooldown_ms)
 
 
@@ -423,11 +424,18 @@ def session_reset(spark, sf_dir):
 
 @query
 def warm_start_replay(spark, sf_dir):
-    """A detector restarted at midnight."""
+    """The detectors restarted at midnight."""
     start = int((datetime(DAY.year, DAY.month, DAY.day) - datetime(1970, 1, 1)).total_seconds() * 1000)
-    replayed = d.replay_from(trades(spark, sf_dir), start, CFG.warm_start_ms)
-    rows = pipeline(spark, sf_dir).stage.table("replay_rows", lambda: d.volume_candidates(replayed, CFG))
-    return d.since(d.volume_spikes(rows, CFG), start).select("symbol", "trade_ts", "seq", "spike_ratio")
+    return d.warm_start(trades(spark, sf_dir), CFG, start).select(
+        "signal_type", "symbol", "trade_ts", "seq", "spike_ratio", "pct_change", "z_score"
+    )
+
+
+@query
+def session_signals(spark, sf_dir):
+    """Signals of all detectors, which start anew after a silence."""
+    found = d.detect_in_sessions(trades(spark, sf_dir), CFG, 6_000_000)
+    return found.select("signal_type", "symbol", "session_id", "trade_ts", "seq", "spike_ratio", "pct_change", "z_score")
 
 
 @query
@@ -453,17 +461,17 @@ def _report(name: str, build: Callable, *round_columns: str) -> None:
     _QUERIES[name] = run
 
 
-_report("q_market_breadth", lambda spark, sf, g: q.market_breadth(spark, g))
+_report("q_market_breadth", lambda spark, sf, g: q.market_breadth(g))
 _report("q_signal_clusters", lambda spark, sf, g: q.signal_clusters(g, AS_OF, CFG))
 _report("q_session_leaderboard", lambda spark, sf, g: q.session_leaderboard(g, AS_OF))
 _report("q_opening_range", lambda spark, sf, g: q.opening_range(g, DAY, CFG))
 _report("q_all_realtime_signals", lambda spark, sf, g: q.all_realtime_signals(g, AS_OF, CFG))
 _report("q_rvol", lambda spark, sf, g: q.rvol(g, DAY), "hist_avg", "rvol")
-_report("q_best_hours", lambda spark, sf, g: q.best_hours(spark, g, DAY), "avg_ratio")
+_report("q_best_hours", lambda spark, sf, g: q.best_hours(g, DAY), "avg_ratio")
 _report("q_signal_strength", lambda spark, sf, g: q.signal_strength(g, AS_OF, CFG), "avg_abs_move")
 _report("q_multi_signal_confirmation", lambda spark, sf, g: q.multi_signal_confirmation(g, DAY, CFG))
 _report("q_stock_correlation", lambda spark, sf, g: q.stock_correlation(g, AS_OF, CFG))
-_report("q_volatility_regime", lambda spark, sf, g: q.volatility_regime(spark, g, AS_OF), "avg_z")
+_report("q_volatility_regime", lambda spark, sf, g: q.volatility_regime(g, AS_OF), "avg_z")
 _report("q_sector_rotation", lambda spark, sf, g: q.sector_rotation(g, DAY))
 _report("q_signal_accuracy", lambda spark, sf, g: q.signal_accuracy(g, AS_OF, CFG))
 _report("q_symbol_win_rates", lambda spark, sf, g: q.symbol_win_rates(g, AS_OF, CFG))
@@ -485,7 +493,7 @@ def q_symbol_filter(spark, sf_dir):
 @query
 def q_breadth_verdict(spark, sf_dir):
     """A12"""
-    return show.breadth_verdict(q.market_breadth(spark, pipeline(spark, sf_dir)))
+    return show.breadth_verdict(q.market_breadth(pipeline(spark, sf_dir)))
 
 
 @query
@@ -652,11 +660,43 @@ def iforest_fit(spark, sf_dir):
     )
 
 
+def _walked(rows: DataFrame, key: list[str], model: iforest.IsolationForestModel) -> DataFrame:
+    """``walked``: the score by a second way, which joins the node table level by level and keeps to SQL functions."""
+    nodes = rows.sparkSession.createDataFrame(model.nodes, iforest.NODES)
+    n = F.col("size").cast("double")
+    usual = F.when(n > 2, 2 * (F.log(n - 1) + iforest._EULER) - 2 * (n - 1) / n).when(n == 2, 1.0).otherwise(0.0)
+    drawn = nodes.filter("node = 0").agg(F.avg(F.expr("cast(sample_size as double)")).alias("n")).first()["n"]
+    norm = 2 * (math.log(drawn - 1) + iforest._EULER) - 2 * (drawn - 1) / drawn if drawn > 2 else 1.0
+    steps = nodes.select("tree", "node", "feature", "threshold", "left_node", "right_node", F.col("depth") + usual)
+    steps = F.broadcast(steps.toDF("tree", "node", "feature", "threshold", "left_node", "right_node", "length"))
+    values = F.array(*[F.col(c).cast("double") for c in FEATURE_COLS]).alias("x")
+    trees = int(model.nodes["tree"].max()) + 1
+    at = rows.select(*key, values, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    goes_left = F.get("x", F.col("feature")) < F.col("threshold")
+    step = F.when(F.col("feature") < 0, F.col("node")).when(goes_left, F.col("left_node")).otherwise(F.col("right_node"))
+    for _ in range(int(model.nodes["depth"].max())):
+        at = at.join(steps, ["tree", "node"]).select(*key, "x", "tree", step.alias("node"))
+    raw = at.join(steps, ["tree", "node"]).groupBy(*key).agg((-F.pow(F.lit(2.0), -F.avg("length") / norm)).alias("raw"))
+    return raw.select(*key, iforest.scaled_score(F.col("raw"), model.low, model.high).alias("walked"))
+
+
+def _same_score(score: str) -> Column:
+    return F.coalesce((F.abs(F.col(score) - F.col("walked")) < 1e-9) & F.col(score).between(0, 1), F.lit(False))
+
+
 @query
 def iforest_score(spark, sf_dir):
-    """M7: every feature row with its score."""
-    scored = _model(spark, sf_dir).transform(_stored_features(spark, sf_dir))
-    return scored.select("symbol", "event_time", F.round("score", 6).alias("score"))
+    """M7: every feature row and an outlier planted for each symbol. Whether the score is that of a second
+    implementation, and whether an outlier is above nearly all rows."""
+    model, key = _model(spark, sf_dir), ["symbol", "event_time"]
+    own = _stored_features(spark, sf_dir).select(*key, *FEATURE_COLS)
+    strange = [(F.max(c) * 5 + 100).alias(c) for c in FEATURE_COLS]
+    planted = own.groupBy("symbol").agg(F.lit("planted").alias("event_time"), *strange)
+    rows = own.unionByName(planted)
+    scored = model.transform(rows).join(_walked(rows, key, model), key)
+    usual = scored.filter("event_time <> 'planted'").agg(F.percentile("score", F.lit(0.98)).alias("usual"))
+    high = (F.col("event_time") != "planted") | (F.col("score") >= F.lit(usual.first()["usual"]))
+    return scored.select(*key, _same_score("score").alias("agrees"), high.alias("on_top"))
 
 
 @query
@@ -671,25 +711,28 @@ def iforest_roundtrip(spark, sf_dir):
 
 @query
 def signals_scored(spark, sf_dir):
-    """M8: signals with the score of the latest hundred trades."""
+    """M8: every signal, and whether its score is that of a second implementation on the latest hundred trades."""
     p = pipeline(spark, sf_dir)
     signals = _signals(p).select("signal_type", "symbol", "trade_ts", "seq", "detected_at")
     recent = features.feature_recent(trades(spark, sf_dir), CFG.recent_trades, CFG.volume_window_ms, signals)
-    return iforest.score_signals(signals, recent, _model(spark, sf_dir))
+    model, key = _model(spark, sf_dir), ["symbol", "t", "seq"]
+    walked = _walked(recent, key, model).withColumnRenamed("t", "trade_ts")
+    scored = iforest.score_signals(signals, recent, model).join(walked, ["symbol", "trade_ts", "seq"], "left")
+    return scored.select("signal_type", "symbol", "trade_ts", "seq", _same_score("ml_anomaly_score").alias("agrees"))
 
 
 @query
 def model_registry(spark, sf_dir):
-    """The evaluated model entered and approved, as the scorer would look it up."""
+    """Versions of models offered with the evaluated rate and with rates at, within and outside the band."""
     p = pipeline(spark, sf_dir)
 
     def write(path: str) -> None:
         registry = evaluation.ModelRegistry(spark, path)
-        validation = features.split_by_time(_stored_features(spark, sf_dir), AS_OF, 2).filter("split = 'validation'")
-        rate = evaluation.report(_model(spark, sf_dir).transform(validation)).first()["anomaly_rate"]
-        version = registry.register(f"{p.stage.path}/model", rate, AS_OF)
-        if version is not None:
-            registry.approve(version, AS_OF + timedelta(hours=1))
+        rate = evaluation.report(_scored(spark, sf_dir)).first()["anomaly_rate"]
+        for hours, offered in enumerate((rate, 0.03, 0.1, 0.2, round(rate + 0.2, 4), 0.0299)):
+            version = registry.register(f"{p.stage.path}/model", offered, AS_OF + timedelta(hours=hours))
+            if hours == 2 and version is not None:
+                registry.approve(version, AS_OF + timedelta(days=1))
 
     path = p.stage.folder("model_versions", write)
     return evaluation.ModelRegistry(spark, path).current().drop("path")

@@ -48,14 +48,18 @@ def _hour_folder() -> Column:
 def read_bronze(spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
     """Trades of the hourly folders from ``since`` on; unreadable lines and files are skipped.
 
-    The time filter is turned into a folder filter first, so older folders are not opened. A trade of an
+    With both ends given, only the folders of those hours are looked for, whatever else the archive holds. With one,
+    the time filter is turned into a folder filter, so older folders are not opened. A trade of an
     hour may be stored in the next one (it is filed by arrival), never in an earlier one.
     """
-    lines = (
-        spark.read.option("ignoreCorruptFiles", "true")
-        .schema("value string, year string, month string, day string, hour string")
-        .text(path)
-    )
+    schema = "value string, year string, month string, day string, hour string"
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("basePath", path).schema(schema)
+    folders = [path]
+    if since is not None and until is not None:
+        hours = int((until - since.replace(minute=0, second=0, microsecond=0)).total_seconds() // 3600)
+        each = [since + timedelta(hours=h) for h in range(hours + 1)]
+        folders = present(spark, [f"{path}/{h:year=%Y/month=%m/day=%d/hour=%H}" for h in each])
+    lines = reader.text(folders) if folders else spark.createDataFrame([], schema)
     if since is not None:
         lines = lines.filter(_hour_folder() >= since.strftime("%Y-%m-%d-%H"))
     if until is not None:
@@ -73,7 +77,14 @@ def recent_bronze(spark: SparkSession, path: str, now: datetime, lookback_ms: in
 
 def lookback_bronze(spark: SparkSession, path: str, now: datetime, days: int = 14) -> DataFrame:
     """What the feature job reads."""
-    return read_bronze(spark, path, now - timedelta(days=days))
+    return read_bronze(spark, path, now - timedelta(days=days), now + timedelta(hours=1))
+
+
+def present(spark: SparkSession, folders: Sequence[str]) -> list[str]:
+    """Those of the folders that exist, in whatever store they lie."""
+    sc = spark.sparkContext
+    paths = [(f, sc._jvm.org.apache.hadoop.fs.Path(f)) for f in folders]
+    return [f for f, p in paths if p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)]
 
 
 def with_arrival(trades: DataFrame) -> DataFrame:
@@ -233,9 +244,10 @@ class GoldFolder:
             return
         present = self.read(table).filter(F.col("date") >= F.lit(bounds["first"]))
         fresh = new_rows(present, incoming, (key_time, "symbol"), ("processed_at",))
+        order = ("date", "symbol", key_time)
         (
-            fresh.repartition("date")
-            .sortWithinPartitions("date", "symbol", key_time)
+            fresh.repartitionByRange(*order)
+            .sortWithinPartitions(*order)
             .write.mode("append")
             .partitionBy("date")
             .parquet(f"{self.path}/{table}")
@@ -270,3 +282,25 @@ def expired_partitions(rows: DataFrame, layer: str, as_of: date, day: str = "dat
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(layer).alias("layer"), "date", "n")
     )
+
+
+#: Folder names that tell a layer's days.
+DAY_FOLDERS = {"bronze": "year=*/month=*/day=*", "silver": "signal_type=*/date=*", "features": "date=*"}
+
+
+def drop_expired(spark: SparkSession, path: str, layer: str, as_of: date, dry_run: bool = True) -> list[str]:
+    """Day folders of a layer that are older than it is kept, by their names alone; deleted unless it is a dry run."""
+    cutoff = as_of - timedelta(days=RETENTION_DAYS[layer])
+    sc = spark.sparkContext
+    pattern = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY_FOLDERS[layer]}")
+    fs = pattern.getFileSystem(sc._jsc.hadoopConfiguration())
+    old = []
+    for status in fs.globStatus(pattern) or []:
+        parts = dict(p.split("=", 1) for p in status.getPath().toString().split("/") if "=" in p)
+        day = parts.get("date") or "-".join(parts[k] for k in HOURLY[:3])
+        if date.fromisoformat(day) < cutoff:
+            old.append(status.getPath())
+    if not dry_run:
+        for folder in old:
+            fs.delete(folder, True)
+    return sorted(p.toString() for p in old)

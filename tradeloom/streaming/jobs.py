@@ -6,6 +6,7 @@ of configuration. Limit a batch at the source (``maxFilesPerTrigger``, ``maxOffs
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +17,17 @@ from pyspark.sql.types import StructType
 from tradeloom.config import Settings
 from tradeloom.functions.columns import ms_to_iso, ms_to_ts
 from tradeloom.operators.detectors import SNAPSHOT_FIELDS
+from tradeloom.operators.evaluation import ModelRegistry
 from tradeloom.operators.features import feature_batches
 from tradeloom.operators.iforest import IsolationForestModel
 from tradeloom.schemas import FEATURE_COLS, SIGNAL_TABLE, SNAPSHOT_ENTRY, TRADE, UNIFIED_SIGNAL
 from tradeloom.sources import ingest, medallion
-from tradeloom.streaming.processors import SignalProcessor, SnapshotProcessor
+from tradeloom.streaming.processors import Plugin, SignalProcessor, SnapshotProcessor, TimedSnapshotProcessor
+
+log = logging.getLogger(__name__)
+
+#: Arrival numbers: a batch's own, and room for the order within it.
+ORDER_SPAN = 1 << 40
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -55,9 +62,9 @@ def publish_trades(trades: DataFrame, path: str, checkpoint: str, once: bool = F
     return _start(ingest.encode_trades(trades).writeStream.format("json"), checkpoint, once, path=path)
 
 
-def trades_from_values(values: DataFrame, seq: Column | None = None) -> DataFrame:
-    """Trades of the raw stream, with an arrival number where the source has one (a broker's offset)."""
-    seq = F.lit(0).cast("bigint") if seq is None else seq
+def trades_from_values(values: DataFrame, seq: Column) -> DataFrame:
+    """Trades of the raw stream with their arrival number, such as a broker's offset. Trades of one symbol and time
+    are worked on in its order, so it must be there and be unique among them."""
     return ingest.parse_trades(values.withColumn("seq", seq), "value", ("seq",)).filter(F.col("t").isNotNull())
 
 
@@ -125,17 +132,32 @@ def store_features(trades: DataFrame, path: str, checkpoint: str, once: bool = F
 # ---- detectors -------------------------------------------------------------------------------------
 
 
-def detect_signals(trades: DataFrame, cfg: Settings) -> DataFrame:
-    """Signals of the three trade-driven detectors with the features to score them by, with state per symbol."""
+def detect_signals(
+    trades: DataFrame, cfg: Settings, warm: DataFrame | None = None, plugins: Mapping[str, Plugin] | None = None
+) -> DataFrame:
+    """Signals of the three trade-driven detectors, and of any plugged in, with the features to score them by, with
+    state per symbol.
+
+    ``warm`` holds trades from before the start, such as ``medallion.recent_bronze``; they set the state of a new query
+    and their own signals are dropped.
+    """
     schema = StructType.fromDDL(f"{UNIFIED_SIGNAL}, " + ", ".join(f"{c} double" for c in FEATURE_COLS))
     trades.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return trades.groupBy("s").transformWithStateInPandas(
-        statefulProcessor=SignalProcessor(cfg, schema.names), outputStructType=schema, outputMode="Append", timeMode="None"
+        statefulProcessor=SignalProcessor(cfg, schema.names, plugins),
+        outputStructType=schema,
+        outputMode="Append",
+        timeMode="None",
+        initialState=None if warm is None else warm.select("s", "p", "v", "t", "seq").groupBy("s"),
     )
 
 
-def detect_snapshots(trades: DataFrame, cfg: Settings, lateness: str = "0 seconds") -> DataFrame:
-    """A row per symbol and tick, driven by event time."""
+def detect_snapshots(trades: DataFrame, cfg: Settings, lateness: str | None = None) -> DataFrame:
+    """A row per symbol and tick, driven by event time.
+
+    A tick waits for trades that are as late as ingest accepts them, unless another ``lateness`` is given.
+    """
+    lateness = f"{cfg.ingest_staleness} milliseconds" if lateness is None else lateness
     trades.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     schema = StructType.fromDDL("snapshot_ms bigint, " + SNAPSHOT_ENTRY)
     timed = trades.withColumn("ts", ms_to_ts(F.col("t"))).withWatermark("ts", lateness)
@@ -144,6 +166,15 @@ def detect_snapshots(trades: DataFrame, cfg: Settings, lateness: str = "0 second
     )
 
 
+def detect_timed_snapshots(trades: DataFrame, cfg: Settings) -> DataFrame:
+    """A row per symbol and interval of the clock, driven by processing time: a silent feed is reported too."""
+    trades.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    schema = StructType.fromDDL("snapshot_ms bigint, " + SNAPSHOT_ENTRY)
+    return trades.groupBy("s").transformWithStateInPandas(
+        statefulProcessor=TimedSnapshotProcessor(cfg), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime"
+    )
+
+
 def complete_snapshots(rows: DataFrame, symbols: Sequence[str]) -> DataFrame:
     """Nested snapshot records of one batch in which symbols never seen appear with null prices."""
     seen = rows.groupBy("snapshot_ms").agg(F.collect_list(F.struct(*SNAPSHOT_FIELDS)).alias("seen"))
@@ -166,15 +197,35 @@ def publish_signals(
     path: str,
     checkpoint: str,
     once: bool = False,
-    model: IsolationForestModel | None = None,
+    model: IsolationForestModel | ModelRegistry | None = None,
 ) -> StreamingQuery:
-    """Signals as key and JSON value, scored where there is a model; without one the score stays null."""
+    """Signals as key and JSON value, scored where there is a model; without one the score stays null.
+
+    Of a registry, the newest approved version scores each batch. A model that can't be read or fails leaves the score
+    null and holds nothing up.
+    """
+    loaded: dict[str, IsolationForestModel] = {}
+
+    def newest(spark: SparkSession) -> IsolationForestModel | None:
+        if not isinstance(model, ModelRegistry):
+            return model
+        row = model.approved().first()
+        if row is None:
+            return None
+        if row["path"] not in loaded:
+            loaded[row["path"]] = IsolationForestModel.load(spark, row["path"])
+        return loaded[row["path"]]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if model is not None:
-            batch = model.transform(batch).withColumn("ml_anomaly_score", F.col("score"))
-        encoded = ingest.encode_signals(batch)
-        replacing(path, (), batch_id)(encoded)
+        write = replacing(path, (), batch_id)
+        try:
+            scorer = newest(batch.sparkSession)
+            if scorer is not None:
+                write(ingest.encode_signals(scorer.transform(batch).withColumn("ml_anomaly_score", F.col("score"))))
+                return
+        except Exception:
+            log.exception("batch %s is sent without scores", batch_id)
+        write(ingest.encode_signals(batch))
 
     return _start(signals.writeStream.foreachBatch(load), checkpoint, once, every="5 seconds")
 
@@ -194,21 +245,30 @@ def publish_snapshots(
 
 
 def load_signals(
-    values: DataFrame, lake: str, checkpoint: str, once: bool = False, processed_at: Column | None = None
+    values: DataFrame,
+    lake: str,
+    checkpoint: str,
+    once: bool = False,
+    processed_at: Column | None = None,
+    order: Column | None = None,
 ) -> StreamingQuery:
     """Validate signal records, archive them, add them to gold. Unfit records go to ``quarantine``.
 
-    Running a batch again replaces its archive files and adds nothing to gold.
+    Running a batch again replaces its archive files and adds nothing to gold. Of records with one archive path the last
+    one stays: by batch, then by ``order``, the source's number of a record (an offset). Without one, a hash of the
+    record decides, so that a replay gives the same archive.
     """
+    within = F.xxhash64("value") if order is None else order.cast("bigint")
     gold = medallion.GoldFolder(values.sparkSession, f"{lake}/gold")
     stamp = F.current_timestamp() if processed_at is None else processed_at
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        checked = ingest.validate_signals(batch.select(F.col("value").alias("body"))).persist()
+        records = batch.select(F.col("value").alias("body"), F.pmod(within, F.lit(ORDER_SPAN)).alias("_order"))
+        checked = ingest.validate_signals(records).persist()
         try:
             unfit = checked.filter(~F.col("is_valid")).select("body", "error")
             replacing(f"{lake}/quarantine", (), batch_id)(unfit)
-            objects = medallion.route_silver(checked.withColumn("arrival", F.lit(batch_id).cast("bigint")), "arrival")
+            objects = medallion.route_silver(checked.withColumn("arrival", F.lit(batch_id * ORDER_SPAN) + F.col("_order")), "arrival")
             replacing(f"{lake}/silver", ("signal_type", "date"), batch_id)(objects)
             for kind, table in SIGNAL_TABLE.items():
                 gold.upsert(table, medallion.gold_from_signals(checked, kind, stamp))

@@ -6,7 +6,8 @@ cost of a batch is the size of that tail plus the batch. The size of a batch is
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime, timezone
 from decimal import ROUND_HALF_EVEN, Decimal
 
@@ -16,11 +17,13 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tradeloom.config import Settings
 from tradeloom.operators.cooldown import kept_positions
-from tradeloom.operators.detectors import NOISE
+from tradeloom.operators.detectors import MEAN_NOISE, SPREAD_NOISE
 from tradeloom.schemas import FEATURE_COLS
 
 _NEVER = -(2**62)
 
+Plugin = Callable[[str, np.ndarray, np.ndarray, np.ndarray, dict], list[dict]]
+
 
 def iso(ms: int) -> str:
     at = datetime.fromtimestamp(ms // 1000, timezone.utc)
@@ -66,10 +69,14 @@ def describe(p: np.ndarray, v: np.ndarray) -> dict[str, float]:
 
 
 class SignalProcessor(StatefulProcessor):
-    """Volume, volatility and momentum signals of one symbol, each with the features of the latest trades."""
+    """Volume, volatility and momentum signals of one symbol, each with the features of the latest trades.
+
+    ``plugins`` adds detectors by signal type: ``find(symbol, t, p, v, state)`` gets a batch's trades in order and a
+    dictionary that it may change, kept as JSON, and returns the fields of each signal with ``row``, its trade.
+    """
 
-    def __init__(self, cfg: Settings, columns: list[str]):
-        self.cfg, self.columns = cfg, columns
+    def __init__(self, cfg: Settings, columns: list[str], plugins: Mapping[str, Plugin] | None = None):
+        self.cfg, self.columns, self.plugins = cfg, columns, dict(plugins or {})
         self.width = max(cfg.volume_window_ms, cfg.volatility_window_ms)
         self.slice_ms = max(self.width // 10, 1)
 
@@ -83,6 +90,13 @@ class SignalProcessor(StatefulProcessor):
             "minute bigint, open double, high double, low double, close double, volume double, "
             "minutes array<bigint>, opens array<double>, closes array<double>",
         )
+        if self.plugins:
+            self.plugged = handle.getMapState("plugins", "signal_type string", "state string")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Trades from before the start: they set the state, and their signals are dropped."""
+        for _ in self.handleInputRows(key, iter([initialState]), timerValues):
+            pass
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         symbol = key[0]
@@ -92,12 +106,25 @@ class SignalProcessor(StatefulProcessor):
         last = [_NEVER if x is None else int(x) for x in fired]
 
         out = self._windows(symbol, t, p, v, last) + self._momentum(symbol, t, p, v, last)
+        out += self._plugged(symbol, t, p, v)
         self.fired.update(tuple(None if x == _NEVER else x for x in last))
         self._describe(out, p, v)
         if out:
             # As objects, so that absent fields stay null instead of turning into NaN.
             yield pd.DataFrame({c: pd.Series([r.get(c) for r in out], dtype=object) for c in self.columns})
 
+    def _plugged(self, symbol, t, p, v) -> list[dict]:
+        out = []
+        for kind, find in self.plugins.items():
+            state = json.loads(self.plugged.getValue((kind,))[0]) if self.plugged.containsKey((kind,)) else {}
+            for found in find(symbol, t, p, v, state):
+                row = int(found.pop("row"))
+                at = int(t[row])
+                fixed = {"signal_type": kind, "symbol": symbol, "trade_ts": at, "detected_at": iso(at), "_row": row}
+                out.append(found | fixed)
+            self.plugged.updateValue((kind,), (json.dumps(state),))
+        return out
+
     def _describe(self, signals: list[dict], p: np.ndarray, v: np.ndarray) -> None:
         """Add the features of the last trades up to each signal, and keep the last trades of the batch."""
         size = self.cfg.recent_trades
@@ -129,7 +156,7 @@ class SignalProcessor(StatefulProcessor):
         w = trailing(all_t, all_p, all_v, cfg.volume_window_ms)
         open_ = is_new & (w["n"] >= 2) & (all_t - w["from"] >= cfg.volume_min_span_ms)
         mean = w["prior_volume"] / np.maximum(w["n"] - 1, 1)
-        hits = np.flatnonzero(open_ & (mean > 0) & (all_v >= mean * cfg.volume_multiplier - NOISE))
+        hits = np.flatnonzero(open_ & (mean > 0) & (all_v >= mean * cfg.volume_multiplier * (1 - MEAN_NOISE)))
         for i in self._cool(hits, all_t, cfg.volume_cooldown_ms, last, 0):
             out.append(
                 self._spike(symbol, "volume_spike", all_t, all_p, w, i)
@@ -145,7 +172,7 @@ class SignalProcessor(StatefulProcessor):
         open_ = is_new & (w["n"] >= 2) & (all_t - w["from"] >= cfg.volatility_min_span_ms) & (w["var"] > 0)
         std = np.sqrt(w["var"])
         z = np.divide(np.abs(all_p - w["mean"]), std, out=np.zeros_like(std), where=std > 0)
-        hits = np.flatnonzero(open_ & (z >= cfg.volatility_z - NOISE))
+        hits = np.flatnonzero(open_ & (z >= cfg.volatility_z * (1 - SPREAD_NOISE)))
         for i in self._cool(hits, all_t, cfg.volatility_cooldown_ms, last, 1):
             out.append(
                 self._spike(symbol, "volatility_spike", all_t, all_p, w, i)
@@ -273,9 +300,16 @@ class SnapshotProcessor(StatefulProcessor):
         new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "seq"], kind="stable")
         t, p, v = (new[c].to_numpy(dtype=d) for c, d in (("t", np.int64), ("p", float), ("v", float)))
         ticks, starts = np.unique(-(-t // step), return_index=True)
+        first = int(ticks[0])
         if not self.session.exists():
-            self.session.update((None, None, 0, 0.0, None, int(ticks[0])))
-            self.handle.registerTimer(int(ticks[0]) * step)
+            self.session.update((None, None, 0, 0.0, None, first))
+            self.handle.registerTimer(first * step)
+        else:
+            *state, due = self.session.get()
+            if state[0] is None and first < due:  # nothing was emitted yet, and an earlier trade came late
+                self.handle.deleteTimer(due * step)
+                self.session.update((*state, first))
+                self.handle.registerTimer(first * step)
         for tick, a, b in zip(ticks, starts, [*starts[1:], len(t)]):
             fold = (float(p[a]), float(p[b - 1]), int(b - a), float(v[a:b].sum()), int(t[a]), int(t[b - 1]))
             if self.pending.containsKey((int(tick),)):
@@ -302,7 +336,7 @@ class SnapshotProcessor(StatefulProcessor):
                     "symbol": key[0],
                     "last_price": last,
                     "open_price": open_,
-                    "pct_change": stable_round((last - open_) / open_ * 100, 3),
+                    "pct_change": stable_round((last - open_) / open_ * 100, 3) if open_ else 0.0,
                     "trade_count": n,
                     "total_volume": volume,
                     "last_trade_ts": last_t,
@@ -317,3 +351,56 @@ class SnapshotProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class TimedSnapshotProcessor(StatefulProcessor):
+    """Session state of one symbol at every interval of the clock, also while no trade comes in.
+
+    Trades count in order of arrival, and a snapshot is stamped with the time at which it was due.
+    """
+
+    def __init__(self, cfg: Settings):
+        self.cfg = cfg
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.session = handle.getValueState("session", "open double, last double, n bigint, volume double, last_t bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        step = self.cfg.snapshot_ms
+        if self.session.exists():
+            open_, last, n, volume, last_t = self.session.get()
+        else:
+            open_, last, n, volume, last_t = None, None, 0, 0.0, None
+            self.handle.registerTimer((timerValues.getCurrentProcessingTimeInMs() // step + 1) * step)
+        for new in rows:
+            new = new.sort_values("seq", kind="stable")
+            open_ = float(new["p"].iloc[0]) if open_ is None else open_
+            last, n, volume = float(new["p"].iloc[-1]), n + len(new), volume + float(new["v"].sum())
+            last_t = int(new["t"].max()) if last_t is None else max(last_t, int(new["t"].max()))
+        self.session.update((open_, last, n, volume, last_t))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        step, at = self.cfg.snapshot_ms, expiredTimerInfo.getExpiryTimeInMs()
+        now = timerValues.getCurrentProcessingTimeInMs()
+        open_, last, n, volume, last_t = self.session.get()
+        self.handle.registerTimer(max(at, now // step * step) + step)
+        yield pd.DataFrame(
+            [
+                {
+                    "snapshot_ms": at,
+                    "symbol": key[0],
+                    "last_price": last,
+                    "open_price": open_,
+                    "pct_change": stable_round((last - open_) / open_ * 100, 3) if open_ else 0.0,
+                    "trade_count": n,
+                    "total_volume": volume,
+                    "last_trade_ts": last_t,
+                    "is_stale": at - last_t > self.cfg.stale_ms,
+                }
+            ]
+        )
+
+    def close(self) -> None:
+        pass
