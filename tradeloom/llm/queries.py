@@ -57,5 +57,52 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+_WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# The queries whose results follow from their contract alone, without a fitted model, a tokenizer or a search that may miss.
+SQL = {
+    "op3_warc": """
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first < page_id THEN first END AS refers_to
+        FROM (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+              FROM (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+                    FROM pages))""",
+    "op7_minhash": f"""
+        WITH RECURSIVE split AS (SELECT doc_id, coalesce({_WORDS.format(_SMALL)}, []) AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS x
+            FROM split),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b USING (x)
+            WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * k >= 75 * (p.n + q.n - k)),
+        reached(v, u) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT v, e.b FROM reached JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) e ON e.a = u)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents LEFT JOIN sizes USING (doc_id) JOIN (SELECT v AS doc_id, min(u) AS component_id FROM reached GROUP BY 1)
+        USING (doc_id)""",
+    "op8_recompression": f"""
+        WITH split AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+        windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS x
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM split)),
+        firsts AS (SELECT x, min(doc_id) AS first FROM windows GROUP BY 1),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN firsts USING (x) WHERE first < doc_id),
+        each AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split)),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+            FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
