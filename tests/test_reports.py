@@ -236,3 +236,17 @@ def test_snapshots_are_pruned_by_day(spark, gold, tmp_path, report):
     plan = report(g, AS_OF, CFG)._jdf.queryExecution().executedPlan().toString()
     scan = plan[plan.index("FileScan") :]
     assert "PartitionFilters: [isnotnull(date" in scan and ">=" in scan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_percentiles_of_crowded_values(spark):
+    """Nearly all distinct values within a hair of each other: bins are narrowed until they tell them apart."""
+    import numpy as np
+
+    from tradeloom.functions.percentiles import exact_percentiles
+
+    rng = np.random.default_rng(4)
+    values = np.concatenate([[0.0, 1.0], 0.5 + 1e-9 * rng.random(3000), np.full(500, 0.5)])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+    r = exact_percentiles(df, "x", {"a": 0.3, "b": 0.5, "c": 0.999}, bins=16).first()
+    assert list(r) == pytest.approx(list(np.percentile(values, [30, 50, 99.9])), abs=1e-15)
+    assert list(exact_percentiles(df.filter("x > 2"), "x", {"a": 0.5}).first()) == [None]
