@@ -2,29 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.columns import bucket
+from tradeloom.storage import shared_root
 
 _NEVER = -(2**62)
 
 
+# Blocks that are put together at a time, and the blocks of a key that are walked in one go at the top.
+FAN, AT_TOP = 64, 4096
+
+
 def cooldown_thin(
-    candidates: DataFrame, keys: Sequence[str], t: str, tie: str, cooldown_ms: int, cooldowns_per_block: int = 16
+    candidates: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    tie: str,
+    cooldown_ms: int,
+    cooldowns_per_block: int = 16,
+    fan: int = FAN,
+    at_top: int = AT_TOP,
 ) -> DataFrame:
     """Thin candidates per key in ``(t, tie)`` order. The first one always passes; a gap of exactly the
     cooldown passes too. ``tie`` is unique among the candidates of a key with an equal ``t``.
 
     The rule is sequential, but a block of time only depends on the past through one number: the earliest
     time at which it may fire. Each block therefore works out, independently, when it would next be free
-    for every candidate it could start from, reduced to the points where the answer changes. A light pass
-    over those points walks from block to block; blocks after a quiet gap of a whole cooldown start afresh
-    and are walked in parallel. With its starting time known, each block marks what it keeps.
+    for every candidate it could start from, reduced to the points where the answer changes: a step function.
+    The step functions of ``fan`` consecutive blocks make one of the same kind, and so on upwards until a key has few
+    blocks left. Those are walked, and then the starting times are handed down level by level, in parallel. No task sees
+    more than ``fan`` blocks, or ``at_top`` at the top, however long a key's history is and whether it has gaps or not.
 
     Of candidates with an equal time only the first can pass, so times are made distinct before they are
     gathered: a block has at most one row per millisecond, whatever the data. Only times and ties go through
@@ -39,49 +53,56 @@ def cooldown_thin(
     by_block = [*keys, "_block"]
     types = {f.name: f.dataType.simpleString() for f in times.schema}
     block_schema = ", ".join(f"{c} {types[c]}" for c in by_block)
+    step_schema = f"{block_schema}, _start bigint, _free bigint"
 
     def outcomes(group: pd.DataFrame) -> pd.DataFrame:
         starts, free_at = block_outcomes(np.sort(group["_t"].to_numpy()), cooldown_ms, block_ms)
         out = group[by_block].iloc[[0] * len(starts)].reset_index(drop=True)
         return out.assign(_start=starts, _free=free_at)
 
-    points = times.groupBy(*by_block).applyInPandas(outcomes, f"{block_schema}, _start bigint, _free bigint")
+    spark = candidates.sparkSession
+    folder = f"{shared_root(spark)}/cooldown-{uuid.uuid4().hex}"
 
-    spans = times.groupBy(*by_block).agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-    in_order = Window.partitionBy(*keys).orderBy("_block")
-    fresh = F.coalesce(F.col("_first") - F.lag("_last").over(in_order) >= cooldown_ms, F.lit(True))
-    chains = (
-        spans.withColumn("_fresh", fresh.cast("int"))
-        .withColumn("_chain", F.sum("_fresh").over(in_order))
-        .select(*by_block, "_chain")
-    )
+    def written(rows: DataFrame, level: int) -> DataFrame:
+        rows.write.parquet(f"{folder}/{level}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{level}")
 
-    chain_keys = [*keys, "_chain"]
-    walk_order = [*chain_keys, "_block", "_start"]
-    ordered = (
-        points.join(chains, by_block)
-        .repartition(*chain_keys)
-        .sortWithinPartitions(*walk_order)
-        .select(*walk_order, "_free")
-    )
+    def together(width: int):
+        def run(group: pd.DataFrame) -> pd.DataFrame:
+            parent = int(group["_parent"].iloc[0])
+            starts, free_at = composed(_by_block(group), parent * width + cooldown_ms)
+            out = group[by_block].iloc[[0] * len(starts)].reset_index(drop=True)
+            return out.assign(_block=parent, _start=starts, _free=free_at)
+
+        return run
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chain, block, may_fire, settled = None, None, _NEVER, False
-        for batch in batches:
-            rows = []
-            columns = [batch[c] for c in [*chain_keys, "_block", "_start", "_free"]]
-            for *ck, b, start, free in zip(*columns):
-                if ck != chain:
-                    chain, block, may_fire = ck, None, _NEVER
-                if b != block:
-                    block, settled = b, False
-                    rows.append([*ck[:-1], b, may_fire])
-                if not settled and start >= may_fire:
-                    may_fire, settled = free, True
-            if rows:
-                yield pd.DataFrame(rows, columns=[*by_block, "_may_fire"])
-
-    entries = ordered.mapInPandas(walk, f"{block_schema}, _may_fire bigint")
+    levels = [written(times.groupBy(*by_block).applyInPandas(outcomes, step_schema), 0)]
+    while True:
+        blocks = levels[-1].select(*by_block).distinct().groupBy(*keys).count().agg(F.max("count")).first()[0]
+        if (blocks or 0) <= at_top:
+            break
+        level = len(levels)
+        children = levels[-1].withColumn("_parent", F.expr(f"_block div {fan}L")).groupBy(*keys, "_parent")
+        levels.append(written(children.applyInPandas(together(block_ms * fan**level), step_schema), level))
+
+    entry_schema = f"{block_schema}, _may_fire bigint"
+
+    def enter(group: pd.DataFrame, may_fire: int) -> pd.DataFrame:
+        rows = []
+        for block, starts, free_at in _by_block(group):
+            rows.append((block, may_fire))
+            at = int(np.searchsorted(starts, may_fire, side="left"))
+            may_fire = int(free_at[at]) if at < len(starts) else may_fire
+        out = group[by_block].iloc[[0] * len(rows)].reset_index(drop=True)
+        return out.assign(_block=[b for b, _ in rows], _may_fire=[m for _, m in rows])
+
+    entries = levels[-1].groupBy(*keys).applyInPandas(lambda group: enter(group, _NEVER), entry_schema)
+    for level in reversed(levels[:-1]):
+        known = entries.withColumnRenamed("_block", "_parent")
+        inside = level.withColumn("_parent", F.expr(f"_block div {fan}L")).join(known, [*keys, "_parent"])
+        entries = inside.groupBy(*keys, "_parent").applyInPandas(
+            lambda group: enter(group, int(group["_may_fire"].iloc[0])), entry_schema
+        )
 
     kept_columns = [*keys, "_t", "_tie"]
 
@@ -99,6 +120,27 @@ def cooldown_thin(
     return candidates.join(kept, [*keys, t, tie], "left_semi")
 
 
+def _by_block(group: pd.DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Blocks in order, each with its step function: starts, and when it is free after each."""
+    group = group.sort_values(["_block", "_start"])
+    blocks, first = np.unique(group["_block"].to_numpy(), return_index=True)
+    cuts = zip(blocks, np.split(group["_start"].to_numpy(), first[1:]), np.split(group["_free"].to_numpy(), first[1:]), strict=True)
+    return [(int(b), starts, free_at) for b, starts, free_at in cuts]
+
+
+def composed(blocks: list[tuple[int, np.ndarray, np.ndarray]], edge: int) -> tuple[np.ndarray, np.ndarray]:
+    """The step function of consecutive blocks. What may fire at first lies before ``edge``, one cooldown after the
+    blocks begin, or is the first candidate from there on."""
+    starts, free_at = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for _, own_starts, own_free in blocks:
+        at = np.searchsorted(own_starts, free_at, side="left")
+        free_at = np.where(at < len(own_starts), own_free[np.minimum(at, len(own_starts) - 1)], free_at)
+        if not len(starts) or starts[-1] < edge:  # a start may lie in this block too
+            starts, free_at = np.concatenate([starts, own_starts]), np.concatenate([free_at, own_free])
+    ends = np.append(free_at[1:] != free_at[:-1], True)
+    return starts[ends], free_at[ends]
+
+
 def block_outcomes(times: np.ndarray, cooldown_ms: int, block_ms: int) -> tuple[np.ndarray, np.ndarray]:
     """For sorted candidate times of one block: the first candidates it could start from, and for each
     the time at which the next block may fire. Neighbours with the same outcome are merged."""
