@@ -36,7 +36,7 @@ ANSWERS = "part int, block bigint, fingerprint bigint, lengths binary, ids binar
 ENCODED = "doc_id bigint, ids array<int>, text string"
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 #: A worker keeps the ids of at most so many words of its partition at hand; beyond that it starts over.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000
 
 
 def vocabulary_path() -> str:

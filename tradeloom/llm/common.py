@@ -53,7 +53,7 @@ def let(value: Column, use) -> Column:
 class WordHash(dict):
     """word -> 64-bit hash; forgets what it knows when it grows too large."""
 
-    KEPT = 1_000_000
+    KEPT = 400_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.KEPT:

@@ -25,7 +25,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ IN_DOCUMENT, IN_SENTENCE = 2, 12
 STRIDE = 32
 STRETCH = 1 << 20
 #: Words whose ids a task holds; beyond that it starts over.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 700_000
 #: Characters of text for a range; fewer ranges mean fewer tails.
 RANGE_CHARS = 32 << 20
 
@@ -190,14 +190,18 @@ class _Stream:
         self.at, self.penalty = self.at[keep] - done, self.penalty[keep]
 
 
-def stretches(doc_ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
+def stretches(doc_ids: Iterable, texts: Iterable[bytes]) -> Iterator[tuple[list, list[bytes]]]:
     """Documents in runs of about ``STRETCH`` bytes."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
+    ids, run, size = [], [], 0
+    for doc_id, text in zip(doc_ids, texts, strict=True):
+        ids.append(doc_id)
+        run.append(text)
         size += len(text)
-        if size >= STRETCH or i + 1 == len(texts):
-            yield doc_ids[first : i + 1], texts[first : i + 1]
-            first, size = i + 1, 0
+        if size >= STRETCH:
+            yield ids, run
+            ids, run, size = [], [], 0
+    if ids:
+        yield ids, run
 
 
 def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, digest_only: bool = False) -> DataFrame:

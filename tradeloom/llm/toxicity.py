@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import keyed, stage
-from tradeloom.llm.wordblocks import arrow, texts_of
+from tradeloom.llm.wordblocks import TEXTS_AT_ONCE, arrow, texts_of
 
 SAMPLE = 20_000
 BUCKETS = 1 << 20
@@ -42,10 +42,10 @@ BEYOND_CHANCE, LEAST_DOCS = 5.0, 5
 STEPS, RATE, RIDGE = 300, 0.3, 1e-4
 #: A toxic document with so many marked words is graded 2, as the labels tell toxic from clean only.
 SEVERE = 3
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000
 
 FEATURES = "grade int, buckets array<int>, counts array<int>"
-WEIGHTS = "cuts array<double>, buckets array<int>, weights array<double>"
+WEIGHTS = "cuts array<double>, weights array<double>"
 SCORES = "doc_id bigint, severity double, toxicity double, grade int, kept boolean"
 
 _EDGES = b".,;:!?\"'()[]{}*_-"
@@ -85,18 +85,26 @@ def _features(sample: DataFrame) -> DataFrame:
     def run(batches):
         buckets = Buckets()
         for batch in batches:
-            found = [counted(t, buckets) for t in texts_of(batch)]
-            out = {"grade": batch.column("grade"), "buckets": [list(c) for c in found], "counts": [list(c.values()) for c in found]}
-            yield pa.RecordBatch.from_pydict(out, schema=arrow(FEATURES))
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(at, TEXTS_AT_ONCE)
+                found = [counted(t, buckets) for t in texts_of(some)]
+                out = {"grade": some.column("grade"), "buckets": [list(c) for c in found], "counts": [list(c.values()) for c in found]}
+                yield pa.RecordBatch.from_pydict(out, schema=arrow(FEATURES))
 
     return sample.select("grade", "text").mapInArrow(run, FEATURES)
 
 
-def telling(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """By how many standard errors each feature's share of toxic documents is above that of clean ones."""
-    p = (toxic + clean) / max(1, n_toxic + n_clean)
-    error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / max(1, n_toxic) + 1 / max(1, n_clean)))
-    return (toxic / max(1, n_toxic) - clean / max(1, n_clean)) / error
+def _selected(rows: DataFrame, n_toxic: int, n_clean: int) -> dict[int, float]:
+    """Features by how many standard errors their share of toxic documents is above that of clean ones, as far as that
+    is beyond chance; the ``SELECTED`` most telling at most."""
+    toxic = F.col("grade") > 0
+    counts = rows.select(toxic.cast("int").alias("toxic"), F.explode("buckets").alias("bucket")).groupBy("bucket")
+    counts = counts.agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_DOCS)
+    share = F.col("n") / (n_toxic + n_clean)
+    error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / n_toxic + 1 / n_clean))
+    score = (F.col("a") / n_toxic - (F.col("n") - F.col("a")) / n_clean) / error
+    beyond = counts.select("bucket", score.alias("score")).filter(F.abs("score") >= BEYOND_CHANCE)
+    return {r["bucket"]: r["score"] for r in beyond.orderBy(F.desc(F.abs("score")), "bucket").limit(SELECTED).collect()}
 
 
 def fit_cumulative(rows, columns, values, grades: np.ndarray, n_columns: int, top: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,39 +139,34 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def _fit_rows(batches) -> tuple[list[float], list[int], list[float]]:
-    grades, lengths, buckets, counts = [], [], [], []
+def _fit_rows(batches, scores: dict[int, float]) -> tuple[list[float], list[float]]:
+    """Cuts, and weights in the order of ``scores``, from documents with their selected features only."""
+    good = np.array(sorted(scores))
+    score = np.array([scores[b] for b in good.tolist()])
+    grades, lengths, columns, counts = [], [], [], []
     for batch in batches:
-        grades.append(batch.column("grade").to_numpy(zero_copy_only=False))
-        lengths.append(batch.column("buckets").value_lengths().to_numpy(zero_copy_only=False))
-        buckets.append(batch.column("buckets").flatten().to_numpy())
-        counts.append(batch.column("counts").flatten().to_numpy())
-    if not grades:
-        return [], [], []
-    grades, buckets, counts = np.concatenate(grades), np.concatenate(buckets), np.concatenate(counts)
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            some = batch.slice(at, TEXTS_AT_ONCE)
+            grades.append(some.column("grade").to_numpy(zero_copy_only=False))
+            buckets = some.column("buckets").flatten().to_numpy()
+            column = np.minimum(np.searchsorted(good, buckets), len(good) - 1)
+            own = good[column] == buckets
+            sizes = some.column("buckets").value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            kept = np.concatenate([[0], np.cumsum(own)])
+            lengths.append(kept[ends] - kept[ends - sizes])
+            columns.append(column[own])
+            counts.append(some.column("counts").flatten().to_numpy()[own])
+    grades, columns, counts = np.concatenate(grades), np.concatenate(columns), np.concatenate(counts)
     rows = np.repeat(np.arange(len(grades)), np.concatenate(lengths))
-    toxic = grades > 0
-    if toxic.all() or not toxic.any():
-        return [], [], []
-    hit = toxic[rows]
-    in_toxic = np.bincount(buckets[hit], minlength=KINDS * BUCKETS)
-    in_clean = np.bincount(buckets[~hit], minlength=KINDS * BUCKETS)
-    score = telling(in_toxic, in_clean, int(toxic.sum()), int((~toxic).sum()))
-    good = np.flatnonzero((np.abs(score) >= BEYOND_CHANCE) & (in_toxic + in_clean >= LEAST_DOCS))
-    good = good[np.argsort(-np.abs(score[good]), kind="stable")][:SELECTED]
-    if not len(good):
-        return [], [], []
-    number = np.full(KINDS * BUCKETS, -1)
-    number[good] = np.arange(len(good))
-    own = number[buckets] >= 0
-    rows, columns, counts = rows[own], number[buckets[own]], counts[own]
     if grades.max() == 1:  # labels without degrees: toxic documents with many marked words are graded 2
+        toxic = grades > 0
         for kind in range(KINDS):
-            mark = (score[good[columns]] > 0) & (good[columns] // BUCKETS == kind)
+            mark = (score[columns] > 0) & (good[columns] // BUCKETS == kind)
             marked = np.bincount(rows, weights=counts * mark, minlength=len(grades))
             grades = np.where(toxic & (marked >= SEVERE), 2, grades)
     w, cuts = fit_cumulative(rows, columns, 1 + np.log(counts), grades.astype(np.int64), len(good), int(grades.max()))
-    return cuts.tolist(), good.tolist(), w.tolist()
+    return cuts.tolist(), w.tolist()
 
 
 class Model:
@@ -180,14 +183,17 @@ class Model:
         texts = keyed(docs).join(F.broadcast(sample), "doc_id")
         rows = stage(_features(texts), "features")
 
+        totals = rows.agg(F.count_if(F.col("grade") > 0), F.count_if(F.col("grade") <= 0)).first()
+        scores = _selected(rows, *totals) if all(totals) else {}
+        if not scores:
+            return cls([], {})
+
         def fit(batches):
-            cuts, buckets, weights = _fit_rows(batches)
-            yield pa.RecordBatch.from_pydict({"cuts": [cuts], "buckets": [buckets], "weights": [weights]}, schema=arrow(WEIGHTS))
+            cuts, weights = _fit_rows(batches, scores)
+            yield pa.RecordBatch.from_pydict({"cuts": [cuts], "weights": [weights]}, schema=arrow(WEIGHTS))
 
         found = rows.coalesce(1).mapInArrow(fit, WEIGHTS).first()
-        if found is None:
-            return cls([], {})
-        return cls(list(found["cuts"]), dict(zip(found["buckets"], found["weights"], strict=True)))
+        return cls(list(found["cuts"]), dict(zip(sorted(scores), found["weights"], strict=True)))
 
     def scorer(self):
         """A function from a text to (severity, toxicity, grade), for use within one task."""

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 24 << 20
+TEXTS_AT_ONCE = 256
 #: Parts per shuffle partition: several small ones spread more evenly than one large one.
 PARTS_PER_PARTITION = 4
 
@@ -60,8 +61,12 @@ def unpack_words(data: bytes) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(data).split(b"\n")
 
 
-def texts_of(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+def texts_of(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The batch's texts in UTF-8, a null as an empty one. They come a few at a time, so that a batch isn't held twice."""
+    column = batch.column("text")
+    for at in range(0, len(column), TEXTS_AT_ONCE):
+        for text in column.slice(at, TEXTS_AT_ONCE).cast(pa.binary()).to_pylist():
+            yield text or b""
 
 
 class _Block:
