@@ -209,3 +209,19 @@ def test_arrival_numbers_of_archived_trades(spark, tmp_path):
     medallion.store_trades(df, str(tmp_path / "t"))
     got = spark.read.parquet(str(tmp_path / "t")).orderBy("t", "seq")
     assert [(r.t, r.seq, r.p) for r in got.collect()] == [(5, 0, 1.0), (5, 1, 2.0), (5, 2, 2.0), (6, 0, 1.0)]
+
+
+@pytest.mark.parametrize("rate", [0.02, 0.3, 1.0])
+def test_each_tree_draws_its_share(spark, rate):
+    """Lots are uniform below the rate, and trees draw apart from each other."""
+    rows = spark.range(4000).withColumnRenamed("id", "k")
+    drawn = iforest._tree_draws(rows, "k", 42, 20, rate).select("k", "_draw.tree", "_draw.lot").toPandas()
+    assert drawn.groupby(["k", "tree"]).size().max() == 1
+    per_tree = drawn.groupby("tree").size().reindex(range(20), fill_value=0)
+    spread = 5 * math.sqrt(4000 * rate * (1 - rate)) + 1e-9
+    assert (abs(per_tree - 4000 * rate) <= spread).all()
+    assert drawn["lot"].between(0, rate).all() and abs(drawn["lot"].mean() - rate / 2) < 0.05 * rate
+    if rate < 1:  # two trees share rate * rate of the rows
+        both = drawn.pivot_table(index="k", columns="tree", values="lot", aggfunc="size", fill_value=0).reindex(range(4000), fill_value=0)
+        pairs = [int((both[i] & both[j]).sum()) for i, j in ((0, 1), (3, 17), (8, 9))]
+        assert all(abs(n - 4000 * rate**2) <= 5 * math.sqrt(4000 * rate**2) + 1 for n in pairs)

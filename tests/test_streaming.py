@@ -345,3 +345,9 @@ def test_a_failing_model_leaves_scores_null(spark, rows, tmp_path):
     registry.approve(version, datetime(2024, 1, 2))
     scores = run("approved", registry)
     assert scores and None not in scores
+
+
+def test_consumers_start_at_the_newest_record():
+    assert jobs.source_options("kafka", {"subscribe": "raw"}) == {"subscribe": "raw", "startingOffsets": "latest"}
+    assert jobs.source_options("kafka", {"startingOffsets": "earliest"}) == {"startingOffsets": "earliest"}
+    assert jobs.source_options("text", {"maxFilesPerTrigger": "1"}) == {"maxFilesPerTrigger": "1"}

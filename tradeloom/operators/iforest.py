@@ -59,15 +59,27 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> l
     return nodes
 
 
-def _tree_draws(key: Column, seed: int, trees: int, rate: float) -> Column:
-    """The trees that draw a row, each with its lot. A row's lots depend on its key and the seed only."""
-    bits = 2**53
+def _tree_draws(rows: DataFrame, key: str, seed: int, trees: int, rate: float) -> DataFrame:
+    """A row for each tree that draws a row, with its ``lot``. A row's lots depend on its key and the seed only.
 
-    def lot(tree):
-        return F.xxhash64(key, F.lit(seed), tree).bitwiseAND(F.lit(bits - 1)) / F.lit(float(bits))
+    One hash tells the first tree that draws the row, by the gap to it, and most rows are drawn by none and go at once;
+    only the others are hashed for the trees after that.
+    """
+
+    def lot(*what) -> Column:
+        bits = 2**53
+        return F.xxhash64(F.col(key), F.lit(seed), *what).bitwiseAND(F.lit(bits - 1)) / F.lit(float(bits))
 
-    lots = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.struct(tree.alias("tree"), lot(tree).alias("lot")))
-    return F.filter(lots, lambda x: x["lot"] < rate)
+    none_before = math.log1p(-rate) if rate < 1 else -math.inf
+    gap = F.floor(F.log1p(-lot(F.lit("first"))) / none_before) if rate < 1 else F.lit(0)
+    drawn = rows.withColumn("_first", gap).filter(F.col("_first") < trees)
+    later = F.when(F.col("_first") + 1 < trees, F.sequence(F.col("_first") + 1, F.lit(trees - 1).cast("bigint")))
+    lots = F.transform(
+        F.coalesce(later, F.array().cast("array<bigint>")), lambda tree: F.struct(tree.alias("tree"), lot(tree).alias("lot"))
+    )
+    first = F.struct(F.col("_first").cast("bigint").alias("tree"), (lot(F.col("_first")) * rate).alias("lot"))
+    all_lots = F.concat(F.array(first), F.filter(lots, lambda x: x["lot"] < rate))
+    return drawn.withColumn("_draw", F.explode(all_lots)).drop("_first")
 
 
 class _ForestParams(Params):
@@ -103,8 +115,8 @@ class IsolationForest(Estimator, _ForestParams):
             sample = min(wanted, total)
             # Each tree is offered a few standard deviations more rows than it takes.
             rate = min(1.0, (sample + 8.0 * math.sqrt(sample)) / total)
-            draws = rows.withColumn("_draw", F.explode(_tree_draws(F.col("_key"), seed, trees, rate))).select(
-                F.col("_draw.tree").alias("tree"), F.col("_draw.lot").alias("lot"), *columns
+            draws = _tree_draws(rows, "_key", seed, trees, rate).select(
+                F.col("_draw.tree").cast("int").alias("tree"), F.col("_draw.lot").alias("lot"), *columns
             )
             max_depth = math.ceil(math.log2(max(sample, 2)))
 

@@ -32,9 +32,15 @@ ORDER_SPAN = 1 << 40
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def source_options(fmt: str, options: Mapping[str, str]) -> dict[str, str]:
+    """A consumer of a broker starts at the newest record, unless told otherwise; what it missed it replays from bronze."""
+    newest = {"kafka": {"startingOffsets": "latest"}}
+    return newest.get(fmt, {}) | dict(options)
+
+
 def source(spark: SparkSession, fmt: str, options: Mapping[str, str], path: str | None = None) -> DataFrame:
     """A stream with a string column ``value``: text files, or a broker whose value is cast."""
-    raw = spark.readStream.format(fmt).options(**options).load(path)
+    raw = spark.readStream.format(fmt).options(**source_options(fmt, options)).load(path)
     return raw.withColumn("value", F.col("value").cast("string"))
 
 
