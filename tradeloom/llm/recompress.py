@@ -45,8 +45,7 @@ WORDS_AT_ONCE = 1 << 19
 NO_ID = (1 << 63) - 1
 SECOND = 0xD6E8FEB86659FD93
 
-TEXTS = "doc_id bigint, text_hash bigint, n_words bigint, v bigint, sha string"
-ANCHORS = "anchor bigint, v bigint"
+TEXTS = "doc_id bigint, text_hash bigint, n_words bigint, v bigint, sha string, anchors array<bigint>"
 WINDOWS = "h bigint, g bigint, doc_id bigint, v bigint"
 KEPT = "v bigint, n_removed bigint, kept_sha string, kept_text string"
 
@@ -155,47 +154,34 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    def run(batches):
-        hashes = WordHash()
-        for batch in batches:
-            out = {"n_words": [], "v": [], "sha": []}
-            for text in texts_of(batch):
-                words = text.split()
-                of = hashes.of(words)
-                out["n_words"].append(len(words))
-                out["v"].append(int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(of.tobytes())))))
-                out["sha"].append(hashlib.sha256(b" ".join(words)).hexdigest())
-            ids = {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash")}
-            yield pa.RecordBatch.from_pydict(ids | out, schema=arrow(TEXTS))
-
-    return docs.mapInArrow(run, TEXTS)
-
-
-def _anchors(docs: DataFrame) -> DataFrame:
-    """(anchor, text) for each text of a window or more, once for each text of a batch."""
+    """What is known of each text from one reading, its anchors included; of equal texts read together, one has them."""
 
     def run(batches):
         hashes = WordHash()
         for batch in batches:
-            waiting, size = {}, 0
-            for text in texts_of(batch):
-                of = hashes.of(text.split())
-                if len(of) < WINDOW:
-                    continue
-                waiting[int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(of.tobytes()))))] = of
-                size += len(of)
+            rows, size = [], 0
+            ids, marks = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
+            for doc_id, mark, text in zip(ids, marks, texts_of(batch), strict=True):
+                words = text.split()
+                rows.append((doc_id, mark, hashes.of(words), hashlib.sha256(b" ".join(words)).hexdigest()))
+                size += len(words)
                 if size > WORDS_AT_ONCE:
-                    yield from rows(waiting)
-                    waiting, size = {}, 0
-            yield from rows(waiting)
+                    yield described(rows)
+                    rows, size = [], 0
+            yield described(rows)
+
+    def described(rows: list[tuple]) -> pa.RecordBatch:
+        v = [int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(of.tobytes())))) for _, _, of, _ in rows]
+        first = {x: i for i, x in reversed(list(enumerate(v))) if len(rows[i][2]) >= WINDOW}
+        found: list = [[]] * len(rows)
+        if first:
+            for i, x in zip(first.values(), anchors([rows[i][2] for i in first.values()]), strict=True):
+                found[i] = _signed(np.unique(x))
+        out = {"doc_id": [r[0] for r in rows], "text_hash": [r[1] for r in rows], "n_words": [len(r[2]) for r in rows]}
+        out |= {"v": v, "sha": [r[3] for r in rows], "anchors": found}
+        return pa.RecordBatch.from_pydict(out, schema=arrow(TEXTS))
 
-    def rows(waiting: dict):
-        if waiting:
-            found = [np.unique(x) for x in anchors(list(waiting.values()))]
-            v = np.repeat(np.array(list(waiting), np.int64), [len(x) for x in found])
-            yield pa.RecordBatch.from_pydict({"anchor": _signed(np.concatenate(found)), "v": v}, schema=arrow(ANCHORS))
-
-    return docs.select("text").mapInArrow(run, ANCHORS)
+    return docs.mapInArrow(run, TEXTS)
 
 
 def _hashes(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,11 +238,12 @@ def _without(texts: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_words, n_removed, kept_sha256 and, where words were removed, kept_text."""
     rows = keyed(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    texts = stage(_texts(rows), "texts")
+    read = stage(_texts(rows), "texts")
+    texts = read.drop("anchors")
     first = texts.filter(F.col("n_words") >= WINDOW).groupBy("v").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
     first = first.select("v", "one.*")
 
-    found = stage(_anchors(rows), "anchors")
+    found = read.select("v", F.explode("anchors").alias("anchor"))
     shared = found.groupBy("anchor").agg(F.min("v").alias("x"), F.max("v").alias("y")).filter("x < y").select("anchor")
     lists = found.join(shared, "anchor").dropDuplicates(["v", "anchor"])
     lists = lists.groupBy("v").agg(F.collect_list("anchor").alias("anchors")).join(first, "v")
@@ -269,7 +256,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeated = later.groupBy("v").agg(F.collect_list("h").alias("repeated"))
     kept = _without(candidates.select("v", "text").join(repeated, "v"))
 
-    out = texts.join(first.select("v", F.col("doc_id").alias("first")), "v", "left").join(kept, "v", "left")
+    # A table of its own: the join with a text that most documents share is then one that Spark can split.
+    by_text = stage(first.select("v", F.col("doc_id").alias("first")).join(kept, "v", "left"), "results")
+    out = texts.join(by_text, "v", "left")
     copy = F.col("doc_id") > F.col("first")
     return out.select(
         F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
