@@ -294,7 +294,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = found.join(classes.select("v", "least"), "v").groupBy("root").agg(F.min("least").alias("component_id"))
     moved = found.join(least, "root").select("v", "component_id")
     of = classes.select("v", "least").join(moved, "v", "left")
-    of = of.select("v", F.coalesce("component_id", "least").alias("component_id"))
+    # A table of its own: the join with a class that holds most documents is then one that Spark can split.
+    of = stage(of.select("v", F.coalesce("component_id", "least").alias("component_id")), "class-components")
     out = sets.select("doc_id", "text_hash", "n_shingles", "v").join(of, "v", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(
