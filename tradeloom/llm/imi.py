@@ -35,7 +35,7 @@ SAMPLE, SAMPLE_QUERIES = 20_000, 256
 #: Classes a cell should hold, on average, and the most centroids of a half.
 IN_CELL, MOST_CENTROIDS = 32, 1024
 ROUNDS = 12
-TARGET = 0.95
+TARGET = 0.97
 BUCKET = 4096
 HELD_QUERIES = 20_000
 
