@@ -89,7 +89,11 @@ class WordEncoder:
         if len(self.parts) > KEPT_WORDS:
             self.parts = {}
         if raw.isalpha():  # ASCII letters only
-            shown = raw.lower().decode()
+            small = raw.lower()
+            if small in self.parts:  # under another case
+                self.parts[raw] = found = self.parts[small]
+                return found
+            shown = small.decode()
         else:
             text = raw.decode()
             if not self.LETTERS.fullmatch(text):

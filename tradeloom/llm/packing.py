@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.bpe import WordEncoder, joined, vocabulary_path
-from tradeloom.llm.common import keyed, partitions
+from tradeloom.llm.common import keyed
 from tradeloom.llm.wordblocks import arrow, texts_of
 
 WINDOW = 2048
@@ -42,11 +42,11 @@ END = 1
 #: Padding tokens that a cut inside a document, or inside a sentence, is worth avoiding.
 IN_DOCUMENT, IN_SENTENCE = 2, 12
 STRIDE = 32
-STRETCH = 1 << 20
+STRETCH = 2 << 20
 #: Words whose ids a task holds; beyond that it starts over.
 KEPT_WORDS = 700_000
-#: Characters of text for a range; fewer ranges mean fewer tails.
-RANGE_CHARS = 32 << 20
+#: Bytes of text for a range; fewer ranges mean fewer tails.
+RANGE_BYTES = 32 << 20
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
@@ -212,10 +212,8 @@ def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, digest_
     path = path or vocabulary_path()
     names = [c.split()[0] for c in PIECES.split(", ")]
     rows = keyed(docs)
-    size = rows.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    ranges = max(1, min(partitions(docs.sparkSession), -(-size // RANGE_CHARS)))
-    if size > ranges * RANGE_CHARS:
-        ranges = -(-size // RANGE_CHARS)
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    ranges = max(1, -(-size // RANGE_BYTES))
 
     def run(batches):
         stream = _Stream(TaskContext.get().partitionId() << 40, window, path)
