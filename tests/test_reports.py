@@ -250,3 +250,9 @@ def test_percentiles_of_crowded_values(spark):
     r = exact_percentiles(df, "x", {"a": 0.3, "b": 0.5, "c": 0.999}, bins=16).first()
     assert list(r) == pytest.approx(list(np.percentile(values, [30, 50, 99.9])), abs=1e-15)
     assert list(exact_percentiles(df.filter("x > 2"), "x", {"a": 0.5}).first()) == [None]
+
+
+def test_sql_over_gold(spark, gold):
+    g = gold(volume=[spike("10:00:00"), spike("11:00:00", "b", ratio=9.0)], sector=[snap("10:00:00")])
+    text = "SELECT v.symbol, s.last_price FROM {volume_spikes} v JOIN {sector_snapshots} s USING (symbol) WHERE spike_ratio < :most"
+    assert rows(q.run_sql(spark, g, text, most=5.0)) == [("a", 100.0)]
