@@ -192,3 +192,15 @@ def test_exchange_finds_classes():
     pairs_[np.ix_(right, left)] = 20
     of = brown.exchange(pairs_, 3)
     assert len(set(of[left])) == len(set(of[right])) == 1 and of[left[0]] != of[right[0]] and of[0] == 0
+
+
+def test_rare_words_move_by_their_own_neighbours(spark):
+    """Beyond the top, words of two kinds, mixed in each group of endings, follow different words."""
+    rng = np.random.default_rng(3)
+    kinds = rng.permutation(np.arange(200) % 2)
+    rare = [[f"w{i:04d}" for i in np.flatnonzero(kinds == k)] for k in (0, 1)]
+    lines = [" ".join(f"pre{k} lead{k} {rng.choice(rare[k])}" for _ in range(20)) for k in (0, 1) * 300]
+    got = [r for r in brown.score(texts(spark, list(enumerate(lines))), top=4, classes=10).collect() if r.held_out]
+    # a text's first word tells its kind; after that only the rare words, 1 in 100 each, are uncertain
+    bits = sum(math.log10(2) + (r.n_tokens - 1) / 3 * math.log10(100) for r in got)
+    assert got and -sum(r.score for r in got) < 1.1 * bits

@@ -1,15 +1,20 @@
 """Scoring texts with a Brown class-based bigram model.
 
 A word's probability is that of its class after the previous word's class, times that of the word in its class,
-both with additive smoothing. Classes come from exchange clustering: one item after another moves to the class
-that most raises the likelihood of the training text under the class bigrams, until none moves.
+both with additive smoothing. Classes come from exchange clustering: words move to the class that most raises the
+likelihood of the training text under the class bigrams.
 
 * Every training token is counted. Words are counted by distinct word and block (`wordblocks`), so that a frequent
   word costs one row per block.
-* The items that move are the ``top`` most frequent words, each for itself, and all other words together with
-  those that share their ending (``ENDINGS`` groups). So every word has a class, and the counts of item pairs, which
-  are all that clustering needs, have a fixed size however large the corpus is. Tasks count pairs in a matrix and
-  send one packed row per item.
+* Every training word moves by its own neighbours. A round counts, for each word, the classes that follow and precede
+  it: each block counts for its distinct words, and the counts of a word meet in its part, where it takes the class of
+  greatest gain. The driver holds the class matrix alone. All words of a round see the class matrix of its start, but
+  words of more than ``FREQUENT`` tokens move one by one within their part. After each round the matrix is counted anew.
+  A round that doesn't raise the likelihood is undone and repeated for half of the words, down to ``LEAST_MOVERS``. Rounds end
+  when one gains less than ``GAIN`` of the information that neighbouring classes hold about each other.
+* Rounds start from a clustering of fixed size on the driver: the ``top`` most frequent words, each for itself, and all
+  others together with those that share their ending (``ENDINGS`` groups). Only words that training lacks keep the
+  class of their ending.
 * Texts are scored where their numbered words meet the counts of the block's distinct words.
 
 A text is its words, then one end, which also stands before the first word. The end is a class of its own.
@@ -25,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +55,20 @@ SWEEPS = 10
 WORD_PRIOR, CLASS_PRIOR = 0.5, 0.1
 FOLDS, HELD_OUT = 5, 1
 KEPT_WORDS = 500_000
+FREQUENT = 1000
+GAIN, LEAST_MOVERS = 0.01, 1 / 8
+#: Up to this count, gains are looked up.
+SMALL = 16
+CELLS_AT_ONCE = 1 << 15
 PAIRS_AT_ONCE = 1 << 20
 
 TOTALS = (
-    "part int, block bigint, fingerprint bigint, words binary, totals binary, distinct bigint, tokens bigint, "
-    "top array<string>, top_counts array<bigint>, endings array<bigint>"
+    "part int, block bigint, fingerprint bigint, words binary, totals binary, places binary, known bigint, "
+    "distinct bigint, tokens bigint, top array<string>, top_counts array<bigint>"
 )
-ANSWERS = "part int, block bigint, fingerprint bigint, totals binary, items binary"
+ANSWERS = "part int, block bigint, fingerprint bigint, classes binary"
+CELLS = "part int, block bigint, classes binary, steps binary, counts binary"
+SUMS = "part int, classes binary, steps binary, counts binary, pairs binary, distinct binary"
 PAIRS = "item int, counts binary"
 SCORES = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
@@ -101,15 +114,18 @@ def _totals(asked: DataFrame, top: int) -> DataFrame:
                 total[w] = total.get(w, 0) + n
         known = {w: n for w, n in total.items() if n}
         best = sorted(known, key=lambda w: (-known[w], w))[:top]
-        groups = np.bincount([ending(w) for w in known], minlength=ENDINGS).tolist()
+        # the words of training by number, then the endings, for words that training lacks
+        place = {w: i for i, w in enumerate(known)}
         out = []
         for i, r in enumerate(rows):
             mine = unpack_words(r["words"])
+            at = (place[w] if w in place else len(known) + ending(w) for w in mine)
             packed = pack(np.fromiter(map(total.__getitem__, mine), np.uint64, len(mine)), 8)
             row = {k: r[k] for k in ("part", "block", "fingerprint", "words")} | {"totals": packed}
-            row |= {"distinct": 0, "tokens": 0, "top": [], "top_counts": [], "endings": []}
+            row |= {"places": pack(np.fromiter(at, np.uint32, len(mine))), "known": len(known)}
+            row |= {"distinct": 0, "tokens": 0, "top": [], "top_counts": []}
             if i == 0:
-                row |= {"distinct": len(known), "tokens": sum(known.values()), "endings": groups}
+                row |= {"distinct": len(known), "tokens": sum(known.values())}
                 row |= {"top": [w.decode() for w in best], "top_counts": [known[w] for w in best]}
             out.append(row)
         return pa.Table.from_pylist(out, schema=arrow(TOTALS))
@@ -216,6 +232,195 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
     return of
 
 
+def _f(x):
+    return x * np.log(np.maximum(x, 1))
+
+
+def information(both: np.ndarray) -> float:
+    """What neighbouring classes tell about each other, over all pairs: the likelihood up to a constant."""
+    return float(_f(both).sum() - _f(both.sum(1)).sum() - _f(both.sum(0)).sum() + _f(both.sum()))
+
+
+def moves(both: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The class that each word gains most by: ``right`` and ``left`` count the classes beside it, ``own`` itself."""
+    both, of = both.copy(), of.copy()
+    size, classes = right.sum(1), len(both)
+    for w in np.flatnonzero(size > FREQUENT):
+        a, r, l, s, n = of[w], right[w].astype(float), left[w].astype(float), own[w], size[w]
+        r[a] -= s
+        l[a] -= s
+        both[a, :] -= r
+        both[:, a] -= l
+        both[a, a] -= s
+        d, out_n, in_n = np.diag(both), both.sum(1), both.sum(0)
+        gain = (_f(both + r) - _f(both)).sum(1) + (_f(both + l[:, None]) - _f(both)).sum(0)
+        gain += _f(d + r + l + s) - _f(d + r) - _f(d + l) + _f(d)
+        gain -= _f(out_n + n) - _f(out_n) + _f(in_n + n) - _f(in_n)
+        gain[0] = -np.inf
+        b = int(np.argmax(gain))
+        of[w] = b = a if gain[b] <= gain[a] + 1e-9 else b
+        both[b, :] += r
+        both[:, b] += l
+        both[b, b] += s
+    rare = np.flatnonzero(size <= FREQUENT)
+    out_n, in_n = both.sum(1), both.sum(0)
+    tables = []
+    for sides in (both.T, both):  # [class beside the word, class of the word]
+        few = np.arange(SMALL + 1)[:, None, None]
+        tables.append((sides, _f(sides + few) - _f(sides), _f(sides) - _f(np.maximum(sides - few, 0))))
+    step = max(1, CELLS_AT_ONCE // classes)
+    for chunk in (rare[i : i + step] for i in range(0, len(rare), step)):
+        a, n = of[chunk], size[chunk][:, None]
+        gain = -(_f(out_n + n) - _f(out_n) + _f(in_n + n) - _f(in_n))
+        n = n[:, 0]
+        stay = -(_f(out_n[a]) - _f(out_n[a] - n) + _f(in_n[a]) - _f(in_n[a] - n))
+        for side, (sides, more, less) in zip((right, left), tables, strict=True):
+            w, c = np.nonzero(side[chunk])
+            k = side[chunk][w, c]
+            few = np.minimum(k, SMALL)
+            join, leave = more[few, c], less[few, c, a[w]]
+            big = np.flatnonzero(k > SMALL)
+            if len(big):
+                at, kb = sides[c[big]], k[big]
+                join[big] = _f(at + kb[:, None]) - _f(at)
+                at = sides[c[big], a[w[big]]]
+                leave[big] = _f(at) - _f(at - kb)
+            first = np.searchsorted(w, np.arange(len(chunk)))  # each word has a neighbour on either side
+            gain += np.add.reduceat(join, first)
+            stay += np.add.reduceat(leave, first)
+        gain[:, 0] = -np.inf
+        gain[np.arange(len(chunk)), a] = stay
+        b = np.argmax(gain, axis=1)
+        of[chunk] = np.where(gain[np.arange(len(chunk)), b] > stay + 1e-9, b, a)
+    return of
+
+
+def _counted(blocks: DataFrame, answers: DataFrame, totals: DataFrame, classes: int) -> DataFrame:
+    """One row per part: for each of its words the classes beside it, and the class pairs that start with its words."""
+    wide = 2 * classes + 1
+
+    def count(left: pa.Table, found: pa.Table) -> pa.Table:
+        out: dict[str, list] = {c.split()[0]: [] for c in CELLS.split(", ")}
+        for block in left.to_pylist():
+            rows, place = answered(block, found)
+            if not rows:
+                continue
+            of = np.concatenate([unpack(r["classes"], 2) for r in rows])
+            sizes = np.array(block["sizes"], np.int64)
+            mine = np.array([in_training(d) for d in block["doc_ids"]], bool)
+            words = place[unpack(block["codes"])[np.repeat(mine, sizes)]]
+            sizes = sizes[mine]
+            at = np.arange(len(words)) + np.repeat(np.arange(len(sizes)), sizes) + 1
+            line = np.full(len(words) + len(sizes) + 1, -1, np.int64)  # -1 is the end
+            line[at] = words
+            beside = np.where(line < 0, 0, of[line])
+            keys = [words * wide + beside[at + 1], words * wide + classes + beside[at - 1]]
+            keys.append(words[line[at + 1] == words] * wide + 2 * classes)
+            keys, counts = np.unique(np.concatenate(keys), return_counts=True)
+            starts = np.cumsum([0] + [len(unpack(r["classes"], 2)) for r in rows])
+            cuts = np.searchsorted(keys, starts * wide)
+            for r, first, i, j in zip(rows, starts, cuts, cuts[1:], strict=False):
+                steps = np.diff(keys[i:j] - first * wide, prepend=0)
+                new = (r["part"], r["block"], r["classes"], pack(steps, 8), pack(counts[i:j], 8))
+                for k, v in zip(out, new, strict=True):
+                    out[k].append(v)
+        return pa.Table.from_pydict(out, schema=arrow(CELLS))
+
+    def add(cells: pa.Table, own: pa.Table) -> pa.Table:
+        places = {r["block"]: r for r in own.to_pylist()}
+        known = next(iter(places.values()))["known"] if places else 0
+        sums, of = np.zeros(known * wide, np.int64), np.zeros(known, np.uint16)
+        for r in cells.to_pylist():
+            place = unpack(places[r["block"]]["places"]).astype(np.int64)
+            seen = place < known
+            of[place[seen]] = unpack(r["classes"], 2)[seen]
+            keys = np.cumsum(unpack(r["steps"], 8).astype(np.int64))
+            sums[place[keys // wide] * wide + keys % wide] += unpack(r["counts"], 8).astype(np.int64)
+        table = sums.reshape(known, wide)
+        pairs = np.zeros((classes, classes), np.int64)
+        np.add.at(pairs, of, table[:, :classes])
+        pairs[0] += np.bincount(of, table[:, classes], classes).astype(np.int64)
+        used = np.flatnonzero(sums)
+        row = {
+            "part": own.column("part")[:1], "classes": [pack(of, 2)], "steps": [pack(np.diff(used, prepend=0), 8)],
+            "counts": [pack(sums[used], 8)], "pairs": [pairs.tobytes()],
+            "distinct": [np.bincount(of, minlength=classes).astype(np.int64).tobytes()],
+        }
+        return pa.Table.from_pydict(row, schema=arrow(SUMS)) if known else arrow(SUMS).empty_table()
+
+    cells = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(count, CELLS)
+    own = totals.select("part", "block", "places", "known")
+    return cells.groupBy("part").cogroup(own.groupBy("part")).applyInArrow(add, SUMS)
+
+
+def _class_pairs(sums: DataFrame, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class pairs of all parts, without pairs of two ends, and the number of distinct words in each class."""
+    kind = "pairs binary, distinct binary"
+
+    def add(batches):
+        pairs, distinct = np.zeros(classes * classes, np.int64), np.zeros(classes, np.int64)
+        for batch in batches:
+            for r in batch.to_pylist():
+                pairs += np.frombuffer(r["pairs"], np.int64)
+                distinct += np.frombuffer(r["distinct"], np.int64)
+        yield pa.RecordBatch.from_pydict({"pairs": [pairs.tobytes()], "distinct": [distinct.tobytes()]}, schema=arrow(kind))
+
+    pairs, distinct = np.zeros(classes * classes), np.zeros(classes)
+    for r in sums.select("pairs", "distinct").mapInArrow(add, kind).toLocalIterator():
+        pairs += np.frombuffer(r["pairs"], np.int64)
+        distinct += np.frombuffer(r["distinct"], np.int64)
+    return pairs.reshape(classes, classes), distinct
+
+
+def _moved(totals: DataFrame, sums: DataFrame, both: np.ndarray, by_ending: np.ndarray, movers: float, turn: int) -> DataFrame:
+    """The blocks' words with their classes after a round in which a share ``movers`` of the words may move."""
+    classes = len(both)
+    wide = 2 * classes + 1
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        of = np.zeros(0, np.int64)
+        for r in found.to_pylist():  # one row, or none
+            of = unpack(r["classes"], 2).astype(np.int64)
+            table = np.zeros(len(of) * wide, np.int64)
+            table[np.cumsum(unpack(r["steps"], 8).astype(np.int64))] = unpack(r["counts"], 8)
+            table = table.reshape(-1, wide)
+            new = moves(both, table[:, :classes], table[:, classes:-1], table[:, -1], of)
+            if movers < 1:
+                drawn = np.random.default_rng([turn, r["part"]]).random(len(of)) < movers
+                new = np.where(drawn, new, of)
+            of = new
+        of = np.concatenate([of, by_ending])
+        out: dict[str, list] = {c.split()[0]: [] for c in ANSWERS.split(", ")}
+        for r in own.to_pylist():
+            for k, v in zip(out, (r["part"], r["block"], r["fingerprint"], pack(of[unpack(r["places"])], 2)), strict=True):
+                out[k].append(v)
+        return pa.Table.from_pydict(out, schema=arrow(ANSWERS))
+
+    own = totals.select("part", "block", "fingerprint", "places").groupBy("part")
+    return own.cogroup(sums.select("part", "classes", "steps", "counts").groupBy("part")).applyInArrow(run, ANSWERS)
+
+
+def cluster(blocks: DataFrame, totals: DataFrame, answers: DataFrame, by_ending: np.ndarray, classes: int, empty: float):
+    """Rounds over all words: the blocks' words with their classes, the class pairs, the distinct words by class."""
+    best, movers, turn = None, 1.0, 0
+    while True:
+        sums = stage(_counted(blocks, answers, totals, classes), "word-neighbours")
+        both, distinct = _class_pairs(sums, classes)
+        both[0, 0] += empty  # texts without words
+        value = information(both)
+        gain = None if best is None else value - best[0]
+        if best is None or gain > 0:
+            last, best = best, (value, answers, both, distinct, sums)
+            if last is not None and gain <= GAIN * abs(last[0]):
+                return best[1:4]
+        elif movers <= LEAST_MOVERS or np.array_equal(both, best[2]):
+            return best[1:4]
+        else:
+            movers /= 2
+        turn += 1
+        answers = stage(_moved(totals, best[4], best[2], by_ending, movers, turn), "word-classes")
+
+
 class Model:
     """What scoring needs; its size depends on ``top`` and ``classes`` alone."""
 
@@ -251,35 +456,35 @@ def score(docs: DataFrame, top: int = TOP_WORDS, classes: int = CLASSES) -> Data
         .select("w.*").orderBy(F.desc("top_counts"), F.col("top").cast("binary")).limit(top).collect()
     )
     words = [r["top"].encode() for r in best]
-    endings = np.zeros(ENDINGS)
-    for r in totals.select(F.posexplode("endings")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
-        endings[r["pos"]] = r["n"]
-    for w in words:
-        endings[ending(w)] -= 1
     pairs = _pairs(train, words)
-    distinct_by_item = np.concatenate([[0], endings, np.ones(len(words))])
     ends = int(pairs[:, 0].sum())
-    model = Model(pairs, exchange(pairs, classes), words, distinct_by_item, sums[1] + ends, sums[0] + (ends > 0))
+    of = exchange(pairs, classes)
+    width = int(of.max()) + 1
 
-    def answer(batches):
-        item = Items(model.top)
+    def start(batches):
+        item = Items(words)
         for batch in batches:
             out: dict[str, list] = {c.split()[0]: [] for c in ANSWERS.split(", ")}
             for r in batch.to_pylist():
                 mine = unpack_words(r["words"])
-                for k in ("part", "block", "fingerprint", "totals"):
+                for k in ("part", "block", "fingerprint"):
                     out[k].append(r[k])
-                out["items"].append(pack(np.fromiter(map(item.__getitem__, mine), np.uint32, len(mine))))
+                out["classes"].append(pack(of[np.fromiter(map(item.__getitem__, mine), np.uint32, len(mine))], 2))
             yield pa.RecordBatch.from_pydict(out, schema=arrow(ANSWERS))
 
+    answers = stage(totals.select("part", "block", "fingerprint", "words").mapInArrow(start, ANSWERS), "word-classes")
+    blocks = numbered(docs, parts, True).repartition(n, "block").persist(StorageLevel.DISK_ONLY)
+    by_ending = of[1 : 1 + ENDINGS]
+    answers, both, distinct = cluster(blocks, totals, answers, by_ending, width, pairs[0, 0])
+    model = Model(both, np.arange(width), [], distinct, sums[1] + ends, sums[0] + (ends > 0))
+
     def join(blocks: pa.Table, found: pa.Table) -> pa.Table:
         out: dict[str, list] = {c.split()[0]: [] for c in SCORES.split(", ")}
         end_base = float(model.base(np.array([model.ends]))[0])
         for block in blocks.to_pylist():
             rows, place = answered(block, found)
             counts = np.concatenate([unpack(r["totals"], 8) for r in rows]) if rows else np.zeros(0)
-            items = np.concatenate([unpack(r["items"]) for r in rows]) if rows else np.zeros(0, np.uint32)
-            of = model.of[items]
+            of = np.concatenate([unpack(r["classes"], 2) for r in rows]) if rows else np.zeros(0, np.uint16)
             base, inside = model.base(counts), model.emission(counts, of)
             codes, at = place[unpack(block["codes"])], 0
             for doc_id, size in zip(block["doc_ids"], block["sizes"], strict=True):
@@ -295,6 +500,5 @@ def score(docs: DataFrame, top: int = TOP_WORDS, classes: int = CLASSES) -> Data
                     out[k].append(v)
         return pa.Table.from_pydict(out, schema=arrow(SCORES))
 
-    answers = totals.select("part", "block", "fingerprint", "words", "totals").mapInArrow(answer, ANSWERS)
-    blocks = numbered(docs, parts, True).groupBy("block")
-    return blocks.cogroup(answers.groupBy("block")).applyInArrow(join, SCORES)
+    answers = answers.join(totals.select("part", "block", "totals"), ["part", "block"])
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, SCORES)

@@ -9,7 +9,7 @@ so there is no hot word.
 
 Requests and numbered texts come from two scans of the same input, so the input must yield the same rows in
 the same order when it is read again, as files do (stage anything else first). Each block carries a
-fingerprint, and a difference stops the job.
+fingerprint of its ids and whole texts, and a difference stops the job.
 """
 
 from __future__ import annotations
@@ -83,8 +83,8 @@ class _Block:
         self.sizes.append(len(words))
         self.weight.append(counted)
         self.size += len(text)
-        self.print.update(b"%d " % len(text))
-        self.print.update(text[:64])
+        self.print.update(b"%s %d " % (str(doc_id).encode(), len(text)))
+        self.print.update(text)
 
     def close(self, parts: int) -> tuple[list[bytes], np.ndarray, np.ndarray, int]:
         """Words by falling frequency, the codes, the part of each word, and the fingerprint."""
