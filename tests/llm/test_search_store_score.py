@@ -204,3 +204,19 @@ def test_rare_words_move_by_their_own_neighbours(spark):
     # a text's first word tells its kind; after that only the rare words, 1 in 100 each, are uncertain
     bits = sum(math.log10(2) + (r.n_tokens - 1) / 3 * math.log10(100) for r in got)
     assert got and -sum(r.score for r in got) < 1.1 * bits
+
+
+def test_sweeps_go_on_until_no_item_gains():
+    rng = np.random.default_rng(5)
+    pairs_ = rng.poisson(3, size=(160, 160)).astype(float)
+    of = brown.exchange(pairs_, 20, 0)
+    both = np.zeros((20, 20))
+    np.add.at(both, (of[:, None], of[None, :]), pairs_)
+    best = brown.information(both)
+    for w in range(1, len(of), 7):
+        for b in range(1, 20):
+            moved = of.copy()
+            moved[w] = b
+            both = np.zeros((20, 20))
+            np.add.at(both, (moved[:, None], moved[None, :]), pairs_)
+            assert brown.information(both) <= best + 1e-6

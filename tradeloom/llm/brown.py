@@ -13,7 +13,8 @@ likelihood of the training text under the class bigrams.
   A round that doesn't raise the likelihood is undone and repeated for half of the words, down to ``LEAST_MOVERS``. Rounds end
   when one gains less than ``GAIN`` of the information that neighbouring classes hold about each other.
 * Rounds start from a clustering of fixed size on the driver: the ``top`` most frequent words, each for itself, and all
-  others together with those that share their ending (``ENDINGS`` groups). Only words that training lacks keep the
+  others together with those that share their ending (``ENDINGS`` groups); its sweeps end when one moves nothing or
+  gains less than ``SWEEP_GAIN`` of the information. Only words that training lacks keep the
   class of their ending.
 * Texts are scored where their numbered words meet the counts of the block's distinct words.
 
@@ -50,13 +51,13 @@ from tradeloom.llm.wordblocks import (
 TOP_WORDS = 1000
 ENDINGS = 64
 CLASSES = 40
-SWEEPS = 10
 #: Added to each count: of a word in its class, and of a class after a class.
 WORD_PRIOR, CLASS_PRIOR = 0.5, 0.1
 FOLDS, HELD_OUT = 5, 1
 KEPT_WORDS = 500_000
 FREQUENT = 1000
 GAIN, LEAST_MOVERS = 0.01, 1 / 8
+SWEEP_GAIN = 0.001
 #: Up to this count, gains are looked up.
 SMALL = 16
 CELLS_AT_ONCE = 1 << 15
@@ -178,8 +179,9 @@ def _pairs(train: DataFrame, top: list[bytes]) -> np.ndarray:
     return matrix
 
 
-def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
-    """A class for each item. Item 0 keeps class 0 for itself; the others move until none gains by it.
+def exchange(pairs: np.ndarray, classes: int, least: float = SWEEP_GAIN) -> np.ndarray:
+    """A class for each item. Item 0 keeps class 0 for itself; the others move, sweep by sweep, until a sweep moves none
+    or gains less than ``least`` of the classes' information.
 
     The likelihood under class bigrams is, up to a constant, the sum of f over the class pairs' counts less the sums
     of f over the classes' counts on either side, where f(x) = x log x.
@@ -197,7 +199,8 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
     def f(x):
         return x * np.log(np.maximum(x, 1))
 
-    for _ in range(sweeps):
+    value = information(both)
+    while True:
         moved = 0
         for w in range(1, n):
             a, own = of[w], pairs[w, w]
@@ -227,9 +230,9 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
                 for table, column in ((after, pairs[:, w]), (before, pairs[w, :])):
                     table[:, a] -= column
                     table[:, b] += column
-        if not moved:
-            break
-    return of
+        before_it, value = value, information(both)
+        if not moved or value - before_it < least * abs(before_it):
+            return of
 
 
 def _f(x):
