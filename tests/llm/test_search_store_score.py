@@ -10,7 +10,7 @@ import pytest
 import zstandard
 from helpers import SF_DIR, TEXT, documents, ordered, pairs, texts
 
-from tradeloom.llm import brown, imi, warc
+from tradeloom.llm import brown, imi, warc, wordblocks
 
 
 def recorded(rows):
@@ -220,3 +220,13 @@ def test_sweeps_go_on_until_no_item_gains():
             both = np.zeros((20, 20))
             np.add.at(both, (moved[:, None], moved[None, :]), pairs_)
             assert brown.information(both) <= best + 1e-6
+
+
+def test_fingerprints_cover_whole_texts_and_ids():
+    def mark(doc_id, text):
+        block = wordblocks._Block(0)
+        block.add(doc_id, text, True, True)
+        return block.close(4)[3]
+
+    head = b"w " * 40
+    assert len({mark(1, head + b"a"), mark(1, head + b"b"), mark(2, head + b"a"), mark(None, head + b"a")}) == 4
