@@ -20,10 +20,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document of least ``doc_id`` stays."""
-    found = minhash.near_duplicates(docs)
-    gone = found.filter("not kept").select("doc_id", "text_hash")
-    return _keyed(docs).join(_as_key(gone), "key", "left_anti").select("row.*")
+    """Of each group of near duplicates, one row stays: the one of least ``doc_id`` (null is largest) and text hash.
+
+    Texts that aren't near duplicates stay, even under one id. Of repeated rows without words one stays, or all if
+    they have no id.
+    """
+    found = minhash.with_components(docs).groupBy("doc_id", "text_hash", "component").agg(F.count(F.lit(1)).alias("n"))
+    least = F.min(F.struct(F.coalesce("doc_id", F.lit(minhash.NO_ID)).alias("least"), "text_hash", "doc_id", "n"))
+    one = found.filter("component is not null").groupBy("component").agg(least.alias("x"))
+    bare = found.filter("component is null").select("doc_id", "text_hash", F.expr("if(doc_id is null, 1, n)").alias("n"))
+    stay = stage(one.select("x.doc_id", "x.text_hash", "x.n").union(bare), "kept-documents")
+    rows = _keyed(docs).join(_as_key(stay, "n"), "key")
+    # Texts of repeated rows alone are dealt out again.
+    first = F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")
+    again = rows.filter("n > 1").groupBy("key").agg(first).select("row.*")
+    return rows.filter("n = 1").select("row.*").union(again)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

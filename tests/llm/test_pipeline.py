@@ -52,3 +52,16 @@ def test_nulls_clashing_names_and_empty_tables(spark):
             some = stage(step(spark, some, SF_DIR), name)
     assert some.count() == 0
     assert texts(spark, rows).count() == 6
+
+
+def test_one_row_of_each_group_stays_whatever_its_ids(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, long), (1, long), (1, f"{long} end"), (2, long), (1, other), (None, other), (4, ""), (4, ""), (None, ""), (None, "")]
+    rows += [(None, "x y z"), (None, "x y z"), (None, None)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, texts(spark, rows), SF_DIR).collect()
+    got = sorted(((r.doc_id, r.text) for r in kept), key=str)
+    assert [g for g in got if g[1] == other] == [(1, other)]
+    assert len([g for g in got if g[1] and g[1].startswith("w0 ")]) == 1
+    assert got.count((None, "x y z")) == got.count((4, "")) == got.count((None, None)) == 1
+    assert got.count((None, "")) == 2 and len(got) == 7

@@ -273,6 +273,11 @@ def _verified(texts: DataFrame, n: int) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash (xxhash64 of the text), n_shingles, component_id (the least doc_id reachable over links) and
     kept, one row per document."""
+    return with_components(docs).drop("component")
+
+
+def with_components(docs: DataFrame) -> DataFrame:
+    """`near_duplicates` and ``component``, which tells components apart whatever their ids; null without words."""
     n = partitions(docs.sparkSession)
     rows = keyed(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     sets = stage(_sets(rows), "shingle-sets")
@@ -292,16 +297,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = stage(_verified(stage(texts.dropDuplicates(["v"]), "candidate-texts"), n), "components")
 
     least = found.join(classes.select("v", "least"), "v").groupBy("root").agg(F.min("least").alias("component_id"))
-    moved = found.join(least, "root").select("v", "component_id")
+    moved = found.join(least, "root").select("v", "root", "component_id")
     of = classes.select("v", "least").join(moved, "v", "left")
     # A table of its own: the join with a class that holds most documents is then one that Spark can split.
-    of = stage(of.select("v", F.coalesce("component_id", "least").alias("component_id")), "class-components")
+    of = of.select("v", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("root", "v").alias("component"))
+    of = stage(of, "class-components")
     out = sets.select("doc_id", "text_hash", "n_shingles", "v").join(of, "v", "left")
-    component = F.coalesce("component_id", "doc_id")
+    least = F.coalesce("component_id", "doc_id")
     return out.select(
         F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
         "text_hash",
         "n_shingles",
-        F.when(component != NO_ID, component).alias("component_id"),
-        (F.col("doc_id") == component).alias("kept"),
+        F.when(least != NO_ID, least).alias("component_id"),
+        (F.col("doc_id") == least).alias("kept"),
+        "component",
     )
