@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import SF_DIR, TEXT, documents, ordered, pairs, texts
+from pyspark.sql import functions as F
 
 from tradeloom.llm import pii, quality, toxicity
 from tradeloom.llm.labelmodel import LabelModel
@@ -166,3 +167,10 @@ def test_cumulative_fit_recovers_weights():
     rows, columns = np.nonzero(x)
     found, cuts = toxicity.fit_cumulative(rows, columns, x[rows, columns], grades, 3, 2)
     assert np.abs(found - w).max() < 0.3 and np.abs(cuts - [0.5, 2.0]).max() < 0.3
+
+
+def test_windows_that_share_high_bits_do_not_hide_repeats(spark):
+    """Hashes in the order a, b, a, equal but for the bits that a position takes."""
+    rows = [([1280, 1281, 1280],), ([1280, 1281, 1282],), ([7 << 40, 5, 7 << 40, 9],), ([-1, -2, -1, -2],)]
+    frame = spark.createDataFrame(rows, "h array<bigint>").select(quality.words_in_repeats(F.col("h")).alias("n"))
+    assert [r.n for r in frame.collect()] == [5, 0, 5, 6]

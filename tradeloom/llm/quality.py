@@ -9,8 +9,8 @@ A null text has no words, fails the base and isn't kept. A null ``doc_id`` stays
 by one and alike; other columns are not looked at; an empty table gives an empty table.
 
 Repeated windows within a text are found by sorting. A window's 64-bit hash gives up as many low bits as the position
-needs, so one sort of plain numbers brings equal windows together and keeps their places; neighbours in that
-order are compared by their full hashes.
+needs, so one sort of plain numbers brings equal windows together and keeps their places. Where neighbours in that
+order have unequal full hashes, the text's full hashes are sorted with their places instead, so the count is exact.
 """
 
 from __future__ import annotations
@@ -27,29 +27,41 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def repeated_words(words: Column) -> Column:
-    """How many words lie in a window of three words that occurs twice or more."""
+def words_in_repeats(h: Column) -> Column:
+    """How many words lie in windows whose hash occurs twice or more; ``h``: two hashes at least, by position."""
 
-    def of_hashes(h: Column) -> Column:
-        """``h``: the windows' hashes by position, two at least."""
-        bits = F.length(F.bin(F.size(h).cast("bigint")))
-        return let(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1, lambda low: of_sorted(h, low))
-
-    def of_sorted(h: Column, low: Column) -> Column:
+    def of_sorted(low: Column) -> Column:
         marked = F.transform(h, lambda x, i: x.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("bigint")))
-        return let(F.sort_array(marked), lambda s: covered(repeats(s, h, low)))
+        return let(F.sort_array(marked), lambda s: covered(F.when(mixed(s, low), exact()).otherwise(repeats(s, low))))
 
-    def repeats(s: Column, h: Column, low: Column) -> Column:
-        def same(x: Column, y: Column) -> Column:
-            near = x.bitwiseOR(low) == y.bitwiseOR(low)
-            return F.when(near, place(h, x, low) == place(h, y, low)).otherwise(False)
+    def near(x: Column, y: Column, low: Column) -> Column:
+        return x.bitwiseOR(low) == y.bitwiseOR(low)
 
-        twice = F.filter(
-            s, lambda x, i: F.coalesce(same(x, F.get(s, i - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, i + 1)), F.lit(False))
+    def mixed(s: Column, low: Column) -> Column:
+        """Whether unequal hashes share their high bits, and so may part equal ones."""
+        apart = F.filter(
+            s, lambda x, i: F.when(near(x, F.get(s, i + 1), low), place(x, low) != place(F.get(s, i + 1), low)).otherwise(False)
         )
+        return F.size(apart) > 0
+
+    def repeats(s: Column, low: Column) -> Column:
+        def same(x: Column, y: Column) -> Column:
+            return F.when(near(x, y, low), F.lit(True)).otherwise(False)
+
+        twice = F.filter(s, lambda x, i: same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1)))
         return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(low).cast("int")))
 
-    def place(h: Column, x: Column, low: Column) -> Column:
+    def exact() -> Column:
+        def same(x: Column, y: Column) -> Column:
+            return F.coalesce(x["h"] == y["h"], F.lit(False))
+
+        def of_pairs(s: Column) -> Column:
+            twice = F.filter(s, lambda x, i: same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1)))
+            return F.sort_array(F.transform(twice, lambda x: x["i"]))
+
+        return let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), of_pairs)
+
+    def place(x: Column, low: Column) -> Column:
         return F.get(h, x.bitwiseAND(low).cast("int"))
 
     def covered(at: Column) -> Column:
@@ -59,11 +71,18 @@ def repeated_words(words: Column) -> Column:
         )
         return step["n"]
 
+    bits = F.length(F.bin(F.size(h).cast("bigint")))
+    return let(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1, of_sorted)
+
+
+def repeated_words(words: Column) -> Column:
+    """How many words lie in a window of three words that occurs twice or more."""
+
     def of_words(w: Column) -> Column:
         windows = F.transform(
             F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
         )
-        return let(windows, of_hashes)
+        return let(windows, words_in_repeats)
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     return F.when(F.size(words) > WINDOW, let(hashes, of_words)).otherwise(0)
