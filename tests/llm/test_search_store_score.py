@@ -230,3 +230,10 @@ def test_fingerprints_cover_whole_texts_and_ids():
 
     head = b"w " * 40
     assert len({mark(1, head + b"a"), mark(1, head + b"b"), mark(2, head + b"a"), mark(None, head + b"a")}) == 4
+
+
+def test_vectors_of_one_component(spark):
+    rows = [(i, [float(i * i)]) for i in range(1, 31)] + [(40, [0.0]), (41, [None]), (42, [float("nan")]), (43, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.rank, r.vec_id, r.score) for r in imi.search(frame, lambda i: i == 10, top=3).collect()}
+    assert got == {(1, 9, 19.0), (2, 11, 21.0), (3, 8, 36.0)}

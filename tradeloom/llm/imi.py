@@ -13,8 +13,9 @@
    precision on the original vectors, and only the best of each query and task go on.
 
 Rows take no part whose id or vector is null, or whose vector is zero, holds a null or non-finite component, or is of
-another length than most. Rows with one id and vector are one; a query is no candidate of its own. Queries with
-fewer than ``top`` candidates get them all; an empty table gives an empty table.
+another length than most: such a vector is neither query nor candidate. Vectors of one component are searched too. Rows
+with one id and vector are one; a query is no candidate of its own. Queries with fewer than ``top`` candidates get them
+all; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -298,10 +299,13 @@ def search(rows: DataFrame, asks, top: int = 10, vec_id: str = "vec_id", embeddi
     rows = rows.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
     rows = rows.filter("vec_id is not null and v is not null")
     dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim"))
-    common = dims.filter("dim >= 2").first()
+    common = dims.filter("dim >= 1").first()
     if common is None:
         return spark.createDataFrame([], result)
     dim = common["dim"]
+    if dim == 1:  # a second component of zero changes no distance, and gives both halves a width
+        rows = rows.filter(F.size("v") == 1).withColumn("v", F.array(F.get("v", F.lit(0)), F.lit(0.0)))
+        dim = 2
     vectors = stage(_vectors(rows, dim), "vectors")
     classes = stage(_classes(vectors, keep), "vector-classes")
     total = classes.count()
