@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, imi, minhash, packing, pii, quality, recompress, toxicity, warc
+from tradeloom.llm import bpe, brown, imi, merkle, minhash, packing, pii, quality, recompress, toxicity, warc
 from tradeloom.llm.common import documents
 
 
@@ -52,14 +52,24 @@ def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(documents(spark, sf_dir))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op5_multi_index, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown)
+    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op5_multi_index, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown, op13_merkle)
     return {f.__name__: f for f in found}
 
 
 _WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
 _SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_ENCODED = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{0}", "text"))
+
+# crc32 of a number's decimal digits: DuckDB has no such function.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda c, d: list_reduce([xor(c, d), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
 # The queries whose results follow from their contract alone, without a fitted model, a tokenizer or a search that may miss.
 SQL = {
     "op3_warc": """
@@ -101,6 +111,41 @@ SQL = {
             FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
         SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM split LEFT JOIN kept USING (doc_id)""",
+    "op13_merkle": f"""
+        WITH RECURSIVE leaves AS (
+            SELECT doc_id, coalesce('1' || lang, '0') AS t, sha256({_ENCODED.format("n_chars")}) AS leaf,
+                   CASE WHEN {_CRC32.format("doc_id")} % 7 = 0 THEN sha256({_ENCODED.format("(n_chars + 1)")}) END AS shown
+            FROM documents),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY t) AS n
+            FROM leaves),
+        nodes(t, l, i, n, h) AS (
+            SELECT t, 0, i, n, leaf FROM placed
+            UNION ALL
+            SELECT t, l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY t, l, i // 2, n),
+        subroots AS (
+            SELECT t, h AS subroot, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+        tops(l, i, n, h) AS (
+            SELECT 0, i, n, subroot FROM subroots
+            UNION ALL
+            SELECT l + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY l, i // 2, n),
+        walk(t, start, l, i, h, proof) AS (
+            SELECT t, i, 0, i, coalesce(shown, leaf), '' FROM placed
+            UNION ALL
+            SELECT w.t, w.start, w.l + 1, w.i // 2,
+                   sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END), w.proof || coalesce(s.h, '')
+            FROM walk w JOIN nodes o ON o.t = w.t AND o.l = w.l AND o.i = w.i AND o.n > 1
+            LEFT JOIN nodes s ON s.t = w.t AND s.l = w.l AND s.i = xor(w.i, 1)),
+        climb(t, start, l, i, h, proof) AS (
+            SELECT t, start, 0, r.i, h, proof FROM (SELECT *, max(l) OVER (PARTITION BY t) AS top FROM walk) JOIN subroots r USING (t)
+            WHERE l = top
+            UNION ALL
+            SELECT w.t, w.start, w.l + 1, w.i // 2,
+                   sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END), w.proof || coalesce(s.h, '')
+            FROM climb w JOIN tops o ON o.l = w.l AND o.i = w.i AND o.n > 1 LEFT JOIN tops s ON s.l = w.l AND s.i = xor(w.i, 1))
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, c.h AS folded_root, c.h = root AS verified
+        FROM placed p JOIN subroots USING (t) CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
+        JOIN (SELECT *, max(l) OVER () AS top FROM climb) c ON c.t = p.t AND c.start = p.i AND c.l = c.top""",
 }
 
 
