@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, imi, merkle, minhash, packing, pii, quality, recompress, toxicity, warc
+from tradeloom.llm import bpe, brown, imi, licenses, merkle, minhash, packing, pii, quality, recompress, toxicity, warc
 from tradeloom.llm.common import documents
 
 
@@ -52,18 +52,26 @@ def op10_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(documents(spark, sf_dir))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.judged(documents(spark, sf_dir))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op5_multi_index, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown, op13_merkle)
+    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op5_multi_index, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown, op11_licenses, op13_merkle)
     return {f.__name__: f for f in found}
 
 
 _WORDS = "regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+')"
 _SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_KNOWN = licenses.Templates().all
+_TEMPLATES = ", ".join(f"({i}, '{t.label}', '{t.family}', {t.kind}, {t.size}, {t.needed})" for i, t in enumerate(_KNOWN))
+_TOKENS = ", ".join(f"({i}, '{w.decode()}')" for i, t in enumerate(_KNOWN) for w in sorted(t.words))
+
 _ENCODED = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{0}", "text"))
 
 # crc32 of a number's decimal digits: DuckDB has no such function.
@@ -111,6 +119,34 @@ SQL = {
             FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
         SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM split LEFT JOIN kept USING (doc_id)""",
+    "op11_licenses": f"""
+        WITH templates(no, label, family, class, size, needed) AS (VALUES {_TEMPLATES}),
+        tokens(no, word) AS (VALUES {_TOKENS}),
+        split AS (SELECT doc_id, coalesce(regexp_extract_all({_SMALL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM documents),
+        each AS (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM split),
+        places AS (
+            SELECT doc_id, i, CASE WHEN w[i + 1:i + 4] = ['under', 'the', 'mit', 'license'] THEN 'mit'
+                WHEN w[i + 1:i + 4] = ['apache', 'license', 'version', '2'] THEN 'apache-2'
+                WHEN w[i + 1:i + 3] = ['cc', 'by', 'nc'] THEN 'cc-by-nc' END AS label
+            FROM each),
+        base AS (
+            SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last, list(label) AS labels FROM places
+            WHERE label IS NOT NULL GROUP BY 1),
+        hits AS (SELECT doc_id, w[i + 1] AS word, i FROM each WHERE w[i + 1] IN (SELECT word FROM tokens)),
+        halves AS (SELECT DISTINCT doc_id, word, class, i // class AS b FROM hits CROSS JOIN (SELECT DISTINCT class FROM templates)),
+        blocks AS (SELECT * FROM halves UNION SELECT doc_id, word, class, b - 1 FROM halves WHERE b > 0),
+        found AS (
+            SELECT doc_id, b, t.*, count(*) AS overlap
+            FROM blocks JOIN tokens USING (word) JOIN templates t ON t.no = tokens.no AND t.class = blocks.class
+            GROUP BY ALL HAVING count(*) >= needed),
+        best AS (
+            SELECT * FROM (SELECT *, max(overlap) OVER (PARTITION BY doc_id, b, class, family) AS most FROM found) WHERE overlap = most),
+        more AS (SELECT doc_id, list(label) AS labels, max(overlap / size) AS score FROM best GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, first AS first_word, last AS last_word,
+               array_to_string(list_sort(list_distinct(coalesce(base.labels, []))), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
+               CASE WHEN n > 0 THEN 1.0 ELSE coalesce(score, 0.0) END::DOUBLE AS score
+        FROM split LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)""",
     "op13_merkle": f"""
         WITH RECURSIVE leaves AS (
             SELECT doc_id, coalesce('1' || lang, '0') AS t, sha256({_ENCODED.format("n_chars")}) AS leaf,
