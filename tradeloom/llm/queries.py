@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.llm import bpe, brown, imi, licenses, merkle, minhash, packing, pii, quality, recompress, toxicity, warc
+from tradeloom.llm import bpe, brown, imi, licenses, merkle, minhash, packing, pii, quality, recompress, toxicity, trie, warc
 from tradeloom.llm.common import documents
 
 
@@ -56,12 +56,16 @@ def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.judged(documents(spark, sf_dir))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op5_multi_index, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown, op11_licenses, op13_merkle)
+    found = (op1_quality, op2_bpe, op3_warc, op4_toxicity, op5_multi_index, op6_pii, op7_minhash, op8_recompression, op9_packing, op10_brown, op11_licenses, op12_trie, op13_merkle)
     return {f.__name__: f for f in found}
 
 
@@ -147,6 +151,30 @@ SQL = {
                array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
                CASE WHEN n > 0 THEN 1.0 ELSE coalesce(score, 0.0) END::DOUBLE AS score
         FROM split LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)""",
+    "op12_trie": f"""
+        WITH clean AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        whole AS (
+            SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS w
+            FROM clean GROUP BY 1),
+        heads AS (SELECT *, {_CRC32.format("conv_id")} % 6 AS h FROM whole),
+        built AS (
+            SELECT c.conv_id, list_concat(coalesce(b.w[1:h], []), c.w[h + 1:]) AS w
+            FROM heads c LEFT JOIN whole b ON b.conv_id = c.conv_id - c.conv_id % 100),
+        prefixes AS (SELECT conv_id, len(w) AS n, d, w[1:d] AS k FROM (SELECT *, unnest(range(0, len(w) + 1)) AS d FROM built)),
+        nodes AS (
+            SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d > 0 THEN length(k[d].text) ELSE 0 END AS chars,
+                   coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends
+            FROM prefixes GROUP BY k, d),
+        children AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+        own AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (k)),
+        above AS (SELECT *, k[1:a] AS top FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM own)),
+        sums AS (
+            SELECT top AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+            FROM above GROUP BY 1)
+        SELECT own.conv_id, own.d AS depth, p.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves, saved_tokens,
+               sha256(own.ends) AS ends_sha256
+        FROM own JOIN sums ON sums.k = own.k LEFT JOIN own p ON own.d > 0 AND p.k = own.k[1:own.d - 1]""",
     "op13_merkle": f"""
         WITH RECURSIVE leaves AS (
             SELECT doc_id, coalesce('1' || lang, '0') AS t, sha256({_ENCODED.format("n_chars")}) AS leaf,
