@@ -295,8 +295,20 @@ def tick_states(trades: DataFrame, snapshot_ms: int) -> DataFrame:
 def sector_snapshots(ticks: DataFrame, symbols: DataFrame, cfg: Settings) -> DataFrame:
     """State of every symbol at every tick, symbols without trades included.
 
-    ``symbols`` has one column ``s``. Ticks are multiples of the interval; the first one follows the first
-    trade. Days are accumulated first, so each (symbol, day) fills its own ticks independently.
+    ``symbols`` has one column ``s``. Ticks are multiples of the interval; the first one follows the first trade.
+    """
+    # One row per symbol; the ends of the whole feed come from a frame over these few rows.
+    own = ticks.groupBy("s").agg(F.min("first_t").alias("_from"), F.max("last_t").alias("_to"))
+    everyone = Window.partitionBy(F.lit(0))
+    reach = symbols.join(own, "s", "left").select("s", F.min("_from").over(everyone).alias("_t0"), F.max("_to").over(everyone).alias("_t1"))
+    reach = reach.withColumn("_t0", bucket("_t0", cfg.snapshot_ms) + 1).withColumn("_t1", bucket("_t1", cfg.snapshot_ms))
+    return snapshots_within(ticks, reach, cfg)
+
+
+def snapshots_within(ticks: DataFrame, reach: DataFrame, cfg: Settings) -> DataFrame:
+    """State of each key ``s`` of ``reach`` at its ticks from ``_t0`` to ``_t1``.
+
+    Days are accumulated first, so each (key, day) fills its own ticks independently.
     """
     step, per_day = cfg.snapshot_ms, max(DAY_MS // cfg.snapshot_ms, 1)
     daily = ticks.groupBy("s", bucket("tick", per_day).alias("_day")).agg(
@@ -305,23 +317,12 @@ def sector_snapshots(ticks: DataFrame, symbols: DataFrame, cfg: Settings) -> Dat
         F.sum("n").alias("_n"),
         F.sum("volume").alias("_volume"),
         F.max("last_t").alias("_last_t"),
-        F.min("first_t").alias("_first_t"),
-    )
-    # One row per symbol; the ends of the whole feed come from a frame over these few rows.
-    reach = symbols.join(
-        daily.groupBy("s").agg(F.min("_first_t").alias("_from"), F.max("_last_t").alias("_to")), "s", "left"
     )
-    everyone = Window.partitionBy(F.lit(0))
-    days = (
-        reach.withColumn("_t0", F.min("_from").over(everyone))
-        .withColumn("_t1", F.max("_to").over(everyone))
-        .withColumn("_t0", bucket("_t0", step) + 1)
-        .withColumn("_t1", bucket("_t1", step))
-        .filter(F.col("_t1") >= F.col("_t0"))
-        .withColumn("_day", F.explode(F.sequence(bucket("_t0", per_day), bucket("_t1", per_day))))
+    days = reach.filter(F.col("_t1") >= F.col("_t0")).withColumn(
+        "_day", F.explode(F.sequence(bucket("_t0", per_day), bucket("_t1", per_day)))
     )
     before = Window.partitionBy("s").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = days.join(daily.drop("_first_t"), ["s", "_day"], "left").select(
+    inherited = days.join(daily, ["s", "_day"], "left").select(
         "s",
         "_day",
         "_t0",
@@ -345,7 +346,7 @@ def sector_snapshots(ticks: DataFrame, symbols: DataFrame, cfg: Settings) -> Dat
         "_grid",
         F.coalesce(F.col("_open"), F.first("open", True).over(so_far)).alias("open_price"),
         F.coalesce(F.last("last", True).over(so_far), F.col("_last")).alias("last_price"),
-        (F.coalesce("_n", F.lit(0)) + F.coalesce(F.sum("n").over(so_far), F.lit(0))).cast("int").alias("trade_count"),
+        (F.coalesce("_n", F.lit(0)) + F.coalesce(F.sum("n").over(so_far), F.lit(0))).alias("trade_count"),
         (F.coalesce("_volume", F.lit(0.0)) + F.coalesce(F.sum("volume").over(so_far), F.lit(0.0))).alias("total_volume"),
         F.coalesce(F.max("last_t").over(so_far), F.col("_last_t")).alias("last_trade_ts"),
     )
@@ -356,7 +357,7 @@ def sector_snapshots(ticks: DataFrame, symbols: DataFrame, cfg: Settings) -> Dat
         "last_price",
         "open_price",
         half_even((F.col("last_price") - F.col("open_price")) / F.col("open_price") * 100, 3).alias("pct_change"),
-        "trade_count",
+        F.col("trade_count").cast("int").alias("trade_count"),
         "total_volume",
         "last_trade_ts",
         F.coalesce(at - F.col("last_trade_ts") > cfg.stale_ms, F.lit(False)).alias("is_stale"),
@@ -424,18 +425,30 @@ def since(signals: DataFrame, start_ms: int) -> DataFrame:
     return signals.filter(F.col("trade_ts") >= start_ms)
 
 
+#: Between a symbol and the number of its session, which together stand in for the symbol.
+SESSION_MARK = "\x1f"
+
+
+def apart(trades: DataFrame, gap_ms: int) -> DataFrame:
+    """Trades whose symbol is joined with its session's number."""
+    return with_sessions(trades, gap_ms).withColumn("s", F.concat_ws(SESSION_MARK, "s", "session_id")).drop("session_id")
+
+
+def session_shown(rows: DataFrame) -> DataFrame:
+    """Symbol and ``session_id`` again as two columns."""
+    session = F.substring_index("symbol", SESSION_MARK, -1).cast("bigint")
+    return rows.withColumn("session_id", session).withColumn("symbol", F.substring_index("symbol", SESSION_MARK, 1))
+
+
 def detect_in_sessions(
     trades: DataFrame, cfg: Settings, gap_ms: int, detectors: Sequence[Detector] | None = None
 ) -> DataFrame:
     """Signals of any detectors that start anew with each session, with ``session_id``.
 
-    A symbol's session stands in for the symbol, so no window, candle or cooldown reaches across a silence.
+    A symbol's session stands in for the symbol, so no window, candle or cooldown reaches across a silence. For history,
+    ``plans.gold.SessionPipeline`` gives the same for the three built-in ones and writes the steps between once.
     """
-    mark = "\x1f"
-    apart = with_sessions(trades, gap_ms).withColumn("s", F.concat_ws(mark, "s", "session_id")).drop("session_id")
-    found = detect(apart, cfg, DETECTORS if detectors is None else detectors)
-    session = F.substring_index("symbol", mark, -1).cast("bigint")
-    return found.withColumn("session_id", session).withColumn("symbol", F.substring_index("symbol", mark, 1))
+    return session_shown(detect(apart(trades, gap_ms), cfg, DETECTORS if detectors is None else detectors))
 
 
 def warm_start(trades: DataFrame, cfg: Settings, start_ms: int, detectors: Sequence[Detector] | None = None) -> DataFrame:

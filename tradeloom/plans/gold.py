@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradeloom.config import Settings
 from tradeloom.functions.columns import ms_to_ts
 from tradeloom.operators import detectors as d
+from tradeloom.operators import sessions
 from tradeloom.schemas import GOLD_TABLES, column_names
 from tradeloom.storage import Stage
 
@@ -156,3 +157,28 @@ class Pipeline:
     @property
     def sector_snapshots(self) -> DataFrame:
         return self.gold("sector_snapshots")
+
+
+class SessionPipeline(Pipeline):
+    """The same for a feed with silences: detectors, features and snapshots start anew after each that is longer than ``gap_ms``.
+
+    The trades are stored once with their session, which stands in for the symbol in the tables that it builds.
+    """
+
+    def __init__(self, spark: SparkSession, trades: DataFrame, name: str, cfg: Settings, gap_ms: int):
+        super().__init__(spark, trades, f"{name} apart {gap_ms}", cfg)
+        self.gap_ms = gap_ms
+        self.trades = self.stage.table("trades", lambda: d.apart(trades, gap_ms))
+
+    @cached_property
+    def signals(self) -> DataFrame:
+        """The signals of the three detectors, with ``session_id``."""
+        found = d.unify(self.volume(), self.momentum(), self.volatility())
+        return self.stage.table("signals", lambda: d.session_shown(found))
+
+    def features(self) -> DataFrame:
+        """The features to score each signal by."""
+        return sessions.features_in_sessions(self.trades, self.cfg, self.signals)
+
+    def snapshots(self) -> DataFrame:
+        return sessions.snapshots_in_sessions(self.ticks, d.symbol_table(self.spark, self.cfg.symbols), self.cfg, self.gap_ms)

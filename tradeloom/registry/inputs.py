@@ -6,6 +6,7 @@ The feed is sparse, so every market duration is stretched a hundredfold.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ CFG = Settings(symbols=("click", "error", "purchase", "signup", "view")).scaled(
 AS_OF = datetime(2024, 1, 30, 23, 59, 59)
 DAY = date(2024, 1, 18)
 
-_pipelines: dict[tuple[str, str], Pipeline] = {}
+_pipelines: dict[tuple[str, ...], Pipeline] = {}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,11 +51,17 @@ def stand_in_score(signals: DataFrame) -> DataFrame:
     )
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _pipelines:
-        _pipelines[key] = Pipeline(
-            spark, trades(spark, sf_dir), f"events:{sf_dir}", CFG, stand_in_score, ts_literal(AS_OF)
-        )
+def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Pipeline]) -> Pipeline:
+    """A pipeline and its stage tables, made once per application."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _pipelines:
+        _pipelines[key] = build()
     return _pipelines[key]
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
+    def build() -> Pipeline:
+        return Pipeline(spark, trades(spark, sf_dir), f"events:{sf_dir}", CFG, stand_in_score, ts_literal(AS_OF))
+
+    return once(spark, sf_dir, "events", build)

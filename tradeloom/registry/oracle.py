@@ -551,7 +551,7 @@ CTES["replay_trades"] = f"SELECT * FROM trades WHERE t >= {_START} - {C.warm_sta
 CTES["session_trades"] = """
     SELECT s || '#' || sum(brk) OVER (PARTITION BY s ORDER BY t, seq ROWS UNBOUNDED PRECEDING) AS s, p, v, t, seq
     FROM (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY s ORDER BY t, seq) > 6000000, false)::INT AS brk FROM trades)"""
-_STEPS = ("rolled", "volume_cands", "volatility_cands", "bars", "completed", "momentum_cands")
+_STEPS = ("rolled", "volume_cands", "volatility_cands", "bars", "completed", "momentum_cands", "last_hundred", "snapshots")
 for _kind in ("replay", "session"):
     for _step in _STEPS:
         CTES[f"{_kind}_{_step}"] = re.sub(rf"\b({'|'.join(('trades', *_STEPS))})\b", rf"{_kind}_\1", CTES[_step])
@@ -576,6 +576,35 @@ SQL["warm_start_replay"] = f"SELECT * FROM ({_every_kind('replay', 'symbol, trad
 SQL["session_signals"] = f"""
     SELECT * REPLACE (split_part(symbol, '#', 1) AS symbol), split_part(symbol, '#', 2)::BIGINT AS session_id
     FROM ({_every_kind('session', 'symbol, trade_ts, seq')})"""
+SQL["warm_start_snapshots"] = f"""
+    SELECT * REPLACE ({r4("total_volume")} AS total_volume) FROM replay_snapshots WHERE snapshot_ms >= {_START}"""
+SQL["session_features"] = f"""
+    SELECT * REPLACE (split_part(symbol, '#', 1) AS symbol), split_part(symbol, '#', 2)::BIGINT AS session_id
+    FROM (SELECT {_feature_out('t, seq')} FROM session_last_hundred JOIN (
+        SELECT symbol, trade_ts AS t, seq FROM session_volume_kept UNION SELECT symbol, trade_ts, seq FROM session_momentum_kept
+        UNION SELECT symbol, trade_ts, seq FROM session_volatility_kept) USING (symbol, t, seq))"""
+SQL["session_snapshots"] = f"""
+    WITH folds AS (
+        SELECT split_part(s, '#', 1) AS s, split_part(s, '#', 2)::BIGINT AS sid, (t + {C.snapshot_ms - 1}) // {C.snapshot_ms} AS tick,
+               first(p ORDER BY t, seq) AS open_p, last(p ORDER BY t, seq) AS last_p, count(*) AS n, sum(v) AS vol, max(t) AS last_t
+        FROM session_trades GROUP BY ALL),
+    grid AS (
+        SELECT s, unnest(range(lo, hi + 1)) AS tick FROM (SELECT DISTINCT s FROM folds)
+        CROSS JOIN (SELECT min(t) // {C.snapshot_ms} + 1 AS lo, max(t) // {C.snapshot_ms} AS hi FROM trades)),
+    present AS (
+        SELECT g.*, f.* EXCLUDE (s, tick), max(sid) OVER (PARTITION BY g.s ORDER BY g.tick) AS cur
+        FROM grid g LEFT JOIN folds f USING (s, tick)),
+    summed AS (
+        SELECT s, tick, first_value(open_p IGNORE NULLS) OVER w AS open_price, last_value(last_p IGNORE NULLS) OVER w AS last_price,
+               sum(n) OVER w AS n, sum(vol) OVER w AS vol, max(last_t) OVER w AS last_t
+        FROM present WHERE cur IS NOT NULL
+        WINDOW w AS (PARTITION BY s, cur ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    unbroken AS (SELECT * FROM summed WHERE tick * {C.snapshot_ms} - last_t <= 6000000)
+    SELECT g.tick * {C.snapshot_ms} AS snapshot_ms, g.s AS symbol, last_price, open_price,
+           {he("(last_price - open_price) / open_price * 100", 3)} AS pct_change, coalesce(n, 0)::INT AS trade_count,
+           {r4("coalesce(vol, 0.0)")} AS total_volume, last_t AS last_trade_ts,
+           coalesce(g.tick * {C.snapshot_ms} - last_t > {C.stale_ms}, false) AS is_stale
+    FROM grid g LEFT JOIN unbroken l ON l.s = g.s AND l.tick = g.tick"""
 
 
 def oracle_sql() -> dict[str, str]:

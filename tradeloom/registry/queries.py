@@ -16,7 +16,8 @@ from tradeloom.operators import evaluation, features, iforest
 from tradeloom.operators.cooldown import cooldown_thin
 from tradeloom.plans import dashboard as q
 from tradeloom.plans import presentation as show
-from tradeloom.registry.inputs import AS_OF, CFG, DAY, events, pipeline, price, stand_in_score, trades
+from tradeloom.plans.gold import Pipeline, SessionPipeline
+from tradeloom.registry.inputs import AS_OF, CFG, DAY, events, once, pipeline, price, stand_in_score, trades
 from tradeloom.schemas import FEATURE_COLS
 from tradeloom.sources import ingest, medallion
 
@@ -422,22 +423,53 @@ def session_reset(spark, sf_dir):
     return found.select("symbol", "session_id", "trade_ts", "spike_ratio", "window_trade_count")
 
 
+def _restarted(spark, sf_dir) -> tuple[Pipeline, int]:
+    """The detectors restarted at midnight, with what they replay."""
+    start = int((datetime(DAY.year, DAY.month, DAY.day) - datetime(1970, 1, 1)).total_seconds() * 1000)
+    replayed = d.replay_from(trades(spark, sf_dir), start, CFG.warm_start_ms)
+    return once(spark, sf_dir, "restarted", lambda: Pipeline(spark, replayed, f"restarted:{sf_dir}", CFG)), start
+
+
+def _in_sessions(spark, sf_dir) -> SessionPipeline:
+    rows = trades(spark, sf_dir)
+    return once(spark, sf_dir, "sessions", lambda: SessionPipeline(spark, rows, f"sessions:{sf_dir}", CFG, 6_000_000))
+
+
 @query
 def warm_start_replay(spark, sf_dir):
-    """The detectors restarted at midnight."""
-    start = int((datetime(DAY.year, DAY.month, DAY.day) - datetime(1970, 1, 1)).total_seconds() * 1000)
-    return d.warm_start(trades(spark, sf_dir), CFG, start).select(
+    """Signals of the detectors restarted at midnight."""
+    p, start = _restarted(spark, sf_dir)
+    return d.since(d.unify(p.volume(), p.momentum(), p.volatility()), start).select(
         "signal_type", "symbol", "trade_ts", "seq", "spike_ratio", "pct_change", "z_score"
     )
 
 
+@query
+def warm_start_snapshots(spark, sf_dir):
+    """Snapshots of the sector detector restarted at midnight."""
+    p, start = _restarted(spark, sf_dir)
+    return rounded(p.snapshots().filter(F.col("snapshot_ms") >= start), "total_volume")
+
+
 @query
 def session_signals(spark, sf_dir):
     """Signals of all detectors, which start anew after a silence."""
-    found = d.detect_in_sessions(trades(spark, sf_dir), CFG, 6_000_000)
+    found = _in_sessions(spark, sf_dir).signals
     return found.select("signal_type", "symbol", "session_id", "trade_ts", "seq", "spike_ratio", "pct_change", "z_score")
 
 
+@query
+def session_features(spark, sf_dir):
+    """The features to score those signals by, from trades of the same session."""
+    return rounded(_in_sessions(spark, sf_dir).features(), *_FEATURE_ROUNDED)
+
+
+@query
+def session_snapshots(spark, sf_dir):
+    """Snapshots of sessions; between them a symbol is like one without trades."""
+    return rounded(_in_sessions(spark, sf_dir).snapshots(), "total_volume")
+
+
 @query
 def all_signals(spark, sf_dir):
     """The three detectors as one feed."""

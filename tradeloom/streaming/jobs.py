@@ -74,6 +74,44 @@ def trades_from_values(values: DataFrame, seq: Column) -> DataFrame:
     return ingest.parse_trades(values.withColumn("seq", seq), "value", ("seq",)).filter(F.col("t").isNotNull())
 
 
+def timed(trades: DataFrame, lateness: str) -> DataFrame:
+    """Trades with their event time ``ts`` and its watermark, unless they have it already."""
+    if "ts" in trades.columns:
+        return trades
+    return trades.withColumn("ts", ms_to_ts(F.col("t"))).withWatermark("ts", lateness)
+
+
+def lateness_of(cfg: Settings, lateness: str | None) -> str:
+    """How late a trade may be: as late as ingest accepts it, unless told otherwise."""
+    return f"{cfg.ingest_staleness} milliseconds" if lateness is None else lateness
+
+
+def distinct_trades(trades: DataFrame, cfg: Settings, lateness: str | None = None) -> DataFrame:
+    """Each trade of the raw stream once, however often its record is delivered.
+
+    The raw stream delivers at least once; a record keeps its arrival number, so a symbol's number that was seen before is dropped.
+    Numbers are held as long as a trade may be late; a copy that comes after that is behind the watermark and is dropped as late.
+    All consumers after this share its watermark.
+    """
+    return timed(trades, lateness_of(cfg, lateness)).dropDuplicatesWithinWatermark(["s", "seq"])
+
+
+def heartbeat(spark: SparkSession, symbols: Sequence[str], every_s: int = 10) -> DataFrame:
+    """A row without a price for each symbol, again and again, stamped by the clock."""
+    beats = spark.readStream.format("rate").option("rowsPerSecond", 1).load().filter(F.col("value") % every_s == 0)
+    at = F.unix_millis("timestamp")
+    none = F.lit(None).cast("double")
+    # no trade has a negative arrival number
+    return beats.select(F.explode(F.array(*map(F.lit, symbols))).alias("s"), none.alias("p"), none.alias("v"), at.alias("t"), (-at).alias("seq"))
+
+
+def with_heartbeat(trades: DataFrame, beats: DataFrame) -> DataFrame:
+    """Trades and heartbeats as one stream for the snapshots, which then report every symbol from the start and go on while the
+    feed is silent. Comes before ``distinct_trades``, so that both share a watermark."""
+    columns = ("s", "p", "v", "t", "seq")
+    return trades.select(*columns).unionByName(beats.select(*columns))
+
+
 # ---- consumers of the raw stream ----------------------------------------------------------------
 
 
@@ -94,9 +132,9 @@ def archive_bronze(values: DataFrame, path: str, checkpoint: str, once: bool = F
 def stream_candles(trades: DataFrame, cfg: Settings, lateness: str = "60 seconds") -> DataFrame:
     """Candles as a watermarked tumbling window; a candle appears once it can no longer change."""
     arrival = F.struct("t", "seq")
-    timed = trades.withColumn("ts", ms_to_ts(F.col("t"))).withWatermark("ts", lateness)
     return (
-        timed.groupBy("s", F.window("ts", f"{cfg.candle_ms} milliseconds").alias("w"))
+        timed(trades, lateness)
+        .groupBy("s", F.window("ts", f"{cfg.candle_ms} milliseconds").alias("w"))
         .agg(
             F.min_by("p", arrival).alias("open"),
             F.max("p").alias("high"),
@@ -139,36 +177,58 @@ def store_features(trades: DataFrame, path: str, checkpoint: str, once: bool = F
 
 
 def detect_signals(
-    trades: DataFrame, cfg: Settings, warm: DataFrame | None = None, plugins: Mapping[str, Plugin] | None = None
+    trades: DataFrame,
+    cfg: Settings,
+    warm: DataFrame | None = None,
+    plugins: Mapping[str, Plugin] | None = None,
+    gap_ms: int | None = None,
+    lateness: str | None = None,
 ) -> DataFrame:
     """Signals of the three trade-driven detectors, and of any plugged in, with the features to score them by, with
     state per symbol.
 
     ``warm`` holds trades from before the start, such as ``medallion.recent_bronze``; they set the state of a new query
-    and their own signals are dropped.
+    and their own signals are dropped. With ``gap_ms`` a symbol's detectors and latest trades start anew after a silence longer
+    than that, as ``sessions.detect_in_sessions`` does; trades later than ``lateness`` are then dropped.
     """
     schema = StructType.fromDDL(f"{UNIFIED_SIGNAL}, " + ", ".join(f"{c} double" for c in FEATURE_COLS))
     trades.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if gap_ms is not None:
+        trades = timed(trades, lateness_of(cfg, lateness))
     return trades.groupBy("s").transformWithStateInPandas(
-        statefulProcessor=SignalProcessor(cfg, schema.names, plugins),
+        statefulProcessor=SignalProcessor(cfg, schema.names, plugins, gap_ms),
         outputStructType=schema,
         outputMode="Append",
-        timeMode="None",
+        timeMode="None" if gap_ms is None else "EventTime",
         initialState=None if warm is None else warm.select("s", "p", "v", "t", "seq").groupBy("s"),
     )
 
 
-def detect_snapshots(trades: DataFrame, cfg: Settings, lateness: str | None = None) -> DataFrame:
+def detect_snapshots(
+    trades: DataFrame,
+    cfg: Settings,
+    lateness: str | None = None,
+    gap_ms: int | None = None,
+    warm: DataFrame | None = None,
+    start_ms: int | None = None,
+) -> DataFrame:
     """A row per symbol and tick, driven by event time.
 
-    A tick waits for trades that are as late as ingest accepts them, unless another ``lateness`` is given.
+    A tick waits for trades that are as late as ingest accepts them, unless another ``lateness`` is given. ``warm`` holds trades
+    from before ``start_ms``: a new query goes on from the state that they give, with the first tick from there on. With
+    ``gap_ms`` a symbol's session ends after a silence longer than that. A symbol is reported from its first row on, be it a
+    trade, one of ``warm`` or a heartbeat.
     """
-    lateness = f"{cfg.ingest_staleness} milliseconds" if lateness is None else lateness
+    if (warm is None) != (start_ms is None):
+        raise ValueError("trades from before the start need the time of the start")
     trades.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     schema = StructType.fromDDL("snapshot_ms bigint, " + SNAPSHOT_ENTRY)
-    timed = trades.withColumn("ts", ms_to_ts(F.col("t"))).withWatermark("ts", lateness)
-    return timed.groupBy("s").transformWithStateInPandas(
-        statefulProcessor=SnapshotProcessor(cfg), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    return timed(trades, lateness_of(cfg, lateness)).groupBy("s").transformWithStateInPandas(
+        statefulProcessor=SnapshotProcessor(cfg, gap_ms, start_ms),
+        outputStructType=schema,
+        outputMode="Append",
+        timeMode="EventTime",
+        initialState=None if warm is None else warm.filter(F.col("t") < start_ms).select("s", "p", "v", "t", "seq").groupBy("s"),
     )
 
 

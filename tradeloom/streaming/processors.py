@@ -35,6 +35,12 @@ def stable_round(x: float, digits: int) -> float:
     return float(Decimal(repr(round(float(x), 9))).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_EVEN))
 
 
+def in_order(chunks: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Time, price, volume and arrival number of a batch's trades, in order of time and arrival."""
+    new = pd.concat(list(chunks), ignore_index=True).sort_values(["t", "seq"], kind="stable")
+    return tuple(new[c].to_numpy(dtype=d) for c, d in (("t", np.int64), ("p", float), ("v", float), ("seq", np.int64)))
+
+
 def trailing(t: np.ndarray, p: np.ndarray, v: np.ndarray, width: int) -> dict[str, np.ndarray]:
     """Window statistics of every row of time-sorted arrays; a window is ``[t - width, t]`` up to the row."""
     here = np.arange(len(t))
@@ -73,10 +79,15 @@ class SignalProcessor(StatefulProcessor):
 
     ``plugins`` adds detectors by signal type: ``find(symbol, t, p, v, state)`` gets a batch's trades in order and a
     dictionary that it may change, kept as JSON, and returns the fields of each signal with ``row``, its trade.
+
+    With ``gap_ms`` everything starts anew, plugins and the latest trades included, after a silence longer than that. A timer
+    also clears the state of a symbol that stays silent.
     """
 
-    def __init__(self, cfg: Settings, columns: list[str], plugins: Mapping[str, Plugin] | None = None):
-        self.cfg, self.columns, self.plugins = cfg, columns, dict(plugins or {})
+    def __init__(
+        self, cfg: Settings, columns: list[str], plugins: Mapping[str, Plugin] | None = None, gap_ms: int | None = None
+    ):
+        self.cfg, self.columns, self.plugins, self.gap_ms = cfg, columns, dict(plugins or {}), gap_ms
         self.width = max(cfg.volume_window_ms, cfg.volatility_window_ms)
         self.slice_ms = max(self.width // 10, 1)
 
@@ -92,6 +103,9 @@ class SignalProcessor(StatefulProcessor):
         )
         if self.plugins:
             self.plugged = handle.getMapState("plugins", "signal_type string", "state string")
+        if self.gap_ms is not None:
+            self.handle = handle
+            self.heard = handle.getValueState("heard", "t bigint")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         """Trades from before the start: they set the state, and their signals are dropped."""
@@ -99,9 +113,36 @@ class SignalProcessor(StatefulProcessor):
             pass
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        symbol = key[0]
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "seq"], kind="stable")
-        t, p, v = (new[c].to_numpy(dtype=d) for c, d in (("t", np.int64), ("p", float), ("v", float)))
+        t, p, v, _ = in_order(rows)
+        for start, end, is_new in self._sessions(t):
+            if is_new:
+                self._clear()
+            yield from self._detect(key[0], t[start:end], p[start:end], v[start:end])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.heard.exists() and self.heard.get()[0] + self.gap_ms < timerValues.getCurrentWatermarkInMs():
+            self._clear()
+            self.heard.clear()
+        return iter(())
+
+    def _sessions(self, t: np.ndarray) -> list[tuple[int, int, bool]]:
+        """Runs of trades without a silence between them, and whether a silence came before."""
+        if self.gap_ms is None:
+            return [(0, len(t), False)]
+        before = int(self.heard.get()[0]) if self.heard.exists() else None
+        newest = np.maximum.accumulate(np.concatenate([[t[0] if before is None else before], t]))
+        starts = [0, *(i for i in np.flatnonzero(t - newest[:-1] > self.gap_ms).tolist() if i), len(t)]
+        if before is not None:
+            self.handle.deleteTimer(before + self.gap_ms + 1)
+        self.heard.update((int(newest[-1]),))
+        self.handle.registerTimer(int(newest[-1]) + self.gap_ms + 1)
+        return [(a, b, bool(t[a] - newest[a] > self.gap_ms)) for a, b in zip(starts, starts[1:])]
+
+    def _clear(self) -> None:
+        for state in (self.tail, self.recent, self.fired, self.bars, *([self.plugged] if self.plugins else [])):
+            state.clear()
+
+    def _detect(self, symbol, t, p, v) -> Iterator[pd.DataFrame]:
         fired = self.fired.get() if self.fired.exists() else (None, None, None)
         last = [_NEVER if x is None else int(x) for x in fired]
 
@@ -276,78 +317,122 @@ class SignalProcessor(StatefulProcessor):
         pass
 
 
+#: Trades of one tick, or of a whole session, folded: first and last price, count, volume, and when they came.
+FOLD = "open double, last double, n bigint, volume double, first_t bigint, first_seq bigint, last_t bigint, last_seq bigint"
+
+
+def fold_of(t: np.ndarray, p: np.ndarray, v: np.ndarray, seq: np.ndarray) -> tuple:
+    """The fold of trades in order."""
+    ends = (int(t[0]), int(seq[0]), int(t[-1]), int(seq[-1]))
+    return (float(p[0]), float(p[-1]), len(t), float(v.sum()), *ends)
+
+
+def merged(a: tuple, b: tuple) -> tuple:
+    """The fold of both, whichever came first."""
+    first, last = min((x[4:6], x[0]) for x in (a, b)), max((x[6:8], x[1]) for x in (a, b))
+    return (first[1], last[1], a[2] + b[2], a[3] + b[3], *first[0], *last[0])
+
+
+def snapshot_row(symbol: str, at: int, fold: tuple | None, cfg: Settings) -> dict:
+    """A symbol's entry of a snapshot; without trades its prices are null and it isn't stale."""
+    open_, last, n, volume, last_t = (*fold[:4], fold[6]) if fold else (None, None, 0, 0.0, None)
+    change = stable_round((last - open_) / open_ * 100, 3) if open_ else None
+    return {
+        "snapshot_ms": at, "symbol": symbol, "last_price": last, "open_price": open_, "pct_change": change, "trade_count": n,
+        "total_volume": volume, "last_trade_ts": last_t, "is_stale": last_t is not None and at - last_t > cfg.stale_ms,
+    }
+
+
+def as_frame(rows: list[dict]) -> pd.DataFrame:
+    """As objects, so that absent numbers stay null."""
+    return pd.DataFrame({c: pd.Series([r[c] for r in rows], dtype=object) for c in rows[0]})
+
+
 class SnapshotProcessor(StatefulProcessor):
     """Session state of one symbol at every tick.
 
     Trades are folded per tick and a tick is emitted by a timer once the watermark has passed it. The watermark
     is the same for all symbols, so a tick appears in one batch for all of them, silent ones included.
+
+    A row without a price is a heartbeat: the symbol is reported from its tick on, trade or no trade. With ``gap_ms`` a symbol's
+    session ends after a silence longer than that; until its next trade it is reported like one without trades.
     """
 
-    def __init__(self, cfg: Settings):
-        self.cfg = cfg
+    def __init__(self, cfg: Settings, gap_ms: int | None = None, start_ms: int | None = None):
+        if gap_ms is not None and gap_ms < cfg.snapshot_ms:
+            raise ValueError("a silence that ends a session must be as long as a tick at least")
+        self.cfg, self.gap_ms, self.start_ms = cfg, gap_ms, start_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.session = handle.getValueState(
-            "session", "open double, last double, n bigint, volume double, last_t bigint, next_tick bigint"
-        )
-        self.pending = handle.getMapState(
-            "pending", "tick bigint", "open double, last double, n bigint, volume double, first_t bigint, last_t bigint"
-        )
+        self.due = handle.getValueState("due", "tick bigint")
+        self.session = handle.getValueState("session", FOLD)
+        self.pending = handle.getMapState("pending", "tick bigint", FOLD)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """Trades from before ``start_ms``: those of ticks before it are the session so far, and the first tick from it on is due."""
+        self._add(iter([initialState]))
+        first = -(-self.start_ms // self.cfg.snapshot_ms)
+        session = self.session.get() if self.session.exists() else None
+        for tick in sorted(k[0] for k in self.pending.keys()):
+            if tick < first:
+                session = self._after(session, tick)
+        if session:
+            self.session.update(session)
+        self._expect(first)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        step = self.cfg.snapshot_ms
-        new = pd.concat(list(rows), ignore_index=True).sort_values(["t", "seq"], kind="stable")
-        t, p, v = (new[c].to_numpy(dtype=d) for c, d in (("t", np.int64), ("p", float), ("v", float)))
-        ticks, starts = np.unique(-(-t // step), return_index=True)
-        first = int(ticks[0])
-        if not self.session.exists():
-            self.session.update((None, None, 0, 0.0, None, first))
-            self.handle.registerTimer(first * step)
-        else:
-            *state, due = self.session.get()
-            if state[0] is None and first < due:  # nothing was emitted yet, and an earlier trade came late
-                self.handle.deleteTimer(due * step)
-                self.session.update((*state, first))
-                self.handle.registerTimer(first * step)
-        for tick, a, b in zip(ticks, starts, [*starts[1:], len(t)]):
-            fold = (float(p[a]), float(p[b - 1]), int(b - a), float(v[a:b].sum()), int(t[a]), int(t[b - 1]))
-            if self.pending.containsKey((int(tick),)):
-                old = self.pending.getValue((int(tick),))
-                early = old if old[4] <= fold[4] else fold
-                newest = fold if fold[5] >= old[5] else old
-                fold = (early[0], newest[1], old[2] + fold[2], old[3] + fold[3], early[4], newest[5])
-            self.pending.updateValue((int(tick),), fold)
+        first = self._add(rows)
+        if not self.due.exists() or first < self.due.get()[0]:  # an earlier trade came late, before anything was reported
+            self._expect(first)
         return iter(())
 
+    def _add(self, rows: Iterator[pd.DataFrame]) -> int:
+        """Fold trades into their ticks; returns the first tick of any row."""
+        step = self.cfg.snapshot_ms
+        new = pd.concat(list(rows), ignore_index=True)
+        trades = new[new["p"].notna()]
+        if len(trades):
+            t, p, v, seq = in_order(iter([trades]))
+            ticks, starts = np.unique(-(-t // step), return_index=True)
+            for tick, a, b in zip(ticks.tolist(), starts, [*starts[1:], len(t)]):
+                fold = fold_of(t[a:b], p[a:b], v[a:b], seq[a:b])
+                if self.pending.containsKey((tick,)):
+                    fold = merged(tuple(self.pending.getValue((tick,))), fold)
+                self.pending.updateValue((tick,), fold)
+        return -(-int(new["t"].min()) // step)
+
+    def _expect(self, tick: int) -> None:
+        if self.due.exists():
+            self.handle.deleteTimer(self.due.get()[0] * self.cfg.snapshot_ms)
+        self.due.update((tick,))
+        self.handle.registerTimer(tick * self.cfg.snapshot_ms)
+
+    def _after(self, session: tuple | None, tick: int) -> tuple | None:
+        """The session after a tick: its trades are taken from what is pending."""
+        gap = float("inf") if self.gap_ms is None else self.gap_ms
+        if not self.pending.containsKey((tick,)):
+            return session if session and tick * self.cfg.snapshot_ms - session[6] <= gap else None
+        fold = tuple(self.pending.getValue((tick,)))
+        self.pending.removeKey((tick,))
+        return merged(session, fold) if session and fold[4] - session[6] <= gap else fold
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         step, out = self.cfg.snapshot_ms, []
-        open_, last, n, volume, last_t, tick = self.session.get()
+        session = tuple(self.session.get()) if self.session.exists() else None
+        tick = self.due.get()[0]
         while tick * step < timerValues.getCurrentWatermarkInMs():
-            if self.pending.containsKey((tick,)):
-                fold = self.pending.getValue((tick,))
-                self.pending.removeKey((tick,))
-                open_ = fold[0] if open_ is None else open_
-                last, n, volume, last_t = fold[1], n + fold[2], volume + fold[3], fold[5]
-            at = tick * step
-            out.append(
-                {
-                    "snapshot_ms": at,
-                    "symbol": key[0],
-                    "last_price": last,
-                    "open_price": open_,
-                    "pct_change": stable_round((last - open_) / open_ * 100, 3) if open_ else 0.0,
-                    "trade_count": n,
-                    "total_volume": volume,
-                    "last_trade_ts": last_t,
-                    "is_stale": at - last_t > self.cfg.stale_ms,
-                }
-            )
+            session = self._after(session, tick)
+            out.append(snapshot_row(key[0], tick * step, session, self.cfg))
             tick += 1
-        self.session.update((open_, last, n, volume, last_t, tick))
+        if session:
+            self.session.update(session)
+        else:
+            self.session.clear()
+        self.due.update((tick,))
         self.handle.registerTimer(tick * step)
         if out:
-            yield pd.DataFrame(out)
+            yield as_frame(out)
 
     def close(self) -> None:
         pass
@@ -356,7 +441,8 @@ class SnapshotProcessor(StatefulProcessor):
 class TimedSnapshotProcessor(StatefulProcessor):
     """Session state of one symbol at every interval of the clock, also while no trade comes in.
 
-    Trades count in order of arrival, and a snapshot is stamped with the time at which it was due.
+    The first and last price are those of the least and the greatest arrival number, and a snapshot is stamped with the time at
+    which it was due. A row without a price is a heartbeat, from which on the symbol is reported.
     """
 
     def __init__(self, cfg: Settings):
@@ -364,43 +450,35 @@ class TimedSnapshotProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.session = handle.getValueState("session", "open double, last double, n bigint, volume double, last_t bigint")
+        self.session = handle.getValueState("session", FOLD)
+        self.started = handle.getValueState("started", "at bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        step = self.cfg.snapshot_ms
-        if self.session.exists():
-            open_, last, n, volume, last_t = self.session.get()
-        else:
-            open_, last, n, volume, last_t = None, None, 0, 0.0, None
-            self.handle.registerTimer((timerValues.getCurrentProcessingTimeInMs() // step + 1) * step)
-        for new in rows:
-            new = new.sort_values("seq", kind="stable")
-            open_ = float(new["p"].iloc[0]) if open_ is None else open_
-            last, n, volume = float(new["p"].iloc[-1]), n + len(new), volume + float(new["v"].sum())
-            last_t = int(new["t"].max()) if last_t is None else max(last_t, int(new["t"].max()))
-        self.session.update((open_, last, n, volume, last_t))
+        step, now = self.cfg.snapshot_ms, timerValues.getCurrentProcessingTimeInMs()
+        if not self.started.exists():
+            self.started.update((now,))
+            self.handle.registerTimer((now // step + 1) * step)
+        session = tuple(self.session.get()) if self.session.exists() else None
+        for chunk in rows:
+            new = chunk[chunk["p"].notna()].sort_values("seq", kind="stable")
+            if len(new):
+                t, p, v, seq = (new[c].to_numpy(dtype=d) for c, d in (("t", np.int64), ("p", float), ("v", float), ("seq", np.int64)))
+                # by arrival alone, so the number stands in for the time; the time kept is the latest
+                fold = fold_of(seq, p, v, seq)
+                latest = max(int(t.max()), session[6] if session else 0)
+                before = session and (*session[:4], session[5], session[5], session[7], session[7])
+                both = merged(before, fold) if before else fold
+                session = (*both[:6], latest, both[7])
+        if session:
+            self.session.update(session)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         step, at = self.cfg.snapshot_ms, expiredTimerInfo.getExpiryTimeInMs()
         now = timerValues.getCurrentProcessingTimeInMs()
-        open_, last, n, volume, last_t = self.session.get()
+        session = tuple(self.session.get()) if self.session.exists() else None
         self.handle.registerTimer(max(at, now // step * step) + step)
-        yield pd.DataFrame(
-            [
-                {
-                    "snapshot_ms": at,
-                    "symbol": key[0],
-                    "last_price": last,
-                    "open_price": open_,
-                    "pct_change": stable_round((last - open_) / open_ * 100, 3) if open_ else 0.0,
-                    "trade_count": n,
-                    "total_volume": volume,
-                    "last_trade_ts": last_t,
-                    "is_stale": at - last_t > self.cfg.stale_ms,
-                }
-            ]
-        )
+        yield as_frame([snapshot_row(key[0], at, session, self.cfg)])
 
     def close(self) -> None:
         pass
