@@ -111,6 +111,29 @@ def test_forest_is_reproducible_and_saved(spark, cloud, tmp_path):
     assert both.filter("score <> again").count() == 0
 
 
+def test_forest_in_a_saved_pipeline(spark, cloud, tmp_path):
+    """Estimator and model are stages of a pipeline like any other: both save and load whole."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    halved = SQLTransformer(statement="SELECT symbol, event_time, " + ", ".join(f"{c} / 2 AS {c}" for c in FEATURE_COLS) + " FROM __THIS__")
+    forest = iforest.IsolationForest(key=("event_time",), numTrees=12, seed=5, orientation="raw")
+    Pipeline(stages=[halved, forest]).write().overwrite().save(str(tmp_path / "unfitted"))
+    unfitted = Pipeline.load(str(tmp_path / "unfitted"))
+    assert unfitted.getStages()[1].key == ("event_time",)
+    fitted = unfitted.fit(cloud)
+    again = Pipeline(stages=[halved, forest]).fit(cloud)
+    fitted.save(str(tmp_path / "fitted"))
+    loaded = PipelineModel.load(str(tmp_path / "fitted"))
+    own = loaded.stages[1]
+    assert isinstance(own, iforest.IsolationForestModel) and own.getOrDefault("seed") == 5 and own.getOrDefault("orientation") == "raw"
+    assert own.nodes.equals(again.stages[1].nodes) and (own.low, own.high) == (again.stages[1].low, again.stages[1].high)
+    scores = [{r.event_time: r.score for r in m.transform(cloud).collect()} for m in (again, loaded)]
+    assert scores[0] == scores[1] and len(set(scores[0].values())) > 100
+    with pytest.raises(Exception, match="already exists|overwrite"):
+        fitted.save(str(tmp_path / "fitted"))
+
+
 def test_orientation(cloud):
     normal = iforest.IsolationForest(numTrees=20, orientation="raw").fit(cloud)
     assert normal.transform(cloud).filter("int(event_time) < 15").agg(F.max("score")).first()[0] < 0.3

@@ -256,3 +256,35 @@ def test_sql_over_gold(spark, gold):
     g = gold(volume=[spike("10:00:00"), spike("11:00:00", "b", ratio=9.0)], sector=[snap("10:00:00")])
     text = "SELECT v.symbol, s.last_price FROM {volume_spikes} v JOIN {sector_snapshots} s USING (symbol) WHERE spike_ratio < :most"
     assert rows(q.run_sql(spark, g, text, most=5.0)) == [("a", 100.0)]
+
+
+@pytest.mark.parametrize("seconds", [0, 1, 7, 600])
+def test_co_spikes_equal_all_pairs(spark, seconds):
+    """Dense and sparse symbols, equal seconds, two days: the sweep counts what a comparison of all pairs counts."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(seconds)
+    start = 1_700_005_000  # the day ends within the spikes
+    rows = [(rng.choice("aabcd"), start + rng.randrange(3600)) for _ in range(300)]
+    rows += [("e", start + 500)] * 40 + [("f", start + 500 + seconds)] * 30 + [("g", start + 501 + seconds)] * 20
+    spikes = spark.createDataFrame(rows, "symbol string, second long").withColumn("detected_at", F.timestamp_seconds("second"))
+    found = q.co_spikes(spikes.withColumn("date", F.to_date("detected_at")), seconds)
+    want = Counter()
+    for i, (s, x) in enumerate(rows):
+        for r, y in rows[:i]:
+            if s != r and abs(x - y) <= seconds and x // 86_400 == y // 86_400:
+                want[min(s, r), max(s, r)] += 1
+    assert {(r.symbol_a, r.symbol_b): r.co_signal_count for r in found.collect()} == want
+
+
+def test_co_spikes_meet_by_stretch_not_by_second(spark):
+    """Two symbols that spike in each of an hour's seconds: the joins give a row for each pair of stretches."""
+    rows = [(s, 1_700_000_000 + x) for s in "ab" for x in range(3600)]
+    spikes = spark.createDataFrame(rows, "symbol string, second long").withColumn("detected_at", F.timestamp_seconds("second"))
+    found = q.co_spikes(spikes.withColumn("date", F.to_date("detected_at")), 600)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join Inner") == 2 and "second" in text
+    cells = 3600 // 601 + 2
+    assert found.first().co_signal_count == sum(min(3599, x + 600) - max(0, x - 600) + 1 for x in range(3600))
+    assert spikes.groupBy("symbol", F.expr("second div 601")).count().count() <= 2 * cells

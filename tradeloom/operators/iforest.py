@@ -13,7 +13,17 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.schemas import FEATURE_COLS
@@ -91,18 +101,28 @@ class _ForestParams(Params):
         Params._dummy(), "orientation", "anomaly: 1 is most anomalous; raw: 1 is most normal", TypeConverters.toString
     )
 
+    keyColumns = Param(Params._dummy(), "keyColumns", "columns that identify a row", TypeConverters.toListString)
+
     def _defaults(self) -> None:
-        self._setDefault(numTrees=200, sampleSize=256, contamination=0.1, seed=42, orientation="anomaly")
+        self._setDefault(
+            numTrees=200, sampleSize=256, contamination=0.1, seed=42, orientation="anomaly", keyColumns=["symbol", "event_time"]
+        )
 
 
-class IsolationForest(Estimator, _ForestParams):
-    """Fits on the nine feature columns. ``key`` columns must identify a row; they decide its lots."""
+class IsolationForest(Estimator, _ForestParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Fits on the nine feature columns. ``key`` columns must identify a row; they decide its lots.
+
+    Like the model it can be a stage of a ``Pipeline``, which is saved and loaded whole.
+    """
 
     def __init__(self, key=("symbol", "event_time"), **params):
         super().__init__()
         self._defaults()
-        self.key = tuple(key)
-        self._set(**params)
+        self._set(keyColumns=list(key), **params)
+
+    @property
+    def key(self) -> tuple[str, ...]:
+        return tuple(self.getOrDefault(self.keyColumns))
 
     def _fit(self, dataset: DataFrame) -> IsolationForestModel:
         trees, wanted, seed = (self.getOrDefault(p) for p in (self.numTrees, self.sampleSize, self.seed))
@@ -135,7 +155,7 @@ class IsolationForest(Estimator, _ForestParams):
             tasks = min(trees, dataset.sparkSession.sparkContext.defaultParallelism)
             grown = draws.repartition(tasks, "tree").groupBy("tree").applyInPandas(build, NODES)
             nodes = grown.toPandas().sort_values(["tree", "node"], ignore_index=True)
-            model = IsolationForestModel(nodes, 0.0, 1.0, orientation=self.getOrDefault(self.orientation))
+            model = self._copyValues(IsolationForestModel(nodes, 0.0, 1.0))
             ends = model.raw(rows).agg(F.min("raw").alias("low"), F.max("raw").alias("high")).first()
         finally:
             rows.unpersist()
@@ -143,7 +163,7 @@ class IsolationForest(Estimator, _ForestParams):
         return model
 
 
-class IsolationForestModel(Model, _ForestParams):
+class IsolationForestModel(Model, _ForestParams, MLReadable, MLWritable):
     """Adds ``raw`` (larger is more normal, as a decision function) and ``score`` in [0, 1]."""
 
     def __init__(self, nodes: pd.DataFrame, low: float, high: float, **params):
@@ -168,19 +188,50 @@ class IsolationForestModel(Model, _ForestParams):
             "score", scaled_score(F.col("raw"), self.low, self.high, self.getOrDefault(self.orientation))
         )
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        """The node table as Parquet and the scalars as JSON."""
-        spark.createDataFrame(self.nodes, NODES).write.mode("overwrite").parquet(f"{path}/nodes")
-        orientation = self.getOrDefault(self.orientation)
-        spark.createDataFrame(
-            [(self.low, self.high, orientation)], "low double, high double, orientation string"
-        ).coalesce(1).write.mode("overwrite").json(f"{path}/params")
+    def write(self) -> MLWriter:
+        return _ForestWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _ForestReader(cls)
+
+    def save(self, *where) -> None:
+        """``save(path)``, in place of what lies there; a session may come first."""
+        self.write().overwrite().save(where[-1])
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> IsolationForestModel:
+    def load(cls, *where) -> IsolationForestModel:
+        """``load(path)``; a session may come first."""
+        return cls.read().load(where[-1])
+
+
+class _ForestWriter(MLWriter):
+    """The parameters and the ends of the training scores as Spark's metadata, the nodes as Parquet."""
+
+    def __init__(self, model: IsolationForestModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        spark = self.sparkSession
+        ends = {"low": self.model.low, "high": self.model.high}
+        DefaultParamsWriter.saveMetadata(self.model, path, spark, extraMetadata=ends)
+        spark.createDataFrame(self.model.nodes, NODES).write.parquet(f"{path}/nodes")
+
+
+class _ForestReader(MLReader):
+    def __init__(self, kind: type[IsolationForestModel]):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str) -> IsolationForestModel:
+        spark = self.sparkSession
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
         nodes = spark.read.schema(NODES).parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()
-        p = spark.read.schema("low double, high double, orientation string").json(f"{path}/params").first()
-        return cls(nodes, p["low"], p["high"], orientation=p["orientation"])
+        model = self.kind(nodes, metadata["low"], metadata["high"])
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
 
 
 def pack_forest(nodes: pd.DataFrame) -> dict[str, np.ndarray]:

@@ -605,6 +605,14 @@ SQL["session_snapshots"] = f"""
            {r4("coalesce(vol, 0.0)")} AS total_volume, last_t AS last_trade_ts,
            coalesce(g.tick * {C.snapshot_ms} - last_t > {C.stale_ms}, false) AS is_stale
     FROM grid g LEFT JOIN unbroken l ON l.s = g.s AND l.tick = g.tick"""
+SQL["bronze_candles"] = f"""
+    SELECT * REPLACE ({r4("volume")} AS volume) FROM archived_bars"""
+CTES["archived_trades"] = f"SELECT * FROM trades WHERE t >= {ms(NOW)} - 14 * 86400000 AND t < {ms(NOW)} + 3600000 + 3600000"
+CTES["archived_bars"] = re.sub(r"\btrades\b", "archived_trades", CTES["bars"])
+SQL["model_registry_forest"] = f"""
+    SELECT symbol, count(*) AS n_records, true AS agrees FROM features WHERE max_t >= {ms(NOW)} - 2 * 86400000 GROUP BY 1"""
+SQL["q_ml_confirmed_by_forest"] = f"""
+    SELECT signal_type, symbol, detected_at, true AS agrees FROM feed WHERE detected_at::DATE = {THAT_DAY}"""
 
 
 def oracle_sql() -> dict[str, str]:

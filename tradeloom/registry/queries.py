@@ -7,15 +7,17 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.functions.columns import half_even, ms_to_iso, ts_literal
+from tradeloom.functions.columns import half_even, ms_to_iso, ms_to_ts, ts_literal
 from tradeloom.operators import detectors as d
 from tradeloom.operators import evaluation, features, iforest
 from tradeloom.operators.cooldown import cooldown_thin
 from tradeloom.plans import dashboard as q
 from tradeloom.plans import presentation as show
+from tradeloom.plans import training
 from tradeloom.plans.gold import Pipeline, SessionPipeline
 from tradeloom.registry.inputs import AS_OF, CFG, DAY, events, once, pipeline, price, stand_in_score, trades
 from tradeloom.schemas import FEATURE_COLS
@@ -170,15 +172,16 @@ def session_filter(spark, sf_dir):
     return trades(spark, sf_dir).filter(ingest.in_session(F.col("t"))).select("s", "p", "v", "t")
 
 
-def _bronze(spark: SparkSession, sf_dir: str) -> str:
+def _bronze(spark: SparkSession, sf_dir: str, numbered: bool = False) -> str:
     def write(path: str) -> None:
         rows = trades(spark, sf_dir)
         text = F.to_json(F.struct("s", "p", "v", "t"))
+        text = medallion.with_number(text, F.col("seq")) if numbered else text
         junk = F.when(F.col("seq") % 50 == 10, F.lit("{broken")).when(F.col("seq") % 50 == 11, F.lit(""))
         lines = rows.select("t", F.explode(F.filter(F.array(text, junk), lambda x: x.isNotNull())).alias("value"))
         medallion.write_bronze(lines, F.timestamp_millis("t"), path, "overwrite", spread=1)
 
-    return pipeline(spark, sf_dir).stage.folder("bronze", write)
+    return pipeline(spark, sf_dir).stage.folder("numbered-bronze" if numbered else "bronze", write)
 
 
 @query
@@ -193,6 +196,13 @@ def bronze_lookback_scan(spark, sf_dir):
     return medallion.lookback_bronze(spark, _bronze(spark, sf_dir), AS_OF, 14)
 
 
+@query
+def bronze_candles(spark, sf_dir):
+    """Candles of the archive's last days, in the order in which its trades arrived."""
+    archived = medallion.lookback_bronze(spark, _bronze(spark, sf_dir, True), AS_OF, 14, arrival=True)
+    return rounded(d.candles(medallion.with_arrival(archived), CFG.candle_ms), "volume")
+
+
 @query
 def retention_expired(spark, sf_dir):
     """Day partitions past their retention."""
@@ -733,12 +743,13 @@ def iforest_score(spark, sf_dir):
 
 @query
 def iforest_roundtrip(spark, sf_dir):
-    """Scores of the fitted model and of the same model saved and loaded."""
-    model = _model(spark, sf_dir)
-    path = pipeline(spark, sf_dir).stage.folder("model", lambda path: model.save(spark, path))
-    loaded = iforest.IsolationForestModel.load(spark, path)
-    both = loaded.transform(model.transform(_stored_features(spark, sf_dir)).withColumnRenamed("score", "fitted"))
-    return both.select("symbol", "event_time", (F.col("fitted") == F.col("score")).alias("equal"))
+    """Scores of the fitted model, of the pipeline that it was saved in, and of a second implementation."""
+    model, key = _model(spark, sf_dir), ["symbol", "event_time"]
+    rows = _stored_features(spark, sf_dir).select(*key, *FEATURE_COLS)
+    path = pipeline(spark, sf_dir).stage.folder("model", lambda path: PipelineModel([model]).write().overwrite().save(path))
+    both = PipelineModel.load(path).transform(model.transform(rows).drop("raw").withColumnRenamed("score", "fitted"))
+    same = (F.col("fitted") == F.col("score")) & _same_score("score")
+    return both.join(_walked(rows, key, model), key).select(*key, same.alias("equal"))
 
 
 @query
@@ -768,3 +779,64 @@ def model_registry(spark, sf_dir):
 
     path = p.stage.folder("model_versions", write)
     return evaluation.ModelRegistry(spark, path).current().drop("path")
+
+
+@query
+def model_registry_forest(spark, sf_dir):
+    """The forest's own rate on the validation rows, which decides whether a version is registered. Whether the
+    symbol's rate, the whole rate and the decision are those of a second implementation's scores."""
+    p, model, key = pipeline(spark, sf_dir), _model(spark, sf_dir), ["symbol", "event_time"]
+    held_out = features.split_by_time(_stored_features(spark, sf_dir), AS_OF, 2).filter("split = 'validation'")
+    rows = held_out.select(*key, *FEATURE_COLS)
+    scored = evaluation.report(model.transform(rows))
+    result = scored.first()
+    walked = _walked(rows, key, model)
+
+    def write(path: str) -> None:
+        evaluation.ModelRegistry(spark, path).register(f"{p.stage.path}/model", result["anomaly_rate"], AS_OF)
+
+    versions = evaluation.ModelRegistry(spark, p.stage.folder("forest_versions", write)).current().collect()
+    second = walked.agg(F.avg((F.col("walked") > evaluation.ANOMALOUS).cast("double"))).first()[0] or 0.0
+    passed = evaluation.ACCEPT[0] <= result["anomaly_rate"] <= evaluation.ACCEPT[1]
+    decided = [v["anomaly_rate"] for v in versions] == ([result["anomaly_rate"]] if passed else [])
+    whole = decided and abs(second - result["anomaly_rate"]) < 1e-4
+    own = scored.select(F.explode("symbol_anomaly_rates").alias("symbol", "own"))
+    return evaluation.rates_by_symbol(walked, "walked").join(own, "symbol", "left").select(
+        "symbol", "n_records", (F.coalesce(F.abs(F.col("own") - F.col("anomaly_rate")) < 2e-4, F.lit(False)) & F.lit(whole)).alias("agrees")
+    )
+
+
+def _forest_gold(spark, sf_dir) -> Pipeline:
+    """Gold whose signals the approved forest has scored."""
+    p, rows = pipeline(spark, sf_dir), trades(spark, sf_dir)
+
+    def write(path: str) -> None:
+        model_path = p.stage.folder("approved_model", lambda at: _model(spark, sf_dir).save(at))
+        registry = evaluation.ModelRegistry(spark, path)
+        registry.approve(registry.register(model_path, 0.1, AS_OF), AS_OF + timedelta(hours=1))
+
+    def build() -> Pipeline:
+        registry = evaluation.ModelRegistry(spark, p.stage.folder("approved_versions", write))
+        score = training.approved_score(registry, rows, CFG, p.stage)
+        scored = Pipeline(spark, rows, f"forest:{sf_dir}", CFG, score, ts_literal(AS_OF))
+        for table in ("spike_rows", "bars", "ticks", "momentum_rows"):  # only gold differs
+            setattr(scored, table, getattr(p, table))
+        return scored
+
+    return once(spark, sf_dir, "forest", build)
+
+
+@query
+def q_ml_confirmed_by_forest(spark, sf_dir):
+    """The confirmed signals of a day from gold that the approved forest has scored. For each signal of the day,
+    whether it is among them, and its score there, as a second implementation has it."""
+    gold, model = _forest_gold(spark, sf_dir), _model(spark, sf_dir)
+    signals = _signals(pipeline(spark, sf_dir)).select("signal_type", "symbol", "trade_ts", "seq")
+    day = signals.withColumn("detected_at", ms_to_ts(F.col("trade_ts"))).filter(F.to_date("detected_at") == F.lit(DAY))
+    recent = features.feature_recent(trades(spark, sf_dir), CFG.recent_trades, CFG.volume_window_ms, day)
+    walked = _walked(recent, ["symbol", "t", "seq"], model).withColumnRenamed("t", "trade_ts")
+    shown = q.ml_confirmed_signals(gold, DAY, CFG, 0.5).select("signal_type", "symbol", "detected_at", "ml_anomaly_score")
+    both = day.join(walked, ["symbol", "trade_ts", "seq"]).join(shown, ["signal_type", "symbol", "detected_at"], "left")
+    near = F.abs(F.col("walked") - 0.5) < 1e-9
+    agrees = near | F.when(F.col("walked") >= 0.5, _same_score("ml_anomaly_score")).otherwise(F.col("ml_anomaly_score").isNull())
+    return both.select("signal_type", "symbol", "detected_at", F.coalesce(agrees, F.lit(False)).alias("agrees"))

@@ -89,9 +89,9 @@ def decode_envelopes(records: DataFrame, raw: str = "value", keep: Sequence[str]
     return envelope.select(*keep, F.try_to_binary(F.col("kinesis.data"), F.lit("base64")).cast("string").alias("body"))
 
 
-def parse_trades(records: DataFrame, raw: str = "body", keep: Sequence[str] = ()) -> DataFrame:
+def parse_trades(records: DataFrame, raw: str = "body", keep: Sequence[str] = (), schema: str = TRADE) -> DataFrame:
     """Trades of JSON records; a record that is null, broken or without a symbol is skipped."""
-    return parse_once(records, raw, TRADE, keep).filter(F.col("s").isNotNull())
+    return parse_once(records, raw, schema, keep).filter(F.col("s").isNotNull())
 
 
 def encode_trades(trades: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradeloom.config import SIGNAL_PREFIX
 from tradeloom.functions.columns import iso_to_ts, ms_to_ts
 from tradeloom.operators.detectors import explode_snapshots
-from tradeloom.schemas import FEATURES, GOLD_TABLES, SIGNAL_TABLE, column_names
+from tradeloom.schemas import FEATURES, GOLD_TABLES, SIGNAL_TABLE, TRADE, column_names
 from tradeloom.sources.ingest import parse_trades, typed_signals, validate_signals
 
 HOURLY = ("year", "month", "day", "hour")
@@ -28,6 +28,11 @@ def hourly_parts(at: Column) -> dict[str, Column]:
     }
 
 
+def with_number(line: Column, seq: Column) -> Column:
+    """A line of JSON with the record's arrival number as its last field; all else stays as it came."""
+    return F.regexp_replace(line, F.lit(r"\}\s*$"), F.concat(F.lit(',"seq":'), seq.cast("bigint").cast("string"), F.lit("}")))
+
+
 def write_bronze(lines: DataFrame, at: Column, path: str, mode: str = "append", spread: int = 4) -> None:
     """Gzip ``value`` lines under hourly folders; an hour is written by up to ``spread`` tasks."""
     parted = lines.select("value", *[c.alias(n) for n, c in hourly_parts(at).items()])
@@ -45,9 +50,13 @@ def _hour_folder() -> Column:
     return F.concat_ws("-", *HOURLY)
 
 
-def read_bronze(spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+def read_bronze(
+    spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None, arrival: bool = False
+) -> DataFrame:
     """Trades of the hourly folders from ``since`` on; unreadable lines and files are skipped.
 
+    With ``arrival`` they have the number ``seq`` that they were archived with, null for lines without one.
+
     With both ends given, only the folders of those hours are looked for, whatever else the archive holds. With one,
     the time filter is turned into a folder filter, so older folders are not opened. A trade of an
     hour may be stored in the next one (it is filed by arrival), never in an earlier one.
@@ -64,20 +73,20 @@ def read_bronze(spark: SparkSession, path: str, since: datetime | None = None, u
         lines = lines.filter(_hour_folder() >= since.strftime("%Y-%m-%d-%H"))
     if until is not None:
         lines = lines.filter(_hour_folder() <= until.strftime("%Y-%m-%d-%H"))
-    trades = parse_trades(lines, "value")
+    trades = parse_trades(lines, "value", schema=f"{TRADE}, seq bigint" if arrival else TRADE)
     if since is not None:
         trades = trades.filter(F.coalesce("t", F.lit(0)) >= _epoch_ms(since))
     return trades
 
 
-def recent_bronze(spark: SparkSession, path: str, now: datetime, lookback_ms: int) -> DataFrame:
+def recent_bronze(spark: SparkSession, path: str, now: datetime, lookback_ms: int, arrival: bool = False) -> DataFrame:
     """What a restarting detector replays: the last ``lookback_ms``, across midnight too."""
-    return read_bronze(spark, path, now - timedelta(milliseconds=lookback_ms), now)
+    return read_bronze(spark, path, now - timedelta(milliseconds=lookback_ms), now, arrival)
 
 
-def lookback_bronze(spark: SparkSession, path: str, now: datetime, days: int = 14) -> DataFrame:
+def lookback_bronze(spark: SparkSession, path: str, now: datetime, days: int = 14, arrival: bool = False) -> DataFrame:
     """What the feature job reads."""
-    return read_bronze(spark, path, now - timedelta(days=days), now + timedelta(hours=1))
+    return read_bronze(spark, path, now - timedelta(days=days), now + timedelta(hours=1), arrival)
 
 
 def present(spark: SparkSession, folders: Sequence[str]) -> list[str]:
@@ -88,17 +97,35 @@ def present(spark: SparkSession, folders: Sequence[str]) -> list[str]:
 
 
 def with_arrival(trades: DataFrame) -> DataFrame:
-    """Add ``seq`` to archived trades, whose arrival order is lost: trades of a symbol with an equal time are
-    numbered by price and volume, so a re-read gives the same numbers."""
+    """Archived trades with an arrival number each: the one that they were archived with.
+
+    Lines of an archive that holds none take numbers by price and volume among the trades of their symbol and time, so a re-read
+    gives the same; they come after numbered ones. Equal lines are counted first, so an instant's task holds its distinct prices
+    and volumes, not its trades.
+    """
+    if "seq" not in trades.columns:
+        trades = trades.withColumn("seq", F.lit(None).cast("bigint"))
     same_time = Window.partitionBy("s", "t").orderBy("p", "v")
-    return trades.withColumn("seq", F.row_number().over(same_time).cast("bigint") - 1)
+    before = F.coalesce(F.sum("_n").over(same_time.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    known = trades.filter("seq is not null")
+    first = known.groupBy("s", "t").agg((F.max("seq") + 1).alias("_first"))
+    bare = trades.filter("seq is null").groupBy("s", "p", "v", "t").agg(F.count(F.lit(1)).alias("_n"))
+    bare = bare.withColumn("_from", before).join(first, ["s", "t"], "left")
+    start = F.col("_from") + F.coalesce("_first", F.lit(0))
+    numbers = F.explode(F.sequence(start, start + F.col("_n") - 1)).alias("seq")
+    return known.select("s", "p", "v", "t", "seq").union(bare.select("s", "p", "v", "t", numbers))
+
 
+def store_trades(trades: DataFrame, path: str, spread: int = 8) -> None:
+    """Archived trades as Parquet by day, the form that the batch pipeline reads several times.
 
-def store_trades(trades: DataFrame, path: str) -> None:
-    """Archived trades as Parquet by day, the form that the batch pipeline reads several times."""
+    A day is written by up to ``spread`` tasks, and a task writes few days.
+    """
+    salt = F.pmod(F.xxhash64("s", "t", "seq"), F.lit(spread))
     (
         with_arrival(trades)
         .withColumn("date", F.to_date(ms_to_ts(F.col("t"))))
+        .repartition("date", salt)
         .write.mode("overwrite")
         .partitionBy("date")
         .parquet(path)

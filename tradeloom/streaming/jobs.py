@@ -115,12 +115,19 @@ def with_heartbeat(trades: DataFrame, beats: DataFrame) -> DataFrame:
 # ---- consumers of the raw stream ----------------------------------------------------------------
 
 
-def archive_bronze(values: DataFrame, path: str, checkpoint: str, once: bool = False) -> list[StreamingQuery]:
-    """Readable lines to hourly gzip folders by trade time, the rest to ``<path>_errors``."""
-    parsed = values.select("value", F.from_json("value", TRADE).alias("d"))
+def archive_bronze(
+    values: DataFrame, path: str, checkpoint: str, once: bool = False, seq: Column | None = None
+) -> list[StreamingQuery]:
+    """Readable lines to hourly gzip folders by trade time, the rest to ``<path>_errors``.
+
+    With ``seq``, the arrival number of a record (an offset), each line keeps its number, and so the archive the order in which
+    trades of one time came.
+    """
+    parsed = values.select("value", F.from_json("value", TRADE).alias("d"), (F.lit(None) if seq is None else seq).alias("_seq"))
     readable = F.col("d.s").isNotNull() & F.col("d.t").isNotNull()
     parts = medallion.hourly_parts(ms_to_ts(F.col("d.t")))
-    good = parsed.filter(readable).select("value", *[c.alias(n) for n, c in parts.items()])
+    line = F.col("value") if seq is None else medallion.with_number(F.col("value"), F.col("_seq"))
+    good = parsed.filter(readable).select(line.alias("value"), *[c.alias(n) for n, c in parts.items()])
     bad = parsed.filter(~F.coalesce(readable, F.lit(False))).select("value")
     gz = {"compression": "gzip"}
     return [
