@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +43,9 @@ END = 1
 #: Padding tokens that a cut inside a document, or inside a sentence, is worth avoiding.
 IN_DOCUMENT, IN_SENTENCE = 2, 12
 STRIDE = 32
-STRETCH = 2 << 20
-#: Words whose ids a task holds; beyond that it starts over.
-KEPT_WORDS = 700_000
+STRETCH = 16 << 20
+#: Words whose ids a Python worker holds from one range to the next; beyond that it starts over.
+KEPT_WORDS = 2_000_000
 #: Bytes of text for a range; fewer ranges mean fewer tails.
 RANGE_BYTES = 32 << 20
 
@@ -88,63 +89,139 @@ def tail(n: int, window: int) -> list[int]:
     return powers if (len(powers) - 1) * IN_SENTENCE < window - n else [n]
 
 
-class _Words(dict):
-    """Numbers words in order of first sight, and holds the ids of each in one long array."""
+class _Table:
+    """Strings by number, with the ids of each; as Arrow and numpy arrays, so that millions take little memory."""
+
+    def __init__(self):
+        self.known = pa.array([], pa.large_string())
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def numbers(self, strings: pa.Array, ids_of) -> np.ndarray:
+        """The number of each of some distinct strings; ``ids_of`` gives the number of ids and the ids of new ones."""
+        found = pc.index_in(strings, value_set=self.known)
+        is_new = found.is_null()
+        fresh = strings.filter(is_new)
+        out = found.fill_null(0).to_numpy().astype(np.int64)
+        if len(fresh):
+            lengths, ids = ids_of(fresh)
+            out[is_new.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(fresh))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+            self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
+            self.known = pa.concat_arrays([self.known, fresh])
+        return out
+
+    def gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each, and all their ids in a row."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return lengths, self.ids[np.repeat(self.starts[numbers] - (ends - lengths), lengths) + np.arange(total)]
+
+
+def _bytes(strings: pa.Array) -> list[bytes]:
+    return strings.cast(pa.large_binary()).to_pylist()
+
+
+class _Words:
+    """The ids of words. A word is mostly a run of letters, which words with other marks share, and marks after it."""
 
     def __init__(self, encoder: WordEncoder):
-        super().__init__()
         self.encoder = encoder
-        self.fresh: list[bytes] = []
-        # word 0 stands for the end of a document
-        self.starts, self.lengths, self.stops = np.array([0]), np.array([1]), np.array([False])
-        self.ids = np.array([END], np.uint32)
-        self.count = 1
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = self.count
-        self.count += 1
-        self.fresh.append(word)
-        return n
-
-    def learn(self) -> None:
-        """Encode what came up since the last time."""
-        lengths, ids = joined(self.encoder.encode(self.fresh))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, ids])
-        ends = [w[-1] in _LAST and _SENTENCE.search(w) is not None for w in self.fresh]
+        self.words = _Table()
+        self.stops = np.zeros(0, bool)  # of the words: do they end a sentence?
+
+    def numbers(self, distinct: pa.Array) -> np.ndarray:
+        """The number of each of some distinct words; an earlier answer holds until ``KEPT_WORDS`` are known."""
+        if len(self.words.known) > KEPT_WORDS:
+            self.words, self.stops = _Table(), np.zeros(0, bool)
+        return self.words.numbers(distinct, self._learn)
+
+    def _learn(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        raw = _bytes(words)
+        ends = [w[-1] in _LAST and _SENTENCE.search(w) is not None for w in raw]
         self.stops = np.concatenate([self.stops, np.array(ends, bool)])
-        self.fresh = []
+        bare = pc.ascii_rtrim(words, characters=self.encoder.MARKS.decode())
+        coded = pc.ascii_lower(bare).dictionary_encode()
+        known, own = self.encoder.parts, []
+        for x in _bytes(coded.dictionary):
+            own.append((known[x] if x in known else self.encoder.part(x)) if x else None)
+            known = self.encoder.parts  # which starts over when it has grown too large
+        part, part_ids = joined([x or b"" for x in own])
+        of = coded.indices.to_numpy()
+        lengths, at = part[of], (np.cumsum(part) - part)[of]
+        is_part = lengths > 0
+        # marks after letters; whatever isn't letters and marks goes through the whole tokenizer
+        marks = (pc.binary_length(words).to_numpy() - pc.binary_length(bare).to_numpy()) * is_part
+        kinds: dict[bytes, int] = {b"": 0}
+        tail = np.zeros(len(raw), np.int64)
+        for i in np.flatnonzero(marks).tolist():
+            tail[i] = kinds.setdefault(raw[i][-marks[i] :], len(kinds))
+        others = np.flatnonzero(~is_part).tolist()
+        rest = self.encoder.encode([raw[i] for i in others])
+        end = np.zeros(len(raw), np.int64)
+        end[others] = np.arange(len(kinds), len(kinds) + len(others))
+        after = np.where(is_part, tail, end)
+        more, more_ids = joined([self.encoder.tail(t) if t else b"" for t in kinds] + rest)
+        total = lengths + more[after]
+        ids = np.empty(int(total.sum()), np.uint32)
+        place = np.cumsum(total) - total
+        _copy(ids, place, part_ids, at, lengths)
+        _copy(ids, place + lengths, more_ids, (np.cumsum(more) - more)[after], more[after])
+        return total, ids
+
+
+def _copy(to: np.ndarray, place: np.ndarray, ids: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> None:
+    """Runs of ids from ``at`` on to ``place``."""
+    within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    to[np.repeat(place, lengths) + within] = ids[np.repeat(at, lengths) + within]
+
+
+_known: dict[str, _Words] = {}
+
+
+def words_of_worker(path: str) -> _Words:
+    """The words that this Python worker knows: the tokenizer is loaded, and a word encoded, once for all its ranges."""
+    if path not in _known:
+        _known.clear()
+        _known[path] = _Words(WordEncoder(path))
+    return _known[path]
+
+
+def split(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the words of all of them as numbers of those, and how many each text has."""
+    cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+    words, of = cut.flatten(), pc.list_parent_indices(cut).to_numpy()
+    real = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+    coded = words.filter(real).dictionary_encode()
+    counts = np.bincount(of[real.to_numpy(zero_copy_only=False)], minlength=len(texts))
+    return coded.dictionary, coded.indices.to_numpy(), counts
 
 
 class _Stream:
     """The tokens of a range that aren't packed yet."""
 
     def __init__(self, first: int, window: int, path: str):
-        self.sequence, self.window = first, window
-        self.encoder = WordEncoder(path)
-        self.words = _Words(self.encoder)
+        self.sequence, self.window, self.path = first, window, path
         self.docs: list[list] = []  # doc_id, tokens of the document, tokens of it that are packed
         self.ids = np.zeros(0, np.uint32)
         self.at, self.penalty = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, doc_ids: list[int | None], texts: list[bytes]) -> None:
         """Append documents: their ids, and where they may be cut at what penalty."""
-        words = self.words = self.words if len(self.words) < KEPT_WORDS else _Words(self.encoder)
-        numbers, sizes = [], []
-        for text in texts:
-            own = text.split()
-            numbers.extend(map(words.__getitem__, own))
-            numbers.append(0)
-            sizes.append(len(own) + 1)
-        words.learn()
-        of = np.array(numbers, np.int64)
-        lengths = words.lengths[of]
+        words = words_of_worker(self.path)
+        distinct, codes, counts = split(texts)
+        numbers = words.numbers(distinct)[codes]
+        own, flat = words.words.gathered(numbers)
+        # the end of a document is a word of one id after its last
+        last = np.cumsum(counts + 1) - 1
+        before = np.cumsum(counts)
+        lengths, stops = np.insert(own, before, 1), np.insert(words.stops[numbers], before, False)
         ends = np.cumsum(lengths)  # of the words, in tokens
-        begins = ends - lengths
-        ids = words.ids[np.repeat(words.starts[of] - begins, lengths) + np.arange(ends[-1])]
-        last = np.cumsum(sizes) - 1  # the documents' ends, as words
-        stops = words.stops[of]
+        ids = np.empty(int(ends[-1]), np.uint32)
+        is_end = np.zeros(len(ids), bool)
+        is_end[ends[last] - 1] = True
+        ids[is_end], ids[~is_end] = END, flat
         stops[last[last > 0] - 1] = False  # the end of a document stays with its last sentence
         soft = np.flatnonzero(stops)
         cut = np.unique(np.concatenate([soft, last]))
