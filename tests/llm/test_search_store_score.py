@@ -11,6 +11,7 @@ import zstandard
 from helpers import SF_DIR, TEXT, documents, ordered, pairs, texts
 
 from tradeloom.llm import brown, imi, warc, wordblocks
+from tradeloom.llm.common import stage
 
 
 def recorded(rows):
@@ -237,3 +238,24 @@ def test_vectors_of_one_component(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {(r.rank, r.vec_id, r.score) for r in imi.search(frame, lambda i: i == 10, top=3).collect()}
     assert got == {(1, 9, 19.0), (2, 11, 21.0), (3, 8, 36.0)}
+
+
+def test_scores_do_not_depend_on_parts_or_order(spark):
+    """Other numbers of partitions, of blocks and another order of the rows: each text scores the same."""
+    frame = documents(spark).select("doc_id", "text")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n, rows in ((4, frame), (3, frame.repartition(5)), (13, frame.orderBy("text"))):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            own = stage(rows, "order")
+            found.append(sorted((r.doc_id, r.score, r.base_score) for r in brown.score(own, top=200, classes=12).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
+
+
+def test_lots_are_even_and_differ_by_round():
+    marks = np.arange(10_000, dtype=np.uint64)
+    lots = [brown._lots(marks, turn) for turn in (1, 2)]
+    assert all(abs((x < 0.25).mean() - 0.25) < 0.02 for x in lots)
+    assert abs(np.corrcoef(*lots)[0, 1]) < 0.05

@@ -8,9 +8,11 @@ likelihood of the training text under the class bigrams.
   word costs one row per block.
 * Every training word moves by its own neighbours. A round counts, for each word, the classes that follow and precede
   it: each block counts for its distinct words, and the counts of a word meet in its part, where it takes the class of
-  greatest gain. The driver holds the class matrix alone. All words of a round see the class matrix of its start, but
-  words of more than ``FREQUENT`` tokens move one by one within their part. After each round the matrix is counted anew.
-  A round that doesn't raise the likelihood is undone and repeated for half of the words, down to ``LEAST_MOVERS``. Rounds end
+  greatest gain. The driver holds the class matrix alone. All words of a round see the class matrix of its start, so a move
+  doesn't depend on which words share a part. The gain of a word with more than a ``FREQUENT``-th of all tokens is worked out with
+  its own tokens taken out of the matrix first; of others it is taken cell by cell. After each round the matrix is counted anew.
+  A round that doesn't raise the likelihood is undone and repeated for half of the words, drawn by a hash of word and round, down
+  to ``LEAST_MOVERS``. Rounds end
   when one gains less than ``GAIN`` of the information that neighbouring classes hold about each other.
 * Rounds start from a clustering of fixed size on the driver: the ``top`` most frequent words, each for itself, and all
   others together with those that share their ending (``ENDINGS`` groups); its sweeps end when one moves nothing or
@@ -31,11 +33,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import keyed, partitions, stage
+from tradeloom.llm.common import keyed, mixed, partitions, stage
 from tradeloom.llm.wordblocks import (
     PARTS_PER_PARTITION,
     answered,
@@ -55,7 +58,9 @@ CLASSES = 40
 WORD_PRIOR, CLASS_PRIOR = 0.5, 0.1
 FOLDS, HELD_OUT = 5, 1
 KEPT_WORDS = 500_000
-FREQUENT = 1000
+#: At most so many words are frequent, however large the corpus is.
+FREQUENT = 1_000
+FREQUENT_AT_ONCE = 64
 GAIN, LEAST_MOVERS = 0.01, 1 / 8
 SWEEP_GAIN = 0.001
 #: Up to this count, gains are looked up.
@@ -65,7 +70,7 @@ PAIRS_AT_ONCE = 1 << 20
 
 TOTALS = (
     "part int, block bigint, fingerprint bigint, words binary, totals binary, places binary, known bigint, "
-    "distinct bigint, tokens bigint, top array<string>, top_counts array<bigint>"
+    "marks binary, distinct bigint, tokens bigint, top array<string>, top_counts array<bigint>"
 )
 ANSWERS = "part int, block bigint, fingerprint bigint, classes binary"
 CELLS = "part int, block bigint, classes binary, steps binary, counts binary"
@@ -113,7 +118,7 @@ def _totals(asked: DataFrame, top: int) -> DataFrame:
         for r in rows:
             for w, n in zip(unpack_words(r["words"]), unpack(r["counts"]).tolist(), strict=True):
                 total[w] = total.get(w, 0) + n
-        known = {w: n for w, n in total.items() if n}
+        known = {w: total[w] for w in sorted(total) if total[w]}  # in whatever order the rows came
         best = sorted(known, key=lambda w: (-known[w], w))[:top]
         # the words of training by number, then the endings, for words that training lacks
         place = {w: i for i, w in enumerate(known)}
@@ -126,6 +131,7 @@ def _totals(asked: DataFrame, top: int) -> DataFrame:
             row |= {"places": pack(np.fromiter(at, np.uint32, len(mine))), "known": len(known)}
             row |= {"distinct": 0, "tokens": 0, "top": [], "top_counts": []}
             if i == 0:
+                row["marks"] = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known)).tobytes()
                 row |= {"distinct": len(known), "tokens": sum(known.values())}
                 row |= {"top": [w.decode() for w in best], "top_counts": [known[w] for w in best]}
             out.append(row)
@@ -246,26 +252,27 @@ def information(both: np.ndarray) -> float:
 
 def moves(both: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray, of: np.ndarray) -> np.ndarray:
     """The class that each word gains most by: ``right`` and ``left`` count the classes beside it, ``own`` itself."""
-    both, of = both.copy(), of.copy()
+    before, of = of, of.copy()
     size, classes = right.sum(1), len(both)
-    for w in np.flatnonzero(size > FREQUENT):
-        a, r, l, s, n = of[w], right[w].astype(float), left[w].astype(float), own[w], size[w]
-        r[a] -= s
-        l[a] -= s
-        both[a, :] -= r
-        both[:, a] -= l
-        both[a, a] -= s
-        d, out_n, in_n = np.diag(both), both.sum(1), both.sum(0)
-        gain = (_f(both + r) - _f(both)).sum(1) + (_f(both + l[:, None]) - _f(both)).sum(0)
+    often = size * FREQUENT > both.sum()
+    frequent = np.flatnonzero(often)
+    for w in (frequent[i : i + FREQUENT_AT_ONCE] for i in range(0, len(frequent), FREQUENT_AT_ONCE)):
+        i, a = np.arange(len(w)), before[w]
+        r, l, s, n = right[w].astype(float), left[w].astype(float), own[w].astype(float)[:, None], size[w].astype(float)[:, None]
+        r[i, a] -= s[:, 0]
+        l[i, a] -= s[:, 0]
+        rest = np.repeat(both[None], len(w), 0)  # the matrix without each word
+        rest[i, a, :] -= r
+        rest[i, :, a] -= l
+        rest[i, a, a] -= s[:, 0]
+        d, out_n, in_n, here = np.diagonal(rest, axis1=1, axis2=2), rest.sum(2), rest.sum(1), _f(rest)
+        gain = (_f(rest + r[:, None, :]) - here).sum(2) + (_f(rest + l[:, :, None]) - here).sum(1)
         gain += _f(d + r + l + s) - _f(d + r) - _f(d + l) + _f(d)
         gain -= _f(out_n + n) - _f(out_n) + _f(in_n + n) - _f(in_n)
-        gain[0] = -np.inf
-        b = int(np.argmax(gain))
-        of[w] = b = a if gain[b] <= gain[a] + 1e-9 else b
-        both[b, :] += r
-        both[:, b] += l
-        both[b, b] += s
-    rare = np.flatnonzero(size <= FREQUENT)
+        gain[:, 0] = -np.inf
+        b = np.argmax(gain, axis=1)
+        of[w] = np.where(gain[i, b] <= gain[i, a] + 1e-9, a, b)
+    rare = np.flatnonzero(~often)
     out_n, in_n = both.sum(1), both.sum(0)
     tables = []
     for sides in (both.T, both):  # [class beside the word, class of the word]
@@ -375,6 +382,12 @@ def _class_pairs(sums: DataFrame, classes: int) -> tuple[np.ndarray, np.ndarray]
     return pairs.reshape(classes, classes), distinct
 
 
+def _lots(marks: np.ndarray, turn: int) -> np.ndarray:
+    """A number in [0, 1) for each word, from the word and the round."""
+    seed = mixed(np.array([turn], np.uint64))
+    return (mixed(marks ^ seed) >> np.uint64(11)) / 2.0**53
+
+
 def _moved(totals: DataFrame, sums: DataFrame, both: np.ndarray, by_ending: np.ndarray, movers: float, turn: int) -> DataFrame:
     """The blocks' words with their classes after a round in which a share ``movers`` of the words may move."""
     classes = len(both)
@@ -382,6 +395,7 @@ def _moved(totals: DataFrame, sums: DataFrame, both: np.ndarray, by_ending: np.n
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
         of = np.zeros(0, np.int64)
+        marks = np.frombuffer(b"".join(own.column("marks").drop_null().to_pylist()), np.uint64)  # of the part's first row
         for r in found.to_pylist():  # one row, or none
             of = unpack(r["classes"], 2).astype(np.int64)
             table = np.zeros(len(of) * wide, np.int64)
@@ -389,8 +403,7 @@ def _moved(totals: DataFrame, sums: DataFrame, both: np.ndarray, by_ending: np.n
             table = table.reshape(-1, wide)
             new = moves(both, table[:, :classes], table[:, classes:-1], table[:, -1], of)
             if movers < 1:
-                drawn = np.random.default_rng([turn, r["part"]]).random(len(of)) < movers
-                new = np.where(drawn, new, of)
+                new = np.where(_lots(marks, turn) < movers, new, of)
             of = new
         of = np.concatenate([of, by_ending])
         out: dict[str, list] = {c.split()[0]: [] for c in ANSWERS.split(", ")}
@@ -399,7 +412,7 @@ def _moved(totals: DataFrame, sums: DataFrame, both: np.ndarray, by_ending: np.n
                 out[k].append(v)
         return pa.Table.from_pydict(out, schema=arrow(ANSWERS))
 
-    own = totals.select("part", "block", "fingerprint", "places").groupBy("part")
+    own = totals.select("part", "block", "fingerprint", "places", "marks").groupBy("part")
     return own.cogroup(sums.select("part", "classes", "steps", "counts").groupBy("part")).applyInArrow(run, ANSWERS)
 
 
