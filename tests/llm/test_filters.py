@@ -174,3 +174,75 @@ def test_windows_that_share_high_bits_do_not_hide_repeats(spark):
     rows = [([1280, 1281, 1280],), ([1280, 1281, 1282],), ([7 << 40, 5, 7 << 40, 9],), ([-1, -2, -1, -2],)]
     frame = spark.createDataFrame(rows, "h array<bigint>").select(quality.words_in_repeats(F.col("h")).alias("n"))
     assert [r.n for r in frame.collect()] == [5, 0, 5, 6]
+
+
+def plain_severity(text, model):
+    """Severity, toxicity and grade of a text, worked out from the rules: words without their outer marks, their beginnings."""
+    import math
+
+    import xxhash
+
+    seen = Counter()
+    for word in re.split("[\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")):
+        raw = word.encode()
+        if raw:
+            bare = raw.strip(b".,;:!?\"'()[]{}*_-") or raw
+            parts = [(0, bare)] + [(k, bare[:n]) for k, n in ((1, 4), (2, 5)) if len(bare) >= n]
+            for kind, part in parts:
+                seen[kind * (1 << 20) + xxhash.xxh64_intdigest(part) % (1 << 20)] += 1
+    x = sum(w * (1 + math.log(seen[f])) for f, w in model.weights.items() if seen[f])
+    above = [1 / (1 + math.exp(cut - x)) for cut in model.cuts]
+    return sum(above), above[0], sum(p >= 0.5 for p in above)
+
+
+def test_toxicity_scores_equal_the_rules(spark):
+    docs = documents(spark)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = toxicity.Model.fit(docs, toxicity.grades(labels))
+    assert len(model.cuts) == 2 and model.cuts[0] < model.cuts[1] and model.weights
+    texts_ = dict(pairs(docs))
+    found = toxicity.score(docs, model).collect()
+    assert len(found) == len(texts_)
+    for r in found:
+        severity, toxic, grade = plain_severity(texts_[r.doc_id], model)
+        assert (r.severity, r.toxicity) == pytest.approx((severity, toxic), abs=1e-9)
+        assert (r.grade, r.kept) == (grade, toxic < 0.5)
+
+
+def test_cumulative_fit_is_a_minimum():
+    """The loss rises whichever weight or cut is changed, and equals that of a plain sum over documents."""
+    import math
+
+    rng = np.random.default_rng(4)
+    n, k = 400, 5
+    x = (rng.random((n, k)) < 0.4) * rng.integers(1, 4, (n, k)).astype(float)
+    latent = x @ np.array([1.5, -1.0, 0.5, 0.0, 2.0]) + rng.logistic(size=n)
+    grades = np.digitize(latent, [0.5, 2.5])
+    rows, columns = np.nonzero(x)
+    w, cuts = toxicity.fit_cumulative(rows, columns, x[rows, columns], grades, k, 2)
+
+    def loss(w, cuts):
+        total = 0.0
+        for i in range(n):
+            edges = [-math.inf, *cuts, math.inf]
+            below = [0.0 if e == -math.inf else 1.0 if e == math.inf else 1 / (1 + math.exp(x[i] @ w - e)) for e in edges]
+            total -= math.log(below[grades[i] + 1] - below[grades[i]])
+        return total / n + toxicity.RIDGE / 2 * float(w @ w)
+
+    best = loss(w, cuts)
+    assert cuts[0] < cuts[1] and best < loss(np.zeros(k), cuts)
+    for i in range(k):
+        for step in (-0.05, 0.05):
+            assert loss(w + step * np.eye(k)[i], cuts) > best
+    for i in range(2):
+        for step in (-0.05, 0.05):
+            assert loss(w, cuts + step * np.eye(2)[i]) > best
+
+
+def test_of_several_labels_the_highest_counts(spark):
+    rows = [(i, "vile brute vermin scum" if i % 2 else "calm kind gentle words") for i in range(200)]
+    frame = texts(spark, rows)
+    once = [(i, i % 2) for i in range(200)]
+    again = once + [(i, 0) for i in range(200)] + [(None, 1), (5, None)]
+    models = [toxicity.Model.fit(frame, toxicity.grades(spark.createDataFrame(x, "doc_id long, toxic int"))) for x in (once, again)]
+    assert models[0].weights == models[1].weights and models[0].cuts == models[1].cuts and models[0].weights
