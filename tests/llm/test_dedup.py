@@ -5,9 +5,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from helpers import TEXT, documents, ordered, pairs, texts
+from pyspark.sql import functions as F
 
 from tradeloom.llm import graph, minhash, recompress
-from tradeloom.llm.common import sequences
+from tradeloom.llm.common import sequences, stage
 
 
 def near(rows):
@@ -169,3 +170,27 @@ def test_sequences_are_told_apart_by_order():
         assert len(once) == 301 - size == len(np.unique(once))
         assert (twice[: len(once)] == once).all() and (twice[300 : 300 + len(once)] == once).all()
     assert len(sequences(h, 301)) == 0
+
+
+def test_a_hub_meets_its_minimum_in_pieces(spark):
+    """The join of a hub's edges is split by AQE, as both of its sides are written tables."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [(7, v) for v in range(100, 20_100)] + [(v, v + 1) for v in range(30_000, 32_000)]
+        edges = stage(spark.createDataFrame(rows, "u bigint, v bigint").repartition(8), "hub")
+        joined = graph.with_least(edges, F.col("m"))
+        assert joined.filter("u = 7 and m = 100").count() == 20_000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        found = {r.v: r.root for r in graph.components(edges.toDF("a", "b").filter("a < 30100")).collect()}
+        assert all(found[v] == 7 for v in (7, 100, 5000, 20_099)) and all(found[v] == 30_000 for v in (30_000, 30_050, 30_100))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
