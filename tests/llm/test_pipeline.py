@@ -14,7 +14,7 @@ from tradeloom.llm.common import stage
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.queries()}
     assert set(queries.queries()) | {"pipeline"} <= names
 
 
